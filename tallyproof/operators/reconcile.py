@@ -273,3 +273,42 @@ def event_call_match(
         F.sum(F.col("events_left") - wrong).alias("events_without_call"),
         F.sum(F.col("calls_left") - wrong).alias("calls_without_event"),
     )
+
+
+def raw_curated_reconcile(
+    raw: DataFrame, curated: DataFrame, keys: Sequence[str], by: str, amount: str
+) -> DataFrame:
+    """Raw against curated transfers per token: rows, keys and exact integer amounts."""
+    def side(df: DataFrame, mark: str) -> DataFrame:
+        hit = F.lit(1).cast("bigint")
+        none = F.lit(0).cast("bigint")
+        value = F.col(amount).cast("decimal(38,0)")
+        return df.select(
+            *keys,
+            by,
+            (hit if mark == "l" else none).alias("l"),
+            (hit if mark == "r" else none).alias("r"),
+            (value if mark == "l" else dec(0, "decimal(38,0)")).alias("lv"),
+            (value if mark == "r" else dec(0, "decimal(38,0)")).alias("rv"),
+        )
+
+    per_key = (
+        side(raw, "l")
+        .unionByName(side(curated, "r"))
+        .groupBy(*keys, by)
+        .agg(*[F.sum(c).alias(c) for c in ("l", "r", "lv", "rv")])
+    )
+    both = (F.col("l") > 0) & (F.col("r") > 0)
+    return per_key.groupBy(by).agg(
+        F.sum("l").alias("raw_rows"),
+        F.sum("r").alias("curated_rows"),
+        F.count_if(F.col("l") > 0).alias("raw_keys"),
+        F.count_if(F.col("r") > 0).alias("curated_keys"),
+        F.sum("lv").cast("decimal(38,0)").alias("raw_amount"),
+        F.sum("rv").cast("decimal(38,0)").alias("curated_amount"),
+        F.count_if(both).alias("matched_keys"),
+        F.count_if(F.col("r") == 0).alias("raw_only_keys"),
+        F.count_if(F.col("l") == 0).alias("curated_only_keys"),
+        F.count_if(both & (F.col("l") != F.col("r"))).alias("row_count_mismatch_keys"),
+        F.count_if(both & (F.col("lv") != F.col("rv"))).alias("amount_mismatch_keys"),
+    )

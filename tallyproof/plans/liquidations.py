@@ -84,7 +84,7 @@ def exact_leg_usd(side: str) -> Column:
     raw = F.col(f"{side}_amount_raw").cast("decimal(23,0)")
     value = raw * F.col(f"{side}_price_usd").cast("decimal(14,2)")
     unit = F.pow(F.lit(10.0), decimals).cast("decimal(19,0)")
-    return (value.cast("decimal(26,2)") / unit).cast("decimal(38,12)")
+    return (value.cast("decimal(26,2)") / unit).cast("decimal(38,14)")
 
 
 def liquidation_priced(model: DataFrame, prices: DataFrame, grain: str = "minute") -> DataFrame:
@@ -162,7 +162,7 @@ def profile(df: DataFrame, name: str, priced: dict[str, str], totals: dict[str,
         for label, c in priced.items()
     ]
     sums = [
-        F.sum(F.abs(F.col(c).cast("decimal(38,12)"))).alias(label) for label, c in totals.items()
+        F.sum(F.abs(F.col(c).cast("decimal(38,14)"))).alias(label) for label, c in totals.items()
     ]
     per_key = df.groupBy(*KEYS).agg(F.count("*").alias("_n"), *marks, *sums)
     return per_key.agg(
@@ -429,7 +429,7 @@ def float_vs_decimal_totals(pairs: DataFrame, left: str, right: str, exact: str)
 
 
 def whole_to_decimal(column: str) -> Column:
-    return F.col(column).cast("decimal(38,12)")
+    return F.col(column).cast("decimal(38,14)")
 
 
 def flow_by_dimension(priced: DataFrame, dimension: str) -> DataFrame:

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyproof.registry import fees
+from tallyproof.registry import fees, liquidations
 
-MODULES = (fees,)
+MODULES = (fees, liquidations)
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

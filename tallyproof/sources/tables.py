@@ -35,7 +35,10 @@ def trade_sink(df: DataFrame, path: str, columns: Sequence[str], partition: str
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     reader = spark.read.schema(schema) if schema else spark.read
-    return reader.parquet(path)
+    # One listing task per core instead of one per date directory.
+    cores = str(max(spark.sparkContext.defaultParallelism, 1))
+    with session_conf(spark, spark__sql__sources__parallelPartitionDiscovery__parallelism=cores):
+        return reader.parquet(path)
 
 
 def replace_partitions(df: DataFrame, path: str, partition: str = PARTITION) -> None:
