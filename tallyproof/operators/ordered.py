@@ -67,25 +67,25 @@ def running_total(
 ) -> DataFrame:
     """Add the running sum of ``value`` in ``order`` and, if named, the key's total."""
     part = [*keys, _SEG]
-    spread = df.withColumn(_SEG, segment).withColumn("_v", value).repartition(*part)
+    spread = df.withColumn(_SEG, segment).withColumn("_rt_value", value).repartition(*part)
     local = Window.partitionBy(*part).orderBy(*order)
     local = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     across = Window.partitionBy(*keys)
     earlier = across.orderBy(_SEG).rowsBetween(Window.unboundedPreceding, -1)
     sums = (
         spread.groupBy(*part)
-        .agg(F.sum("_v").alias("_s"))
+        .agg(F.sum("_rt_value").alias("_rt_sum"))
         .select(
             *part,
-            F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_before"),
-            F.sum("_s").over(across).alias("_total"),
+            F.coalesce(F.sum("_rt_sum").over(earlier), F.lit(0)).alias("_rt_before"),
+            F.sum("_rt_sum").over(across).alias("_rt_total"),
         )
     )
-    joined = spread.withColumn("_here", F.sum("_v").over(local)).join(sums, part)
-    joined = joined.withColumn(out, F.col("_here") + F.col("_before"))
+    joined = spread.withColumn("_rt_here", F.sum("_rt_value").over(local)).join(sums, part)
+    joined = joined.withColumn(out, F.col("_rt_here") + F.col("_rt_before"))
     if total:
-        joined = joined.withColumn(total, F.col("_total"))
-    return joined.drop("_here", "_before", "_total", "_v", _SEG)
+        joined = joined.withColumn(total, F.col("_rt_total"))
+    return joined.drop("_rt_value", "_rt_here", "_rt_before", "_rt_total", _SEG)
 
 
 def row_numbers(

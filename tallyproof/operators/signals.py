@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyproof.functions.decimals import bps, reaches, whole
+from tallyproof.functions.decimals import bps, int_div, reaches
 from tallyproof.operators.ordered import first_n_per_key, running_total
 from tallyproof.operators.reconcile import beside
 
@@ -334,8 +334,9 @@ def distribution_profile(df: DataFrame, value: str, by: Sequence[str]) -> DataFr
     bits = F.length(F.bin("_v"))
     top = F.call_function("shiftright", F.col("_v"), F.greatest(bits - 10, F.lit(0)))
     summed = running_total(counted, by, bits * 1024 + top, ["_v"], n, "_upto", "_total")
-    first = F.floor((F.col("_upto") - n) * 100 / F.col("_total")).cast("int") + 1
-    last = F.least(F.floor(F.col("_upto") * 100 / F.col("_total")).cast("int"), F.lit(99))
+    total = F.col("_total")
+    first = int_div((F.col("_upto") - n) * 100, total).cast("int") + 1
+    last = F.least(int_div(F.col("_upto") * 100, total).cast("int"), F.lit(99))
     hit = summed.where(last >= first).withColumn("percentile", F.explode(F.sequence(first, last)))
     edges = counted.groupBy(*by).agg(
         F.min("_v").alias("min_value"), F.max("_v").alias("max_value"),
@@ -361,6 +362,3 @@ def approximate_profile(df: DataFrame, value: str, by: Sequence[str]) -> DataFra
         *by, F.posexplode("_p").alias("_i", "percentile_value"), "value_count"
     ).select(*by, (F.col("_i") + 1).alias("percentile"), "percentile_value", "value_count")
 
-
-def share_of(part: Column, total: Column) -> Column:
-    return bps(whole(part), whole(total))

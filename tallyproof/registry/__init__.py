@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyproof.registry import fees, liquidations
+from tallyproof.registry import fees, liquidations, screening
 
-MODULES = (fees, liquidations)
+MODULES = (fees, liquidations, screening)
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
