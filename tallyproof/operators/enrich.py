@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyproof.functions.decimals import dec, exact_decimals, six_dp, usd
+from tallyproof.functions.decimals import USD, exact_decimals, six_dp, usd
 from tallyproof.functions.formulas import (
     changed_at_six_dp,
     direction_agrees,
@@ -16,6 +16,7 @@ from tallyproof.functions.formulas import (
     reason_code_model,
 )
 from tallyproof.operators.ordered import first_per_key
+from tallyproof.operators.sides import BROADCAST_ROWS, counted_side
 
 
 def bucket_price_join(
@@ -108,11 +109,16 @@ def accepted_repairs(valued: DataFrame) -> DataFrame:
 def repair_overlay(trades: DataFrame, repairs: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Put accepted repairs over the trades on the full key.
 
-    Use this for a stored repair set. ``inline_repairs`` gives the same rows without a join on
-    the bulk of the trades.
+    Use this for a stored repair set; ``inline_repairs`` gives the same rows from the prices. A
+    counted small set is broadcast, so the trades stay where they are.
     """
-    side = repairs.select(
-        *keys, F.col("fixed_fee_base_usd").alias("_fixed"), "reason_code", F.lit(True).alias("_hit")
+    side, _ = counted_side(
+        repairs.select(
+            *keys,
+            F.col("fixed_fee_base_usd").alias("_fixed"),
+            "reason_code",
+            F.lit(True).alias("_hit"),
+        )
     )
     joined = trades.join(side, list(keys), "left")
     return (
@@ -122,30 +128,51 @@ def repair_overlay(trades: DataFrame, repairs: DataFrame, keys: Sequence[str]) -
     )
 
 
+def scoped_prices(
+    trades: DataFrame, prices: DataFrame, in_scope: Column, asset: str = "token_sold"
+) -> DataFrame:
+    """Prices of assets sold in scope; the trades are read for two columns only."""
+    sold = trades.where(in_scope).select(F.col(asset).alias("asset")).distinct()
+    return prices.select("asset", "bucket", "price").join(sold, "asset", "left_semi")
+
+
 def inline_repairs(
-    trades: DataFrame, prices: DataFrame, in_scope: Column, grain: str = "minute"
+    trades: DataFrame,
+    prices: DataFrame,
+    in_scope: Column,
+    grain: str = "minute",
+    side_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Repair the rows in scope and pass the others through untouched.
 
-    Only rows in scope meet the price table; the others are neither joined nor shuffled.
+    The prices that the scope needs are cached and counted. While they are few, the trades are
+    read once and meet a broadcast table. Beyond that the rows in scope are priced by a shuffled
+    join of their own and the others are neither joined nor moved.
     """
     scope = F.coalesce(in_scope, F.lit(False))
+    side, small = counted_side(scoped_prices(trades, prices, scope), side_rows)
+    if small:
+        rows = trades.withColumn("_scope", scope).withColumn(
+            "_scope_asset", F.when(F.col("_scope"), F.col("token_sold"))
+        )
+        valued = valued_rows(rows, side, grain, "_scope_asset")
+        return _overlaid(valued, F.col("_scope"), trades.columns)
     valued = valued_rows(trades.where(scope), prices, grain)
+    rest = trades.where(~scope).withColumn("legacy_fee_base_usd", usd(F.col("amount_usd")))
+    rest = rest.withColumn("fixed_fee_base_usd", F.lit(None).cast(USD))
+    repaired = _overlaid(valued, F.lit(True), trades.columns)
+    return repaired.unionByName(_overlaid(rest, F.lit(False), trades.columns))
+
+
+def _overlaid(valued: DataFrame, scope: Column, columns: Sequence[str]) -> DataFrame:
     legacy, fixed = F.col("legacy_fee_base_usd"), F.col("fixed_fee_base_usd")
-    hit = changed_at_six_dp(legacy, fixed)
-    repaired = valued.select(
-        *trades.columns,
+    hit = scope & changed_at_six_dp(legacy, fixed)
+    return valued.select(
+        *columns,
         F.when(hit, fixed).otherwise(legacy).alias("fee_base_usd"),
         hit.alias("is_repaired"),
         F.when(hit, reason_code_model(legacy, fixed)).alias("reason_code"),
     )
-    rest = trades.where(~scope).select(
-        "*",
-        usd(F.col("amount_usd")).alias("fee_base_usd"),
-        F.lit(False).alias("is_repaired"),
-        F.lit(None).cast("string").alias("reason_code"),
-    )
-    return rest.unionByName(repaired)
 
 
 def two_leg_reconcile(
@@ -183,19 +210,20 @@ def late_annotation(
 ) -> DataFrame:
     """Annotations of already selected cases, counted per stratum.
 
-    The case set is small by selection, so the label tables are reduced to the cases before
-    they are counted.
+    The cases are few by selection and counted, so they go to the label tables, which are reduced
+    to the cases before anything is grouped.
     """
     chosen = cases.select(key, stratum)
+    wanted, _ = counted_side(chosen.select(key))
     label_counts = (
         labels.select(F.col("address").alias(key))
-        .join(chosen.select(key), key, "left_semi")
+        .join(wanted, key, "left_semi")
         .groupBy(key)
         .agg(F.count("*").alias("_labels"))
     )
     marks = (
         listed.select(F.col("address").alias(key))
-        .join(chosen.select(key), key, "left_semi")
+        .join(wanted, key, "left_semi")
         .distinct()
         .withColumn("_listed", F.lit(1))
     )
@@ -259,6 +287,3 @@ def priced_fees(transactions: DataFrame, prices: DataFrame, asset: object) -> Da
     with exact_decimals(transactions.sparkSession):
         return joined.withColumn("fee_usd", fee_usd(F.col("fee_wei"), F.col("gas_asset_price")))
 
-
-def zero_usd() -> Column:
-    return dec(0, "decimal(38,18)")

@@ -94,26 +94,18 @@ def fill_lookup(
     point before it.
     """
     state = [c for c in points.columns if c not in {*keys, *order}]
-    others = [c for c in facts.columns if c not in {*keys, *order}]
-    as_fact = facts.select(
-        *keys, *order, F.struct(*others).alias("_fact"), F.lit(1).alias("_kind")
-    )
     as_point = points.select(
         *keys, *order, F.struct(*order, *state).alias("_state"), F.lit(0).alias("_kind")
     )
-    mixed = as_fact.unionByName(as_point, allowMissingColumns=True)
+    # Facts keep their own columns, so unused ones are still pruned at the scan.
+    mixed = facts.withColumn("_kind", F.lit(1)).unionByName(as_point, allowMissingColumns=True)
     filled = carry(mixed, keys, segment, [*order, "_kind"], Carry("_state", "_in_force"))
     tie = F.lit(True)
     for c in order:
         tie = tie & (F.col(c) == F.col("_in_force")[c])
     kept = filled.where((F.col("_kind") == 1) & F.col("_in_force").isNotNull() & ~tie)
-    fields = {
-        **{c: F.col(c) for c in [*keys, *order]},
-        **{c: F.col("_fact")[c] for c in others},
-    }
     return kept.select(
-        *[fields[c].alias(c) for c in facts.columns],
-        *[F.col("_in_force")[c].alias(c) for c in state],
+        *facts.columns, *[F.col("_in_force")[c].alias(c) for c in state]
     )
 
 

@@ -1,9 +1,10 @@
 """Ordered scans that stay parallel when one key holds most of the rows.
 
 A plain window puts a whole key into one task. Here a key is cut into segments that follow
-the order (block ranges, days). Each segment is scanned on its own, a one-row-per-segment
-summary is scanned per key, and the two are joined on ``(key, segment)``, which is also the
-partitioning of the large side, so the rows move once.
+the order (block ranges, days). Each segment is scanned on its own, and a summary of one row per
+segment, aggregated before it moves, is scanned per key. Both meet on ``(key, segment)``, which is
+the partitioning the large side already has, so its rows move once.
+The input is read twice, the second time for keys and order only: store an expensive one first.
 Key columns must not be NULL.
 """
 
@@ -33,9 +34,9 @@ def carry(
 ) -> DataFrame:
     """Add the column of each spec. ``segment`` must be monotone in ``order`` within a key."""
     part = [*keys, _SEG]
-    spread = df.withColumn(_SEG, segment).repartition(*part)
+    marked = df.withColumn(_SEG, segment)
     position = F.struct(*order)
-    near, edges, carried = spread, [], []
+    near, edges, carried = marked, [], []
     for n, s in enumerate(specs):
         step = [F.col(c).desc() if s.backward else F.col(c).asc() for c in order]
         local = Window.partitionBy(*part).orderBy(*step)
@@ -50,7 +51,7 @@ def carry(
         across = Window.partitionBy(*keys).orderBy(seg_step)
         across = across.rowsBetween(Window.unboundedPreceding, -1)
         carried.append(F.last(f"_edge{n}", ignorenulls=True).over(across).alias(f"_carried{n}"))
-    summary = spread.groupBy(*part).agg(*edges).select(*part, *carried)
+    summary = marked.groupBy(*part).agg(*edges).select(*part, *carried)
     joined = near.join(summary, part, "left")
     outs = [F.coalesce(f"_near{n}", f"_carried{n}").alias(s.out) for n, s in enumerate(specs)]
     return joined.select(*df.columns, *outs)
@@ -67,13 +68,13 @@ def running_total(
 ) -> DataFrame:
     """Add the running sum of ``value`` in ``order`` and, if named, the key's total."""
     part = [*keys, _SEG]
-    spread = df.withColumn(_SEG, segment).withColumn("_rt_value", value).repartition(*part)
+    marked = df.withColumn(_SEG, segment).withColumn("_rt_value", value)
     local = Window.partitionBy(*part).orderBy(*order)
     local = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     across = Window.partitionBy(*keys)
     earlier = across.orderBy(_SEG).rowsBetween(Window.unboundedPreceding, -1)
     sums = (
-        spread.groupBy(*part)
+        marked.groupBy(*part)
         .agg(F.sum("_rt_value").alias("_rt_sum"))
         .select(
             *part,
@@ -81,7 +82,7 @@ def running_total(
             F.sum("_rt_sum").over(across).alias("_rt_total"),
         )
     )
-    joined = spread.withColumn("_rt_here", F.sum("_rt_value").over(local)).join(sums, part)
+    joined = marked.withColumn("_rt_here", F.sum("_rt_value").over(local)).join(sums, part)
     joined = joined.withColumn(out, F.col("_rt_here") + F.col("_rt_before"))
     if total:
         joined = joined.withColumn(total, F.col("_rt_total"))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tallyproof.functions.decimals import USD, dec, six_dp, usd
 from tallyproof.functions.formulas import differs
 from tallyproof.operators.ordered import first_per_key
+from tallyproof.operators.sides import counted_side
 
 
 def dedupe_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
@@ -139,14 +140,16 @@ def row_diff(
 ) -> DataFrame:
     """Before and after value of every row, classified over the whole population.
 
-    Both change sets hold one row per key. They are combined into one small side first, so the
-    population meets one join.
+    Both change sets hold one row per key. They are combined into one side first, so the
+    population meets one join, by broadcast if the counted side is small.
     """
-    marks = paired(changed, expected, keys, [after]).select(
-        *keys,
-        F.col("l").isNotNull().alias("_changed"),
-        F.col("r").isNotNull().alias("_expected"),
-        F.col("l")[after].alias("_after"),
+    marks, _ = counted_side(
+        paired(changed, expected, keys, [after]).select(
+            *keys,
+            F.col("l").isNotNull().alias("_changed"),
+            F.col("r").isNotNull().alias("_expected"),
+            F.col("l")[after].alias("_after"),
+        )
     )
     rows = base.join(marks, list(keys), "left")
     old = F.col(before)
@@ -200,23 +203,26 @@ def difference_counters(spec: Mapping[str, Column]) -> list[Column]:
     return [F.count_if(cond).alias(name) for name, cond in spec.items()]
 
 
-def top_difference(
-    df: DataFrame, difference: Column, order: Sequence[str], show: Mapping[str, Column], prefix: str
-) -> DataFrame:
-    """The largest difference and its row, pivoted to columns; all NULL when nothing differs.
+def top_difference_columns(
+    difference: Column, order: Sequence[str], show: Mapping[str, Column], prefix: str
+) -> list[Column]:
+    """Aggregates for the largest difference and its row; all NULL when nothing differs.
 
-    ``max_by`` aggregates partially, so no ranking of the whole set is needed. Ties go to the
+    ``min_by`` aggregates partially, so no ranking of the whole set is needed. Ties go to the
     first row in ``order``.
     """
-    rows = df.select(
-        difference.alias("_d"), *order, F.struct(*[c.alias(n) for n, c in show.items()]).alias("_s")
-    ).where(F.col("_d").isNotNull())
-    best = rows.agg(F.min_by("_s", F.struct((-F.col("_d")).alias("_neg"), *order)).alias("_s"),
-                    F.max("_d").alias("_d"))
-    return best.select(
-        F.col("_d").alias(f"{prefix}_abs_diff"),
-        *[F.col("_s")[n].alias(f"{prefix}_{n}") for n in show],
-    )
+    rank = F.when(difference.isNotNull(), F.struct((-difference).alias("_neg"), *order))
+    return [
+        F.max(difference).alias(f"{prefix}_abs_diff"),
+        *[F.min_by(c, rank).alias(f"{prefix}_{name}") for name, c in show.items()],
+    ]
+
+
+def top_difference(
+    df: DataFrame, difference: Column, order: Sequence[str], show: Mapping[str, Column], prefix: str
+) -> DataFrame:
+    """The largest difference and its row, pivoted to the columns of one row."""
+    return df.agg(*top_difference_columns(difference, order, show, prefix))
 
 
 def snapshot_drift(

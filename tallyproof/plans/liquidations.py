@@ -22,7 +22,7 @@ from tallyproof.operators.enrich import (
     role_dim_join,
     two_leg_reconcile,
 )
-from tallyproof.operators.reconcile import beside, difference_counters, key_counts, top_difference
+from tallyproof.operators.reconcile import beside, difference_counters, top_difference_columns
 from tallyproof.sources.scans import partition_pruned_scan
 
 KEYS = ["tx_hash", "evt_index"]
@@ -155,47 +155,78 @@ def reconciled_rows(model: DataFrame, debt: DataFrame, collateral: DataFrame) ->
     return two_leg_reconcile(model, debt, collateral, KEYS)
 
 
-def profile(df: DataFrame, name: str, priced: dict[str, str], totals: dict[str, str]) -> DataFrame:
-    """Rows, distinct event keys, priced rows and absolute USD totals of one relation."""
-    marks = [
-        F.struct(F.count_if(F.col(c).isNotNull()).alias("n")).alias(label)
-        for label, c in priced.items()
+SOURCES = ("model", "debt_leg", "collateral_leg")
+
+
+def event_counts(model: DataFrame, debt: DataFrame, collateral: DataFrame) -> DataFrame:
+    """Rows, priced rows and exact totals of the model and both legs per event key.
+
+    One union and one partially aggregated shuffle serve the profiles and the key coverage.
+    """
+    measures = {
+        "model_rows": None,
+        "debt_leg_rows": None,
+        "collateral_leg_rows": None,
+        "model_debt_priced_rows": "debt_amount_usd",
+        "model_collateral_priced_rows": "collateral_amount_usd",
+        "debt_leg_priced_rows": "amount_usd",
+        "collateral_leg_priced_rows": "amount_usd",
+        "model_debt_usd_total": "debt_usd_exact",
+        "model_collateral_usd_total": "collateral_usd_exact",
+    }
+
+    def measure(name: str, column: str | None, source: str) -> Column:
+        total = name.endswith("total")
+        if not name.startswith(source):
+            value = F.lit(None if total else 0)
+        elif total:
+            value = F.col(column)
+        else:
+            value = F.lit(1) if column is None else F.col(column).isNotNull().cast("bigint")
+        return value.cast("decimal(38,14)" if total else "bigint").alias(name)
+
+    out = None
+    for source, df in zip(SOURCES, (model, debt, collateral), strict=True):
+        part = df.select(*KEYS, *[measure(n, c, source) for n, c in measures.items()])
+        out = part if out is None else out.unionByName(part)
+    return out.groupBy(*KEYS).agg(*[F.sum(n).alias(n) for n in measures])
+
+
+def profile_columns() -> list[Column]:
+    """Rows, distinct keys, duplicate surplus, priced rows and totals over ``event_counts``."""
+    out = []
+    for source in SOURCES:
+        rows = F.col(f"{source}_rows")
+        out += [
+            F.coalesce(F.sum(rows), F.lit(0)).alias(f"{source}_rows"),
+            F.count_if(rows > 0).alias(f"{source}_distinct_keys"),
+            F.coalesce(F.sum(F.when(rows > 0, rows - 1)), F.lit(0)).alias(
+                f"{source}_duplicate_surplus_rows"
+            ),
+        ]
+    priced = ("model_debt", "model_collateral", "debt_leg", "collateral_leg")
+    out += [
+        F.coalesce(F.sum(f"{p}_priced_rows"), F.lit(0)).alias(f"{p}_priced_rows") for p in priced
     ]
-    sums = [
-        F.sum(F.abs(F.col(c).cast("decimal(38,14)"))).alias(label) for label, c in totals.items()
+    return out + [
+        six_dp(F.sum(f"model_{s}_usd_total")).alias(f"model_{s}_usd_total") for s in SIDES
     ]
-    per_key = df.groupBy(*KEYS).agg(F.count("*").alias("_n"), *marks, *sums)
-    return per_key.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias(f"{name}_rows"),
-        F.count("*").alias(f"{name}_distinct_keys"),
-        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias(f"{name}_duplicate_surplus_rows"),
-        *[
-            F.coalesce(F.sum(F.col(label)["n"]), F.lit(0)).alias(f"{name}_{label}_rows")
-            for label in priced
-        ],
-        *[six_dp(F.sum(label)).alias(f"{name}_{label}") for label in totals],
-    )
 
 
-def leg_profiles(model: DataFrame, debt: DataFrame, collateral: DataFrame) -> DataFrame:
-    """Profiles of the model and both legs on one row; totals in DECIMAL."""
-    return beside(
-        profile(
-            model, "model",
-            {"debt_priced": "debt_amount_usd", "collateral_priced": "collateral_amount_usd"},
-            {"debt_usd_total": "debt_usd_exact", "collateral_usd_total": "collateral_usd_exact"},
-        ),
-        profile(debt, "debt_leg", {"priced": "amount_usd"}, {}),
-        profile(collateral, "collateral_leg", {"priced": "amount_usd"}, {}),
-    )
+def coverage_of_legs() -> dict[str, Column]:
+    """Keys without a counterpart, in both directions and for both legs."""
+    on_model = F.col("model_rows") > 0
+    out = {}
+    for side in SIDES:
+        on_leg = F.col(f"{side}_leg_rows") > 0
+        out[f"model_without_{side}_keys"] = F.count_if(on_model & ~on_leg)
+        out[f"{side}_without_model_keys"] = F.count_if(on_leg & ~on_model)
+    return out
 
 
-def leg_coverage(model: DataFrame, leg: DataFrame, side: str) -> DataFrame:
-    counts = key_counts(model, leg, KEYS)
-    return counts.agg(
-        F.count_if(F.col("right_rows") == 0).alias(f"model_without_{side}_keys"),
-        F.count_if(F.col("left_rows") == 0).alias(f"{side}_without_model_keys"),
-    )
+def leg_profiles(model: DataFrame, debt: DataFrame, collateral: DataFrame) -> DataFrame:
+    """Profiles of the model and both legs on one row; totals in DECIMAL."""
+    return event_counts(model, debt, collateral).agg(*profile_columns())
 
 
 def usd_difference(prefix: str, side: str) -> Column:
@@ -204,7 +235,7 @@ def usd_difference(prefix: str, side: str) -> Column:
     return F.when(F.col(f"{prefix}_found") & (usd != other), F.abs(usd - other))
 
 
-def largest_difference(reconciled: DataFrame, prefix: str, side: str) -> DataFrame:
+def largest_difference_columns(prefix: str, side: str) -> list[Column]:
     show = {
         "tx_hash": F.concat(F.lit("0x"), F.hex("tx_hash")),
         "evt_index": F.col("evt_index"),
@@ -213,15 +244,17 @@ def largest_difference(reconciled: DataFrame, prefix: str, side: str) -> DataFra
         "leg_usd_abs": F.abs(F.col(f"{prefix}_amount_usd")),
     }
     order = ["block_time", "tx_hash", "evt_index"]
-    return top_difference(
-        reconciled, usd_difference(prefix, side), order, show, f"max_{side}_diff"
-    )
+    return top_difference_columns(usd_difference(prefix, side), order, show, f"max_{side}_diff")
+
+
+def largest_difference(reconciled: DataFrame, prefix: str, side: str) -> DataFrame:
+    return reconciled.agg(*largest_difference_columns(prefix, side))
 
 
 def verdict(counters: Sequence[str]) -> Column:
     """PASS only when every counter is zero and all three sides hold the same events."""
     clean = F.col("model_rows") > 0
-    for side in ("model", "debt_leg", "collateral_leg"):
+    for side in SOURCES:
         clean = clean & (F.col(f"{side}_rows") == F.col("model_rows"))
         clean = clean & (F.col(f"{side}_distinct_keys") == F.col("model_rows"))
     for name in counters:
@@ -232,20 +265,21 @@ def verdict(counters: Sequence[str]) -> Column:
 def reconciliation_report(model: DataFrame, debt: DataFrame, collateral: DataFrame) -> DataFrame:
     """Profiles, coverage, 18 counters, largest differences and the verdict on one row.
 
-    The expected row count is the model's own, since counts are observations of a snapshot.
+    Two aggregates: one over the event keys of all three sides, one over the joined rows. The
+    expected row count is the model's own, since counts are observations of a snapshot.
     """
-    rows = reconciled_rows(model, debt, collateral)
-    coverage = beside(leg_coverage(model, debt, "debt"),
-                      leg_coverage(model, collateral, "collateral"))
-    report = beside(
-        leg_profiles(model, debt, collateral),
-        coverage,
-        leg_quality(rows),
-        largest_difference(rows, "left", "debt"),
-        largest_difference(rows, "right", "collateral"),
+    coverage, quality = coverage_of_legs(), leg_quality_spec()
+    keys = event_counts(model, debt, collateral).agg(
+        *profile_columns(), *[c.alias(n) for n, c in coverage.items()]
+    )
+    joined = reconciled_rows(model, debt, collateral).agg(
+        *difference_counters(quality),
+        *largest_difference_columns("left", "debt"),
+        *largest_difference_columns("right", "collateral"),
+    )
+    return beside(keys, joined).withColumn(
+        "reconciliation_status", verdict([*coverage, *quality])
     )
-    counters = [*coverage.columns, *leg_quality_spec()]
-    return report.withColumn("reconciliation_status", verdict(counters))
 
 
 def ledger_class() -> Column:

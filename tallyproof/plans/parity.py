@@ -16,7 +16,7 @@ from tallyproof.operators.reconcile import (
     field_mismatch,
     key_counts,
 )
-from tallyproof.plans.fee_model import TRADE_COLUMNS, fee_rows, metric_columns
+from tallyproof.plans.fee_model import TRADE_COLUMNS, fee_rows
 from tallyproof.plans.refresh import tagged_paths
 
 BASELINE = "BASELINE"
@@ -150,6 +150,3 @@ def parity_report(
     )
     return with_gate(report, parity_expectations(), "same_snapshot_parity_pass")
 
-
-def rollup_names() -> list[str]:
-    return list(metric_columns())

@@ -9,8 +9,9 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyproof.functions.decimals import six_dp, usd
 from tallyproof.operators.intervals import candidate_entities
-from tallyproof.plans.fee_model import TRADE_COLUMNS, fee_rows, metric_columns
+from tallyproof.plans.fee_model import TRADE_COLUMNS, fee_rows
 from tallyproof.sources.tables import (
     PARTITION,
     drop_partitions,
@@ -127,15 +128,24 @@ def simulate_replacement(full: DataFrame, recomputed: DataFrame, bounds: Bounds)
 def refresh_health(
     rows: DataFrame, keys: Sequence[str] = ("tx_hash", "evt_index"), by: str = PARTITION
 ) -> DataFrame:
-    """Per date touched: rows, duplicate keys, unpriced and repaired rows, residual."""
-    metrics = metric_columns()
-    shown = ("repaired_rows", "unpriced_fee_base_rows", "accounting_residual_usd")
-    per_date = rows.groupBy(by).agg(
-        F.count("*").alias("trade_rows"), *[metrics[name].alias(name) for name in shown]
+    """Per date touched: rows, duplicate keys, unpriced and repaired rows, residual.
+
+    One scan: counting per key first spreads a busy date over its keys.
+    """
+    per_key = rows.groupBy(by, *keys).agg(
+        F.count("*").alias("n"),
+        F.count_if("is_repaired").alias("repaired"),
+        F.count_if(F.col("fee_base_usd").isNull()).alias("unpriced"),
+        *[F.sum(c).alias(c) for c in ("fees_usd", "revenue_usd", "supply_side_fees_usd")],
     )
-    unique = rows.groupBy(by, *keys).count().groupBy(by).agg(F.count("*").alias("distinct_keys"))
-    return per_date.join(unique, by).withColumn(
-        "duplicate_surplus_rows", F.col("trade_rows") - F.col("distinct_keys")
+    residual = usd(F.sum("fees_usd") - F.sum("supply_side_fees_usd")) - F.sum("revenue_usd")
+    return per_key.groupBy(by).agg(
+        F.sum("n").alias("trade_rows"),
+        F.count("*").alias("distinct_keys"),
+        F.sum(F.col("n") - 1).alias("duplicate_surplus_rows"),
+        F.sum("repaired").alias("repaired_rows"),
+        F.sum("unpriced").alias("unpriced_fee_base_rows"),
+        six_dp(usd(residual)).alias("accounting_residual_usd"),
     )
 
 

@@ -12,6 +12,7 @@ from tallyproof.functions.decimals import exact_decimals
 from tallyproof.functions.formulas import fee_reaches_movement, fee_to_movement_bps, fee_wei
 from tallyproof.operators.enrich import annotation_split, priced_fees
 from tallyproof.operators.reconcile import paired
+from tallyproof.operators.sides import counted_side
 from tallyproof.operators.signals import (
     cluster_flags,
     economic_actor_share,
@@ -202,7 +203,8 @@ def case_recompute(
     pass flag.
     """
     chosen = cases.select("address", "stratum", "nonzero_groups", "fired_groups")
-    legs = transfer_legs(transfers).join(chosen.select("address"), "address", "left_semi")
+    wanted, _ = counted_side(chosen.select("address"))
+    legs = transfer_legs(transfers).join(wanted, "address", "left_semi")
     moved = (
         legs.groupBy("address", "token", "tx_hash")
         .agg(F.sum(F.col("incoming") - F.col("outgoing")).alias("net"))

@@ -47,8 +47,13 @@ def points(spark: SparkSession, d: str) -> DataFrame:
     return fm.fee_points(td.pools(spark, d), td.settings(spark, d))
 
 
+def stored_trades(spark: SparkSession, d: str) -> DataFrame:
+    """Deduplicated trades as a table, for queries that read them several times."""
+    return tables.frozen_relation(td.trades(spark, d), "trades")
+
+
 def model_rows(spark: SparkSession, d: str, strategy: str = "auto") -> DataFrame:
-    t = td.trades(spark, d)
+    t = stored_trades(spark, d)
     return fm.fee_rows(
         t, td.pools(spark, d), td.settings(spark, d), td.token_prices(t), in_scope(), seg(), "day",
         strategy,
@@ -142,11 +147,16 @@ CONTRACT = T.StructType(
 
 
 @query("schema_contract", """
-SELECT * FROM (VALUES
+SELECT column_name, expected_type, live_type, status, CASE column_name WHEN 'blockchain' THEN b
+ WHEN 'block_date' THEN d WHEN 'tx_hash' THEN t WHEN 'evt_index' THEN e WHEN 'amount_usd' THEN a
+ WHEN 'pool' THEN p END AS value_rows
+FROM (VALUES
  ('blockchain','string','string','OK'), ('block_date','date','date','OK'),
  ('tx_hash','bigint','bigint','OK'), ('evt_index','int','bigint','TYPE_CHANGED'),
  ('amount_usd','decimal(18,6)','decimal(18,6)','OK'), ('gas_used','bigint',NULL,'MISSING'),
- ('pool',NULL,'bigint','EXTRA')) t(column_name, expected_type, live_type, status)""")
+ ('pool',NULL,'bigint','EXTRA')) v(column_name, expected_type, live_type, status),
+(SELECT count(blockchain) AS b, count(block_date) AS d, count(tx_hash) AS t, count(evt_index) AS e,
+  count(amount_usd) AS a, count(pool) AS p FROM trades_all)""")
 def schema_contract(spark, d):
     live = td.trades_all(spark, d).select(
         "blockchain", "block_date", "tx_hash", "evt_index", "amount_usd", "pool"
@@ -686,7 +696,7 @@ SELECT metric, unit, before_value, after_value,
      AS DECIMAL(28,0)) * CAST(0.0001 AS DECIMAL(5,4)) AS DECIMAL(28,4))::VARCHAR || '%' END
    AS percentage_change FROM impact""", LEGACY_SQL)
 def impact_table(spark, d):
-    t = td.trades(spark, d)
+    t = stored_trades(spark, d)
     args = (td.pools(spark, d), td.settings(spark, d), td.token_prices(t))
     before = fm.fee_model(t, *args, F.lit(False), seg(), "day")
     after = fm.fee_model(t, *args, in_scope(), seg(), "day")
@@ -736,7 +746,7 @@ OVERLAP_SQL = {
 
 
 def build_of(spark: SparkSession, d: str) -> refresh.Build:
-    t = td.trades(spark, d)
+    t = stored_trades(spark, d)
     return refresh.incremental_build(
         t, td.pools(spark, d), td.settings(spark, d), td.token_prices(t), in_scope(), seg(), "day"
     )
@@ -747,12 +757,11 @@ SELECT model_path, {ROLLUP_SQL} FROM (
  SELECT 'BASELINE' AS model_path, * FROM fee_rows
  UNION ALL SELECT 'OPTIMIZED_FULL_REFRESH', * FROM fee_rows) GROUP BY model_path""")
 def tagged_paths(spark, d):
-    return fm.metric_rollup(both_paths(spark, d), ["model_path"])
+    return fm.metric_rollup(both_paths(spark, d, stored_trades(spark, d)), ["model_path"])
 
 
-def path_sources(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+def path_sources(t: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The time-bounded and the date-bounded scan of one snapshot."""
-    t = td.trades(spark, d)
     baseline = scans.window_scan(t, td.CHAIN, "block_time", td.FIRST_DAY, td.LAST_DAY)
     optimized = scans.partition_pruned_scan(
         t, td.CHAIN, "block_time", td.FIRST_DAY, td.LAST_DAY
@@ -760,9 +769,9 @@ def path_sources(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return baseline, optimized
 
 
-def both_paths(spark: SparkSession, d: str) -> DataFrame:
+def both_paths(spark: SparkSession, d: str, t: DataFrame) -> DataFrame:
     return parity.two_paths(
-        *path_sources(spark, d), td.pools(spark, d), td.settings(spark, d), td.prices(spark, d),
+        *path_sources(t), td.pools(spark, d), td.settings(spark, d), td.token_prices(t),
         in_scope(), seg(), "day",
     )
 
@@ -797,8 +806,9 @@ def _parity_select() -> str:
 
 
 def parity_of(spark: SparkSession, d: str) -> DataFrame:
-    rows = tables.frozen_relation(both_paths(spark, d), "paths", "model_path")
-    return parity.parity_report(rows, *path_sources(spark, d))
+    t = stored_trades(spark, d)
+    rows = tables.frozen_relation(both_paths(spark, d, t), "paths", "model_path")
+    return parity.parity_report(rows, *path_sources(t))
 
 
 @query("parity_report", _parity_select(), PARITY_SQL)

@@ -12,6 +12,7 @@ from tallyproof.plans import liquidations as lq
 from tallyproof.registry.views import with_views
 from tallyproof.sources import scans
 from tallyproof.sources import testdata as td
+from tallyproof.sources.tables import frozen_relation
 
 QUERIES = {}
 ORACLES = {}
@@ -246,6 +247,11 @@ def priced(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def stored_priced(spark: SparkSession, d: str) -> DataFrame:
+    """The priced model as a table; the model and both test legs read it."""
+    return frozen_relation(priced(spark, d), "liquidations")
+
+
 SIDES = {"debt": ("borrow_liquidation", "repayer"),
          "collateral": ("deposit_liquidation", "withdrawn_to")}
 
@@ -269,7 +275,7 @@ def scoped_legs(rows: DataFrame, faulty: bool) -> list[DataFrame]:
 
 
 def reconciled(spark: SparkSession, d: str, faulty: bool = True) -> DataFrame:
-    rows = priced(spark, d)
+    rows = stored_priced(spark, d)
     return lq.reconciled_rows(rows, *scoped_legs(rows, faulty))
 
 
@@ -351,20 +357,20 @@ def leg_quality(spark, d):
 
 @query("leg_profiles", _profiles("debt_bad", "coll_bad"))
 def leg_profiles(spark, d):
-    rows = priced(spark, d)
+    rows = stored_priced(spark, d)
     return lq.leg_profiles(rows, *scoped_legs(rows, True))
 
 
 @query("reconciliation_report", _report("debt_bad", "coll_bad", "rec_bad"))
 def reconciliation_report(spark, d):
-    rows = priced(spark, d)
+    rows = stored_priced(spark, d)
     return lq.reconciliation_report(rows, *scoped_legs(rows, True))
 
 
 @query("liquidation_reconciliation", _report("debt_ok", "coll_ok", "rec_ok"))
 def liquidation_reconciliation(spark, d):
     """The same report against legs without faults: every counter zero and a PASS."""
-    rows = priced(spark, d)
+    rows = stored_priced(spark, d)
     return lq.reconciliation_report(rows, *scoped_legs(rows, False))
 
 
@@ -433,7 +439,7 @@ WHERE x.project <> 'lender' GROUP BY ALL""" for name, view in (
     ("debt", "debt_all"), ("collateral", "coll_all"))))
 def scope_exclusions(spark, d):
     """Keys of the even half of the compared events are taken as leaked, to show a count."""
-    legs = all_legs(priced(spark, d), True)
+    legs = all_legs(stored_priced(spark, d), True)
     own = F.col("project") == td.LENDER["project"]
     compared = legs["debt"].where(own & (F.col("tx_hash") % 2 == 0))
     return lq.scope_exclusions(legs, compared, own)

@@ -93,16 +93,25 @@ def schema_rows(df: DataFrame) -> list[tuple[str, str]]:
 
 
 def schema_contract(df: DataFrame, expected: T.StructType | Mapping[str, str]) -> DataFrame:
-    """One row per column that is missing, extra or of another type; empty when honoured.
+    """One row per expected or live column with its types, status and number of values.
 
-    Reads only the schema, never the rows.
+    The values are counted in one scan, since a column that exists but is empty breaks a model
+    just as a missing one does.
     """
     if isinstance(expected, T.StructType):
         expected = {f.name: f.dataType.simpleString() for f in expected.fields}
-    kind = "column_name string, {0}_type string"
     spark = df.sparkSession
-    live = spark.createDataFrame(schema_rows(df), kind.format("live"))
-    want = spark.createDataFrame(list(expected.items()), kind.format("expected"))
+    want = spark.createDataFrame(list(expected.items()), "column_name string, expected_type string")
+    cells = F.array(
+        *[
+            F.struct(F.lit(n).alias("column_name"), F.lit(t).alias("live_type"), F.col(n).alias("v"))
+            for n, t in schema_rows(df)
+        ]
+    )
+    counted = df.agg(*[F.count(n).alias(n) for n, _ in schema_rows(df)])
+    live = counted.select(F.explode(cells).alias("c")).select(
+        "c.column_name", "c.live_type", F.col("c.v").alias("value_rows")
+    )
     status = (
         F.when(F.col("live_type").isNull(), "MISSING")
         .when(F.col("expected_type").isNull(), "EXTRA")

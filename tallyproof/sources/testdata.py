@@ -49,11 +49,24 @@ def segment_of(block: Column) -> Column:
 
 def trades_all(spark: SparkSession, folder: str) -> DataFrame:
     """Undeduplicated trades from line items."""
+    return as_trades(table(spark, folder, "lineitem"))
+
+
+def trades(spark: SparkSession, folder: str) -> DataFrame:
+    """One trade per event key; the copies go before anything is derived from them."""
+    lines = table(spark, folder, "lineitem")
+    unique = first_per_key(
+        lines, ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey", "l_extendedprice"]
+    )
+    return as_trades(unique)
+
+
+def as_trades(lines: DataFrame) -> DataFrame:
     day = F.col("l_shipdate").cast("date")
     token0, token1 = F.col("l_suppkey") * 2, F.col("l_suppkey") * 2 + 1
     flag = F.col("l_returnflag")
     quantity = F.col("l_quantity").cast("decimal(18,6)")
-    return table(spark, folder, "lineitem").select(
+    return lines.select(
         F.lit(CHAIN["blockchain"]).alias("blockchain"),
         F.lit(CHAIN["project"]).alias("project"),
         F.col("l_linestatus").alias("version"),
@@ -76,12 +89,6 @@ def trades_all(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def trades(spark: SparkSession, folder: str) -> DataFrame:
-    return first_per_key(
-        trades_all(spark, folder), EVENT_KEY, ["part_key", "pool", "list_usd"]
-    )
-
-
 def pools(spark: SparkSession, folder: str) -> DataFrame:
     tier = F.element_at(
         F.array(*[F.lit(v) for v in (100, 500, 3000, 10000)]), F.col("s_nationkey") % 4 + 1
