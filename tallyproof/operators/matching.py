@@ -14,8 +14,9 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyproof.functions.decimals import RAW, whole
+from tallyproof.functions.decimals import whole
 from tallyproof.operators.ordered import Carry, carry
+from tallyproof.sources.tables import frozen_relation
 
 PAIR = ["token", "low", "high"]
 # Total order of events, also their identity within a pair.
@@ -194,11 +195,13 @@ def mutual_best_match(
 ) -> DataFrame:
     """Pairs of events that choose each other, per tolerance.
 
-    Both sides of a choice are written in the same order and counted, which replaces a self
-    join.
+    Events of one direction, instant and amount make the same choice, and only the first of them
+    can be chosen, so equal events collapse before anything else. Both sides of a choice are
+    written in the same order and counted, which replaces a self join.
     """
     levels = F.array(*[F.lit(b) for b in tolerances])
-    tried = events.withColumn("bps", F.explode(levels))
+    first = events.groupBy(*PAIR, "direction", "at", "amount").agg(F.min("event").alias("event"))
+    tried = frozen_relation(first, "instants").withColumn("bps", F.explode(levels))
     best = best_reverse(tried, widest, segment_seconds)
     ahead = F.col("direction") == 0
     return (
@@ -246,6 +249,3 @@ def return_grid(
         F.col("gap").alias("largest_gap_seconds"),
     )
 
-
-def raw_sum(column: str) -> Column:
-    return F.sum(F.col(column).cast(RAW))

@@ -104,8 +104,8 @@ class Stages:
 def build_stages(inputs: Inputs, rules: Rules, freeze: bool = True) -> Stages:
     """Net, qualify and price one window.
 
-    With ``freeze`` the netted groups are stored once and read back by every signal; without
-    it each signal rebuilds them, which suits a query that needs only one.
+    With ``freeze`` the netted and the qualified groups are stored once and read back by every
+    signal; without it each signal rebuilds them, which suits a query that needs only one.
     """
     window = inputs.transfers.where(
         in_window(inputs.transfers, "block_time", rules.start, rules.end)
@@ -116,6 +116,8 @@ def build_stages(inputs: Inputs, rules: Rules, freeze: bool = True) -> Stages:
     groups = nonzero_groups(netting)
     pairs = qualify_pairs(groups, rules.min_groups, rules.min_days)
     own_groups = groups.join(pairs.select(*PAIR), PAIR, "left_semi")
+    if freeze:
+        own_groups = frozen_relation(own_groups, "qualified-groups")
     fees = tx_fees(inputs.transactions, inputs.gas_prices, rules.gas_asset)
     signals = tx_signals(tx_movement(tx_token_movement(netting)), fees)
     return Stages(window, netting, groups, pairs, own_groups, signals)

@@ -61,7 +61,7 @@ def model_rows(spark: SparkSession, d: str, strategy: str = "auto") -> DataFrame
 
 
 def whole_price_valued(spark: SparkSession, d: str) -> DataFrame:
-    t = td.trades(spark, d)
+    t = stored_trades(spark, d)
     return enrich.valued_rows(t, td.token_prices(t), "day")
 
 
@@ -123,11 +123,10 @@ def trade_sink(spark, d):
 SELECT row_number() OVER (ORDER BY block_number, evt_index, tx_hash) AS affected_row_number,
   block_number, tx_hash, evt_index, fixed_6 AS fixed_fee_base_usd_6, reason_code FROM affected""")
 def frozen_relation(spark, d):
-    return frozen_affected(spark, d)
+    return frozen_affected(stored_trades(spark, d))
 
 
-def frozen_affected(spark: SparkSession, d: str) -> DataFrame:
-    t = td.trades(spark, d)
+def frozen_affected(t: DataFrame) -> DataFrame:
     rows = fm.affected_rows(t, td.token_prices(t), in_scope(), seg(), "day")
     kept = ["affected_row_number", "block_number", "tx_hash", "evt_index", "fixed_fee_base_usd_6",
             "reason_code"]
@@ -525,7 +524,7 @@ SELECT count(*) AS row_count,
 @query("expected_set_profile", PROFILE_SQL)
 def expected_set_profile(spark, d):
     return reconcile.expected_set_profile(
-        frozen_affected(spark, d), KEY, "fixed_fee_base_usd_6", "reason_code",
+        frozen_affected(stored_trades(spark, d)), KEY, "fixed_fee_base_usd_6", "reason_code",
         "affected_row_number", [fx.ORDINARY, fx.MATERIAL],
     )
 
@@ -537,13 +536,12 @@ CHANGE_SQL = {
 }
 
 
-def change_sets(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+def change_sets(t: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Expected (stored) and independently rebuilt change set, one row per key."""
-    t = td.trades(spark, d)
     actual = fm.actual_changed(t, td.token_prices(t), in_scope(), "day")
     order = ["block_number", "evt_index", "tx_hash"]
     return (
-        reconcile.dedupe_by_key(frozen_affected(spark, d), KEY, order),
+        reconcile.dedupe_by_key(frozen_affected(t), KEY, order),
         reconcile.dedupe_by_key(actual, KEY, order),
     )
 
@@ -562,7 +560,7 @@ FROM expected e FULL JOIN actual a ON e.tx_hash = a.tx_hash AND e.evt_index = a.
 @query("changed_set_diff", DIFF_SQL, CHANGE_SQL)
 def changed_set_diff(spark, d):
     return reconcile.changed_set_diff(
-        *change_sets(spark, d), KEY, "fixed_fee_base_usd_6", "reason_code"
+        *change_sets(stored_trades(spark, d)), KEY, "fixed_fee_base_usd_6", "reason_code"
     )
 
 
@@ -581,15 +579,16 @@ FROM (SELECT CAST(t.amount_usd AS DECIMAL(38,6)) AS b, e.tx_hash IS NOT NULL AS
    LEFT JOIN expected e ON t.tx_hash = e.tx_hash AND t.evt_index = e.evt_index)"""
 
 
-def row_diff_of(spark: SparkSession, d: str, sets: tuple[DataFrame, DataFrame]) -> DataFrame:
+def row_diff_of(t: DataFrame, sets: tuple[DataFrame, DataFrame]) -> DataFrame:
     expected, actual = sets
-    base = td.trades(spark, d).select(*KEY, six_dp(usd(F.col("amount_usd"))).alias("before_usd"))
+    base = t.select(*KEY, six_dp(usd(F.col("amount_usd"))).alias("before_usd"))
     return reconcile.row_diff(base, actual, expected, KEY, "before_usd", "fixed_fee_base_usd_6")
 
 
 @query("row_diff", ROW_DIFF_SQL, CHANGE_SQL)
 def row_diff(spark, d):
-    return row_diff_of(spark, d, change_sets(spark, d))
+    t = stored_trades(spark, d)
+    return row_diff_of(t, change_sets(t))
 
 
 REGRESSION_CHECKS = {
@@ -608,17 +607,18 @@ REGRESSION_CHECKS = {
 
 def regression_metrics(spark: SparkSession, d: str) -> DataFrame:
     """Base audit, set profile, set difference and population difference on one row."""
-    sets = change_sets(spark, d)
+    t = stored_trades(spark, d)
+    sets = change_sets(t)
     profile = reconcile.expected_set_profile(
         sets[0], KEY, "fixed_fee_base_usd_6", "reason_code", "affected_row_number",
         [fx.ORDINARY, fx.MATERIAL],
     )
     profile = profile.select(*[F.col(c).alias(f"expected_{c}") for c in profile.columns])
     return reconcile.beside(
-        reconcile.key_audit(td.trades(spark, d), KEY, "amount_usd"),
+        reconcile.key_audit(t, KEY, "amount_usd"),
         profile,
         reconcile.changed_set_diff(*sets, KEY, "fixed_fee_base_usd_6", "reason_code"),
-        row_diff_of(spark, d, sets),
+        row_diff_of(t, sets),
     )
 
 
@@ -735,7 +735,7 @@ SELECT row_number() OVER (ORDER BY block_number, evt_index, tx_hash) AS affected
   CAST(fixed_6 - legacy_6 AS DECIMAL(38,6)) AS fee_base_delta_usd,
   CAST(round(pct, 4) AS DECIMAL(38,4)) AS absolute_difference_pct FROM affected""")
 def affected_rows(spark, d):
-    t = td.trades(spark, d)
+    t = stored_trades(spark, d)
     return fm.affected_rows(t, td.token_prices(t), in_scope(), seg(), "day")
 
 

@@ -432,7 +432,7 @@ def counterparty_features(spark, d):
 
 @query("interval_features", "SELECT * FROM ivals_main")
 def interval_features(spark, d):
-    return tr.interval_features(tr.group_gaps(stages(spark, d).own_groups, segment()))
+    return tr.interval_features(tr.group_gaps(stages(spark, d, freeze=True).own_groups, segment()))
 
 
 @query("distribution_profile", """
