@@ -138,7 +138,9 @@ def best_reverse(
     difference; then event order.
     """
     limit = int(widest.total_seconds())
-    gaps = _nearest_gap(events, segment_seconds).where(F.col("gap") <= limit)
+    near_enough = _nearest_gap(events, segment_seconds).where(F.col("gap") <= limit)
+    # The second lookup reads its input twice.
+    gaps = frozen_relation(near_enough, "gaps")
     # At a known gap only two instants matter; equal amounts at one instant collapse first.
     instants = F.array_distinct(
         F.array(F.col("at") - F.col("gap"), F.col("at") + F.col("gap"))

@@ -8,7 +8,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyproof.functions.decimals import RAW, bps, dec, int_div, whole
+from tallyproof.functions.decimals import RAW, bps, dec, whole
 from tallyproof.operators.ordered import Carry, carry, first_per_key
 
 # Columns that are constant within one transaction.
@@ -328,7 +328,3 @@ def reverse_edges(transfers: DataFrame) -> DataFrame:
 def exact_unit_convert(groups: DataFrame, by: Sequence[str], value: str, out: str) -> DataFrame:
     """Integer totals per group; conversion to units happens once, afterwards."""
     return groups.groupBy(*by).agg(whole(F.sum(whole(F.col(value)))).alias(out))
-
-
-def whole_units(total: Column, decimals: int) -> Column:
-    return int_div(total, dec(10**decimals, RAW))

@@ -18,6 +18,7 @@ from tallyproof.functions.formulas import (
 from tallyproof.operators.enrich import accepted_repairs, inline_repairs, valued_rows
 from tallyproof.operators.intervals import interval_lookup, state_points
 from tallyproof.operators.ordered import row_numbers
+from tallyproof.sources.tables import frozen_relation
 
 ORDER = ["block_number", "evt_index"]
 
@@ -144,7 +145,8 @@ def affected_rows(
         percent_difference(legacy, fixed).alias("_pct"),
         "reason_code",
     )
-    numbered = numbered_affected(shown, segment)
+    # Numbering reads the set twice; the stored copy spares a second pass over the trades.
+    numbered = numbered_affected(frozen_relation(shown, "repairs"), segment)
     delta = F.col("fixed_fee_base_usd_6") - F.col("legacy_fee_base_usd_6")
     return numbered.withColumn("fee_base_delta_usd", delta.cast("decimal(38,6)")).withColumn(
         "absolute_difference_pct", F.round("_pct", 4).cast("decimal(38,4)")

@@ -445,7 +445,7 @@ FROM (SELECT token, CAST(movement_raw AS BIGINT) AS v, row_number() OVER (PARTIT
  (SELECT CAST(unnest(range(1, 100)) AS INTEGER) AS k)
 WHERE r * 100 >= k * n GROUP BY token, k""")
 def distribution_profile(spark, d):
-    movement = tr.tx_token_movement(stages(spark, d).netting)
+    movement = frozen_relation(tr.tx_token_movement(stages(spark, d).netting), "movement")
     return signals.distribution_profile(movement, "movement_raw", ["token"])
 
 

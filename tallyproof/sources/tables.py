@@ -62,10 +62,6 @@ def drop_partitions(
     return dropped
 
 
-def table_dates(spark: SparkSession, path: str, partition: str = PARTITION) -> DataFrame:
-    return read_table(spark, path).select(partition).distinct()
-
-
 def newest_date(spark: SparkSession, path: str, partition: str = PARTITION) -> date | None:
     """Latest date of a target; None when it is missing or empty."""
     try:
