@@ -5,7 +5,8 @@ from __future__ import annotations
 import pytest
 from compare import connect, rows_of
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from tallyproof.registry import all_oracles, all_queries
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -16,18 +17,18 @@ def duck():
 
 
 def test_every_query_has_a_twin():
-    assert set(queries()) == set(oracle_sql())
+    assert set(all_queries()) == set(all_oracles())
 
 
 def test_entry_runs(spark):
     assert entry(spark).count() == 1
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query_equals_its_twin(spark, duck, name):
-    df = queries()[name](spark, FOLDER)
+    df = all_queries()[name](spark, FOLDER)
     got = rows_of(df.columns, [tuple(r) for r in df.collect()])
-    cursor = duck.execute(oracle_sql()[name])
+    cursor = duck.execute(all_oracles()[name])
     columns = [c[0] for c in cursor.description]
     assert sorted(columns) == sorted(df.columns)
     assert got == rows_of(columns, cursor.fetchall())
