@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +27,30 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors once per application, wherever they were started."""
+    context = spark.sparkContext
+    if getattr(context, "tallyproof_sent", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="tallyproof-")) / "tallyproof.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, Path(package.name) / file.relative_to(package))
+    context.addPyFile(str(archive))
+    context.tallyproof_sent = True
+
+
+def mapped(df: DataFrame, work: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` with this package at hand on the executors."""
+    ship(df.sparkSession)
+    return df.mapInArrow(work, schema)
+
+
+def fields(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+
+
 def without(df: DataFrame, *names: str) -> list[str]:
     """Backquoted input columns whose names (in any case) are not among ``names``."""
     taken = {n.lower() for n in names}

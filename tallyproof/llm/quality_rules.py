@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyproof.llm.common import blocks, table, utf8, without
+from tallyproof.llm.common import blocks, fields, mapped, table, utf8, without
 from tallyproof.llm.words import SPACE, code_points, mixed, windows, words
 
 SYMBOLS = np.zeros(256, bool)
@@ -143,8 +143,7 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
                 columns = [*batch.slice(i, j - i).columns, *(pa.array(part[c]) for c in [*COUNTS, *SHARES])]
                 yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, *COUNTS, *SHARES])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema)
-    return chosen.mapInArrow(work, f"{fields}, {MEASURES}")
+    return mapped(chosen, work, f"{fields(chosen)}, {MEASURES}")
 
 
 def judged(docs: DataFrame, limits: Limits | None = None, text: str = "text") -> DataFrame:

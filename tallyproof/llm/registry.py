@@ -6,9 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyproof.llm import mixing, url_filter
+from tallyproof.llm.bpe import op9_bpe
+from tallyproof.llm.mixing import op1_poisson_mix
+from tallyproof.llm.ngram_join import op3_ngram_join
 from tallyproof.llm.quality_rules import op4_quality_rules
+from tallyproof.llm.sharding import op8_vector_packing
+from tallyproof.llm.url_filter import op7_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_poisson_mix": op1_poisson_mix,
+    "op3_ngram_join": op3_ngram_join,
     "op4_quality_rules": op4_quality_rules,
+    "op7_url_filter": op7_url_filter,
+    "op8_vector_packing": op8_vector_packing,
+    "op9_bpe": op9_bpe,
+}
+ORACLES: dict[str, str] = {
+    "op1_poisson_mix": mixing.ORACLE,
+    "op7_url_filter": url_filter.ORACLE,
 }
-ORACLES: dict[str, str] = {}
