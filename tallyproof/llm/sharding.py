@@ -3,8 +3,8 @@
 Documents with equal texts form a group. Groups that matter by themselves (over 1/4096 of any
 total) are packed as they are, the others in 4096 hashed parcels, so that the packing looks at a
 number of items bounded by parameters, whatever the number of documents. Each item goes to the
-shard whose residual capacity has the largest dot product with it; a closing pass moves items
-between the fullest and the emptiest shard until their bytes agree. A group larger than half a
+shard whose residual capacity has the largest dot product with it; a closing pass moves and exchanges
+items between the fullest and the emptiest shard until their bytes agree. A group larger than half a
 shard is split into pieces of about a quarter of a shard.
 
 Defined results: a null text has size 1 and no tokens; null and empty texts are different groups of
@@ -39,19 +39,32 @@ def packed(items: np.ndarray, shards: int) -> np.ndarray:
 
 
 def evened(size: np.ndarray, place: np.ndarray, shards: int) -> np.ndarray:
-    """Moves the item nearest to half the gap from the fullest to the emptiest shard, while that
-    narrows the gap."""
+    """Between the fullest and the emptiest shard, moves an item or exchanges two, whichever comes
+    nearest to closing half the gap, while that narrows it."""
     load = np.bincount(place, size, shards)
     for _ in range(4 * len(size)):
         high, low = int(load.argmax()), int(load.argmin())
         gap = load[high] - load[low]
-        own = np.flatnonzero((place == high) & (size > 0) & (size < gap))
-        if not len(own):
+        given = np.flatnonzero(place == high)
+        taken = np.append(np.flatnonzero(place == low), -1)
+        weight = np.append(size, 0.0)
+        order = taken[np.argsort(weight[taken], kind="stable")]
+        # for each item given, the item taken back whose size leaves nearest to half the gap
+        want = size[given] - gap / 2
+        spot = np.searchsorted(weight[order], want)
+        best = (gap, -1, -1)
+        for near in (np.maximum(spot - 1, 0), np.minimum(spot, len(order) - 1)):
+            left = np.abs(gap - 2 * (size[given] - weight[order[near]]))
+            if len(left) and left.min() < best[0] - 1e-12:
+                best = (left.min(), given[left.argmin()], order[near[left.argmin()]])
+        if best[1] < 0:
             break
-        i = own[np.argmin(np.abs(size[own] - gap / 2))]
-        place[i] = low
-        load[high] -= size[i]
-        load[low] += size[i]
+        moved = size[best[1]] - weight[best[2]]
+        place[best[1]] = low
+        if best[2] >= 0:
+            place[best[2]] = high
+        load[high] -= moved
+        load[low] += moved
     return place
 
 
