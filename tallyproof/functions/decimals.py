@@ -63,3 +63,29 @@ def reaches(part: Column, total: Column, threshold_bps: Column | int) -> Column:
     """``part / total >= threshold`` without a division."""
     limit = F.lit(threshold_bps) if isinstance(threshold_bps, int) else threshold_bps
     return whole(part) * F.lit(BPS) >= whole(total) * limit
+
+
+def power_of_ten(exponent: Column) -> Column:
+    """Ten to a whole number from 0 to 18 as DECIMAL; other exponents raise."""
+    table = F.array(*[dec(10**k, RAW) for k in range(19)])
+    outside = F.raise_error(F.concat(F.lit("no exact scale for decimals "), exponent.cast("string")))
+    chosen = F.element_at(table, exponent.cast("int") + 1)
+    return F.when(exponent.isNull() | exponent.between(0, 18), chosen).otherwise(outside.cast(RAW))
+
+
+def units_times_price(raw: Column, decimals: Column, price: Column, down: bool = False) -> Column:
+    """``raw / 10**decimals * price`` rounded once, at 18 places: half up, or down.
+
+    Resolve under ``exact_decimals``. Whole units and the remainder, and the price's whole and
+    fractional part, are multiplied apart, so no digit of the inputs is dropped and no product
+    needs more than 38 digits unless the result itself does, which raises.
+    """
+    raw, price, unit = whole(raw), usd(price), power_of_ten(decimals)
+    rest = whole(raw % unit)
+    units = whole((raw - rest) / unit).cast("decimal(20,0)")
+    share = (rest / unit).cast("decimal(18,18)")
+    round_price = F.floor(price).cast("decimal(20,0)")
+    fine_price = (price - round_price).cast("decimal(18,18)")
+    fine = share * fine_price
+    fine = usd(F.floor(fine, F.lit(18)) if down else fine)
+    return usd(usd(units * price) + usd(share * round_price) + fine)

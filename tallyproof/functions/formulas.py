@@ -7,7 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallyproof.functions.decimals import RAW, USD, bps, dec, six_dp, usd, whole
+from tallyproof.functions.decimals import (
+    BPS,
+    RAW,
+    USD,
+    dec,
+    int_div,
+    six_dp,
+    units_times_price,
+    usd,
+    whole,
+)
 
 # Reason codes written to repaired rows.
 ORDINARY = "FEE_BASE_INPUT_SIDE_REVALUATION"
@@ -127,27 +137,29 @@ def fee_wei(gas_used: Column, gas_price: Column) -> Column:
 
 
 def fee_usd(wei: Column, price: Column) -> Column:
-    """Wei to USD at 18 places. Resolve under ``exact_decimals``."""
-    per_wei = dec("0.000000000000000001", "decimal(18,18)")
-    return usd(wei.cast("decimal(26,0)") * price.cast("decimal(12,2)") * per_wei)
+    """Wei to USD at 18 places, whatever the price's own scale. Resolve under ``exact_decimals``."""
+    return units_times_price(wei, F.lit(18), price)
+
+
+def _floored_fee(wei: Column, price: Column) -> Column:
+    """The fee cut at 18 places: below it by less than the smallest step of a movement, so
+    comparisons with a movement and whole quotients by it stay exact."""
+    return units_times_price(wei, F.lit(18), price, down=True)
 
 
 def fee_reaches_movement(wei: Column, price: Column, movement_raw: Column) -> Column:
-    """``fee_usd >= movement_usd`` on integers; a zero movement is reached by any fee.
+    """``fee_usd >= movement_raw / 1e6``, exactly; a zero movement is reached by any fee.
 
-    USD movement is ``raw / 1e6`` and the fee ``wei / 1e18 * price``, so both sides are scaled
-    by 1e20. Resolve under ``exact_decimals``.
+    Resolve under ``exact_decimals``.
     """
-    cents = whole(price.cast("decimal(12,2)") * 100)
-    fee = whole(wei.cast("decimal(26,0)") * cents.cast("decimal(12,0)"))
-    return fee >= whole(movement_raw.cast("decimal(22,0)") * dec(10**14, "decimal(15,0)"))
+    moved = movement_raw.cast("decimal(26,0)") * dec("0.000001", "decimal(6,6)")
+    return _floored_fee(wei, price) >= moved.cast("decimal(32,6)")
 
 
 def fee_to_movement_bps(wei: Column, price: Column, movement_raw: Column) -> Column:
     """Whole basis points; NULL for a zero movement. Resolve under ``exact_decimals``."""
-    cents = whole(price.cast("decimal(12,2)") * 100)
-    fee = whole(wei.cast("decimal(26,0)") * cents.cast("decimal(12,0)"))
-    return bps(fee, whole(movement_raw.cast("decimal(22,0)") * dec(10**14, "decimal(15,0)")))
+    scaled = usd(_floored_fee(wei, price) * dec(10**6 * BPS, "decimal(11,0)"))
+    return int_div(F.floor(scaled), movement_raw)
 
 
 def from_units(raw_sum: Column, decimals: int) -> Column:

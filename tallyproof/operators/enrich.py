@@ -16,7 +16,7 @@ from tallyproof.functions.formulas import (
     reason_code_model,
 )
 from tallyproof.operators.ordered import first_per_key
-from tallyproof.operators.sides import BROADCAST_ROWS, counted_side
+from tallyproof.operators.sides import BROADCAST_BYTES, sized_side
 
 
 def bucket_price_join(
@@ -110,9 +110,9 @@ def repair_overlay(trades: DataFrame, repairs: DataFrame, keys: Sequence[str]) -
     """Put accepted repairs over the trades on the full key.
 
     Use this for a stored repair set; ``inline_repairs`` gives the same rows from the prices. A
-    counted small set is broadcast, so the trades stay where they are.
+    small set is broadcast, so the trades stay where they are.
     """
-    side, _ = counted_side(
+    side, _ = sized_side(
         repairs.select(
             *keys,
             F.col("fixed_fee_base_usd").alias("_fixed"),
@@ -141,23 +141,23 @@ def inline_repairs(
     prices: DataFrame,
     in_scope: Column,
     grain: str = "minute",
-    side_rows: int = BROADCAST_ROWS,
+    side_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Repair the rows in scope and pass the others through untouched.
 
-    The prices that the scope needs are cached and counted. While they are few, the trades are
-    read once and meet a broadcast table. Beyond that the rows in scope are priced by a shuffled
+    The prices that the scope needs are stored. While they are small, the trades are read once and
+    meet a broadcast table. Beyond that the rows in scope are priced by a shuffled
     join of their own and the others are neither joined nor moved.
     """
     scope = F.coalesce(in_scope, F.lit(False))
-    side, small = counted_side(scoped_prices(trades, prices, scope), side_rows)
+    side, small = sized_side(scoped_prices(trades, prices, scope), side_bytes)
     if small:
         rows = trades.withColumn("_scope", scope).withColumn(
             "_scope_asset", F.when(F.col("_scope"), F.col("token_sold"))
         )
         valued = valued_rows(rows, side, grain, "_scope_asset")
         return _overlaid(valued, F.col("_scope"), trades.columns)
-    valued = valued_rows(trades.where(scope), prices, grain)
+    valued = valued_rows(trades.where(scope), side, grain)
     rest = trades.where(~scope).withColumn("legacy_fee_base_usd", usd(F.col("amount_usd")))
     rest = rest.withColumn("fixed_fee_base_usd", F.lit(None).cast(USD))
     repaired = _overlaid(valued, F.lit(True), trades.columns)
@@ -214,7 +214,7 @@ def late_annotation(
     to the cases before anything is grouped.
     """
     chosen = cases.select(key, stratum)
-    wanted, _ = counted_side(chosen.select(key))
+    wanted, _ = sized_side(chosen.select(key))
     label_counts = (
         labels.select(F.col("address").alias(key))
         .join(wanted, key, "left_semi")

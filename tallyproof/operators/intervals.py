@@ -109,6 +109,16 @@ def fill_lookup(
     )
 
 
+def one_point_each(points: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """One point per entity and place: the greatest of those that tie."""
+    place = [*keys, *order]
+    state = [c for c in points.columns if c not in place]
+    if not state:
+        return points.distinct()
+    merged = points.groupBy(*place).agg(F.max(F.struct(*state)).alias("_state"))
+    return merged.select(*[F.col(c) if c in place else F.col("_state")[c].alias(c) for c in points.columns])
+
+
 def busiest_entity_points(points: DataFrame, keys: Sequence[str]) -> int:
     """The largest number of points of one entity."""
     row = points.groupBy(*keys).count().agg(F.max("count")).first()
@@ -125,10 +135,12 @@ def interval_lookup(
 ) -> DataFrame:
     """State in force strictly after one point and strictly before the next.
 
-    ``auto`` counts the points per entity first: short histories use the range join, which
+    Of several points of one entity at one place the greatest state counts, so the result does not
+    depend on the order of the input. ``auto`` counts the points per entity first: short histories use the range join, which
     Spark broadcasts below its size threshold, so the facts need not move; long histories use
     the forward fill.
     """
+    points = one_point_each(points, keys, order)
     if strategy == "auto":
         short = busiest_entity_points(points, keys) <= RANGE_JOIN_POINTS
         strategy = "range" if short else "fill"

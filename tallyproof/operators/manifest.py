@@ -37,25 +37,32 @@ def manifest_pack(
     )
 
 
-def manifest_digest(chunks: DataFrame) -> DataFrame:
+# Digests that are joined and hashed together on each level.
+FAN_IN = 1024
+
+
+def manifest_digest(chunks: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
     """Totals of a packed manifest and the digest over its chunk digests in order.
 
-    Chaining digests keeps one short line per chunk; the chunks themselves stay where they are.
+    A tree of digests: each level hashes at most ``fan_in`` digests of the one below, so no row
+    holds more than that many. Up to ``fan_in`` chunks this is one hash of the joined digests.
     """
-    joined = F.expr(f"listagg(chunk_sha256, '{DELIMITER}') WITHIN GROUP (ORDER BY chunk)")
-    return chunks.agg(
+    level = chunks.select(F.col("chunk").alias("_i"), F.col("chunk_sha256").alias("_d"))
+    joined = F.expr(f"listagg(_d, '{DELIMITER}') WITHIN GROUP (ORDER BY _i)")
+    left = chunks.count()
+    while True:
+        group = (F.floor((F.col("_i") - 1) / fan_in) + 1).alias("_i")
+        level = level.groupBy(group).agg(F.sha2(joined, 256).alias("_d"))
+        left = -(-left // fan_in)
+        if left <= 1:
+            break
+    totals = chunks.agg(
         F.count("*").alias("chunks"),
         F.sum("entries").alias("entries"),
         F.sum("flagged").alias("flagged"),
         (F.sum("characters") + F.count("*") - 1).alias("characters"),
-        F.sha2(joined, 256).alias("manifest_sha256"),
     )
-
-
-def manifest_text_digest(chunks: DataFrame) -> DataFrame:
-    """SHA-256 of the whole text, for manifests small enough to be published as one text."""
-    whole_text = F.expr(f"listagg(chunk_text, '{DELIMITER}') WITHIN GROUP (ORDER BY chunk)")
-    return chunks.agg(F.sha2(whole_text, 256).alias("text_sha256"))
+    return beside(totals, level.agg(F.max("_d").alias("manifest_sha256")))
 
 
 def manifest_rows(chunks: DataFrame) -> DataFrame:

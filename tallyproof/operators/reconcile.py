@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tallyproof.functions.decimals import USD, dec, six_dp, usd
 from tallyproof.functions.formulas import differs
 from tallyproof.operators.ordered import first_per_key
-from tallyproof.operators.sides import counted_side
+from tallyproof.operators.sides import sized_side
 
 
 def dedupe_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
@@ -143,7 +143,7 @@ def row_diff(
     Both change sets hold one row per key. They are combined into one side first, so the
     population meets one join, by broadcast if the counted side is small.
     """
-    marks, _ = counted_side(
+    marks, _ = sized_side(
         paired(changed, expected, keys, [after]).select(
             *keys,
             F.col("l").isNotNull().alias("_changed"),

@@ -1,21 +1,29 @@
-"""Small join sides: broadcast after a count, never on trust."""
+"""Small join sides: broadcast by their stored size, never on trust."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of a counted side table up to which it is sent to every executor.
-BROADCAST_ROWS = 500_000
+from tallyproof.sources.tables import frozen_relation
 
+# Stored bytes of a side table up to which it is sent to every executor. Columns compress several
+# times at most, so the table stays far below an executor's memory.
+BROADCAST_BYTES = 16 << 20
 
-def counted_side(side: DataFrame, limit: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """``side`` with a broadcast hint if it has at most ``limit`` rows, and whether it has.
 
-    The rows are cached for the count; a larger side is released again and joins by shuffle.
+def stored_bytes(rows: DataFrame) -> int:
+    """Bytes of the files that a stored relation reads, from its plan."""
+    return int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def sized_side(side: DataFrame, limit: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """``side`` as a stored copy, with a broadcast hint if it is at most ``limit`` bytes, and
+    whether it is.
+
+    It is computed once whatever its size; ``session.stored_copies`` releases the copy.
     """
-    held = side.persist()
-    if held.count() <= limit:
-        return F.broadcast(held), True
-    held.unpersist()
-    return side, False
+    copy = frozen_relation(side, "side")
+    if stored_bytes(copy) <= limit:
+        return F.broadcast(copy), True
+    return copy, False

@@ -185,7 +185,8 @@ def economic_family(shares: DataFrame, gate_bps: int = ECONOMIC_GATE) -> DataFra
 
 
 def class_of(families: Column) -> Column:
-    return F.when(families == 0, ORGANIC).when(families == 1, AMBIGUOUS).otherwise(INORGANIC)
+    """Class by number of families; a missing count has no class."""
+    return F.when(families == 0, ORGANIC).when(families == 1, AMBIGUOUS).when(families > 1, INORGANIC)
 
 
 def fuse_families(
@@ -201,19 +202,23 @@ def fuse_families(
     return out.withColumn("families", total).withColumn("actor_class", class_of(F.col("families")))
 
 
-def class_partition(fused: DataFrame) -> DataFrame:
-    """Actors and share per class, with the partition residual."""
+def class_partition(fused: DataFrame, actors: DataFrame) -> DataFrame:
+    """Actors and share per class; the residual is the number of qualified ``actors``, counted
+    before the families were joined, less the actors in one of the three classes."""
+    classes = [ORGANIC, AMBIGUOUS, INORGANIC]
     counts = fused.groupBy("actor_class").agg(F.count("*").alias("actors"))
     across = Window.partitionBy()
     total = F.sum("actors").over(across)
-    known = F.sum(F.when(F.col("actor_class").isin(ORGANIC, AMBIGUOUS, INORGANIC), F.col("actors")))
-    return counts.select(
+    known = F.sum(F.when(F.col("actor_class").isin(classes), F.col("actors"))).over(across)
+    counts = counts.withColumn("_known", known)
+    qualified = actors.select("address").distinct().agg(F.count("*").alias("_qualified"))
+    return beside(counts, qualified).select(
         "actor_class",
         "actors",
         F.round(F.col("actors") * F.lit(100).cast("decimal(5,0)") / total.cast("decimal(15,0)"), 6)
         .cast("decimal(38,6)")
         .alias("share_pct"),
-        (total - known.over(across)).alias("partition_residual"),
+        (F.col("_qualified") - F.coalesce("_known", F.lit(0))).alias("partition_residual"),
     )
 
 

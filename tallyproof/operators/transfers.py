@@ -163,9 +163,16 @@ def daily_concentration(groups: DataFrame) -> DataFrame:
     )
 
 
-def counterparty_features(transfers: DataFrame) -> DataFrame:
-    """Distinct direct counterparties and the top one's share of transaction participations."""
-    seen = transfer_legs(transfers).select(*PAIR, "counterparty", "tx_hash").distinct()
+def counterparty_features(transfers: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+    """Distinct direct counterparties and the top one's share of transaction participations.
+
+    With ``pairs`` only their legs are counted, and the others go before the first shuffle of legs
+    by counterparty.
+    """
+    legs = transfer_legs(transfers).select(*PAIR, "counterparty", "tx_hash")
+    if pairs is not None:
+        legs = legs.join(pairs.select(*PAIR), PAIR, "left_semi")
+    seen = legs.distinct()
     per_counterparty = seen.groupBy(*PAIR, "counterparty").agg(F.count("*").alias("n"))
     return (
         per_counterparty.groupBy(*PAIR)
@@ -238,15 +245,18 @@ def first_activity(groups: DataFrame, actors: DataFrame) -> DataFrame:
     )
 
 
-def actor_tx_net(transfers: DataFrame) -> DataFrame:
+def actor_tx_net(transfers: DataFrame, actors: DataFrame | None = None) -> DataFrame:
     """Combined net of an address per transaction over all tokens, with its direct sources.
 
+    With ``actors`` only their legs are netted.
     Only the smallest and largest sender are kept: they are equal exactly when one source paid.
     """
     source = F.when(F.col("incoming") > 0, F.col("counterparty"))
+    legs = transfer_legs(transfers)
+    if actors is not None:
+        legs = legs.join(actors.select("address"), "address", "left_semi")
     return (
-        transfer_legs(transfers)
-        .withColumn("_source", source)
+        legs.withColumn("_source", source)
         .groupBy("address", "tx_hash")
         .agg(
             whole(F.sum("incoming") - F.sum("outgoing")).alias("net_raw"),
@@ -284,7 +294,8 @@ def funding_proxy(funding: DataFrame, transactions: DataFrame) -> DataFrame:
     A proxy needs one direct source, one raw transaction row and an outer sender that is not
     the actor.
     """
-    raw = transactions.groupBy("tx_hash").agg(
+    asked = funding.select("tx_hash").distinct()
+    raw = transactions.join(asked, "tx_hash", "left_semi").groupBy("tx_hash").agg(
         F.count("*").alias("tx_rows"), F.min("tx_sender").alias("tx_sender")
     )
     rows = funding.join(raw, "tx_hash", "left")

@@ -18,6 +18,7 @@ from tallyproof.functions.formulas import (
 from tallyproof.operators.enrich import accepted_repairs, inline_repairs, valued_rows
 from tallyproof.operators.intervals import interval_lookup, state_points
 from tallyproof.operators.ordered import row_numbers
+from tallyproof.operators.reconcile import beside
 from tallyproof.sources.tables import frozen_relation
 
 ORDER = ["block_number", "evt_index"]
@@ -184,12 +185,16 @@ def state_event_partition(pools: DataFrame, settings: DataFrame) -> DataFrame:
     known, events = F.col("known").isNotNull(), F.coalesce("events", F.lit(0))
     groups = [F.count_if(known & (events == 0)), F.count_if(known & (events == 1)),
               F.count_if(known & (events > 1))]
-    return rows.agg(
+    entities = pools.agg(F.count_distinct("pool").alias("_entities"))
+    totals = rows.agg(
         groups[0].alias("zero_event_entities"),
         groups[1].alias("one_event_entities"),
         groups[2].alias("multiple_event_entities"),
         F.sum(events).alias("state_events"),
         F.coalesce(F.sum("surplus"), F.lit(0)).alias("duplicate_event_surplus"),
         F.count_if(~known).alias("orphan_entities"),
-        (F.count_if(known) - groups[0] - groups[1] - groups[2]).alias("partition_residual"),
+        (groups[0] + groups[1] + groups[2]).alias("_placed"),
     )
+    return beside(totals, entities).withColumn(
+        "partition_residual", F.col("_entities") - F.col("_placed")
+    ).drop("_entities", "_placed")

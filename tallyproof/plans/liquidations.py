@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyproof.functions.decimals import six_dp
+from tallyproof.functions.decimals import USD, exact_decimals, six_dp, units_times_price
 from tallyproof.functions.formulas import (
     DEFAULT_DECIMALS,
     differs,
@@ -23,7 +23,7 @@ from tallyproof.operators.enrich import (
     two_leg_reconcile,
 )
 from tallyproof.operators.reconcile import beside, difference_counters, top_difference_columns
-from tallyproof.sources.scans import partition_pruned_scan
+from tallyproof.sources.scans import partition_pruned_scan, prices_of_window
 
 KEYS = ["tx_hash", "evt_index"]
 SIDES = ("debt", "collateral")
@@ -74,22 +74,29 @@ def liquidation_model(
 
 
 def exact_leg_usd(side: str) -> Column:
-    """USD of a leg in DECIMAL, for totals that a check may rely on.
+    """USD of a leg in DECIMAL at 18 places, for totals that a check may rely on.
 
-    Resolve under Spark's default decimal rule, which gives this quotient 14 places.
+    Amount and price keep all their digits. Resolve under ``exact_decimals``.
     """
     decimals = F.coalesce(
         F.col(f"{side}_price_decimals"), F.col(f"{side}_decimals"), F.lit(DEFAULT_DECIMALS)
     )
-    raw = F.col(f"{side}_amount_raw").cast("decimal(23,0)")
-    value = raw * F.col(f"{side}_price_usd").cast("decimal(14,2)")
-    unit = F.pow(F.lit(10.0), decimals).cast("decimal(19,0)")
-    return (value.cast("decimal(26,2)") / unit).cast("decimal(38,14)")
+    return units_times_price(F.col(f"{side}_amount_raw"), decimals, F.col(f"{side}_price_usd"))
 
 
-def liquidation_priced(model: DataFrame, prices: DataFrame, grain: str = "minute") -> DataFrame:
-    """Both legs priced at the event's time bucket; a missing price stays NULL."""
+def liquidation_priced(
+    model: DataFrame,
+    prices: DataFrame,
+    grain: str = "minute",
+    window: tuple[datetime, datetime] | None = None,
+) -> DataFrame:
+    """Both legs priced at the event's time bucket; a missing price stays NULL.
+
+    ``window`` is the model's own; the join does not imply it, so it bounds the price scan here.
+    """
     out = model
+    if window:
+        prices = prices_of_window(prices, *window, grain)
     for side in SIDES:
         values = {"price": f"{side}_price_usd", "decimals": f"{side}_price_decimals"}
         out = minute_price_join(out, prices, f"{side}_asset", "block_time", values, grain)
@@ -106,7 +113,8 @@ def liquidation_priced(model: DataFrame, prices: DataFrame, grain: str = "minute
 
 
 def with_exact_usd(priced: DataFrame) -> DataFrame:
-    return priced.withColumns({f"{s}_usd_exact": exact_leg_usd(s) for s in SIDES})
+    with exact_decimals(priced.sparkSession):
+        return priced.withColumns({f"{s}_usd_exact": exact_leg_usd(s) for s in SIDES})
 
 
 def _leg_specs(prefix: str, side: str, parties: tuple[str, str]) -> dict[str, Column]:
@@ -183,7 +191,7 @@ def event_counts(model: DataFrame, debt: DataFrame, collateral: DataFrame) -> Da
             value = F.col(column)
         else:
             value = F.lit(1) if column is None else F.col(column).isNotNull().cast("bigint")
-        return value.cast("decimal(38,14)" if total else "bigint").alias(name)
+        return value.cast(USD if total else "bigint").alias(name)
 
     out = None
     for source, df in zip(SOURCES, (model, debt, collateral), strict=True):
@@ -309,10 +317,11 @@ def ledger_class() -> Column:
     )
 
 
-def closed_ledger(reconciled: DataFrame) -> DataFrame:
+def closed_ledger(reconciled: DataFrame, model: DataFrame) -> DataFrame:
     """Every key in exactly one class; several rows of a key count once, by the worst class.
 
-    Residuals against the distinct keys must be zero.
+    The residual is the number of distinct keys of the model, counted without the join, less the
+    classified keys; it must be zero.
     """
     exact = [FULLY_PRICED, NULL_DEBT, NULL_COLLATERAL, NULL_BOTH]
     code = ledger_class()
@@ -325,8 +334,8 @@ def closed_ledger(reconciled: DataFrame) -> DataFrame:
     counts = per_key.groupBy(F.col("m.c").alias("ledger_class")).agg(
         F.count("*").alias("event_keys"), F.max(F.col("m.severity")).alias("_s")
     )
-    total = per_key.agg(F.count("*").alias("all_keys"))
-    summed = counts.agg(F.sum("event_keys").alias("classified_keys"))
+    total = model.select(*KEYS).distinct().agg(F.count("*").alias("all_keys"))
+    summed = counts.agg(F.coalesce(F.sum("event_keys"), F.lit(0)).alias("classified_keys"))
     check = beside(total, summed).select(
         (F.col("all_keys") - F.col("classified_keys")).alias("partition_residual")
     )
@@ -450,7 +459,7 @@ def float_vs_decimal_totals(pairs: DataFrame, left: str, right: str, exact: str)
         F.count("*").alias("row_count"),
         F.count(left).alias("left_priced_rows"),
         F.count(right).alias("right_priced_rows"),
-        six_dp(F.sum(whole_to_decimal(exact))).alias("decimal_total"),
+        six_dp(F.sum(F.col(exact).cast(USD))).alias("decimal_total"),
         unequal.alias("unequal_rows"),
         (same_row == 0.0).alias("same_row_difference_is_zero"),
         close.alias("double_total_within_tolerance"),
@@ -462,10 +471,6 @@ def float_vs_decimal_totals(pairs: DataFrame, left: str, right: str, exact: str)
     )
 
 
-def whole_to_decimal(column: str) -> Column:
-    return F.col(column).cast("decimal(38,14)")
-
-
 def flow_by_dimension(priced: DataFrame, dimension: str) -> DataFrame:
     """Events and exact USD totals per liquidator or asset; unpriced legs are counted."""
     return priced.groupBy(F.col(dimension).alias("dimension")).agg(

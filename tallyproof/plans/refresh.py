@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from datetime import date, timedelta
+from datetime import date, datetime, time, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyproof.functions.decimals import six_dp, usd
 from tallyproof.operators.intervals import candidate_entities
 from tallyproof.plans.fee_model import TRADE_COLUMNS, fee_rows
+from tallyproof.sources.scans import prices_of_window
 from tallyproof.sources.tables import (
     PARTITION,
     drop_partitions,
@@ -91,11 +92,11 @@ def backfill(
     if drop_empty:
         stored = read_table(spark, path).where(bounds.on()).select(PARTITION).distinct()
         held = {row[0] for row in stored.toLocalIterator()}
-    rows = build(bounds).select(*TRADE_COLUMNS)
-    replace_partitions(rows, path)
+    written = Observation()
+    dates = F.collect_set(PARTITION).alias("dates")
+    replace_partitions(build(bounds).select(*TRADE_COLUMNS).observe(written, dates), path)
     if drop_empty:
-        live = {row[0] for row in rows.select(PARTITION).distinct().toLocalIterator()}
-        drop_partitions(spark, path, sorted(held - live))
+        drop_partitions(spark, path, sorted(held - set(written.get["dates"])))
     return bounds
 
 
@@ -108,14 +109,14 @@ def incremental_build(
     segment: Column,
     grain: str = "minute",
 ) -> Build:
-    """The fee model restricted to a run's dates and to entities seen in them."""
+    """The fee model restricted to a run's dates, their prices and entities seen in them."""
 
     def build(bounds: Bounds) -> DataFrame:
         selected = trades.where(bounds.on())
         kept_pools = candidate_entities(pools, selected, "pool")
-        return fee_rows(
-            selected, kept_pools, settings, prices, repair_scope, segment, grain, "range"
-        )
+        start, end = (datetime.combine(day, time()) for day in (bounds.start, bounds.end))
+        near = prices_of_window(prices, start, end, grain)
+        return fee_rows(selected, kept_pools, settings, near, repair_scope, segment, grain)
 
     return build
 

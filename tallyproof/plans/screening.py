@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -12,7 +12,7 @@ from tallyproof.functions.decimals import exact_decimals
 from tallyproof.functions.formulas import fee_reaches_movement, fee_to_movement_bps, fee_wei
 from tallyproof.operators.enrich import annotation_split, priced_fees
 from tallyproof.operators.reconcile import paired
-from tallyproof.operators.sides import counted_side
+from tallyproof.operators.sides import sized_side
 from tallyproof.operators.signals import (
     cluster_flags,
     economic_actor_share,
@@ -43,7 +43,7 @@ from tallyproof.operators.transfers import (
     tx_movement,
     tx_token_movement,
 )
-from tallyproof.sources.scans import in_window
+from tallyproof.sources.scans import in_window, prices_of_window
 from tallyproof.sources.tables import frozen_relation
 
 
@@ -118,7 +118,11 @@ def build_stages(inputs: Inputs, rules: Rules, freeze: bool = True) -> Stages:
     own_groups = groups.join(pairs.select(*PAIR), PAIR, "left_semi")
     if freeze:
         own_groups = frozen_relation(own_groups, "qualified-groups")
-    fees = tx_fees(inputs.transactions, inputs.gas_prices, rules.gas_asset)
+    mined = inputs.transactions.where(
+        in_window(inputs.transactions, "block_time", rules.start, rules.end)
+    )
+    quoted = prices_of_window(inputs.gas_prices, rules.start, rules.end, "hour")
+    fees = tx_fees(mined, quoted, rules.gas_asset)
     signals = tx_signals(tx_movement(tx_token_movement(netting)), fees)
     return Stages(window, netting, groups, pairs, own_groups, signals)
 
@@ -129,8 +133,7 @@ def temporal(stages: Stages, segment: Column) -> DataFrame:
 
 
 def richness(stages: Stages) -> DataFrame:
-    features = counterparty_features(stages.window)
-    return features.join(stages.pairs.select(*PAIR), PAIR, "left_semi")
+    return counterparty_features(stages.window, stages.pairs)
 
 
 def economic(stages: Stages, gate_bps: int) -> DataFrame:
@@ -147,13 +150,17 @@ def actor_lookback(inputs: Inputs, rules: Rules, stages: Stages) -> DataFrame:
     history = inputs.transfers.where(in_window(inputs.transfers, "block_time", since, rules.end))
     actors = actor_rollup(stages.pairs)
     first = first_activity(stages.groups, actors)
-    return lookback_range_join(actor_tx_net(history), first, rules.lookback)
+    return lookback_range_join(actor_tx_net(history, actors), first, rules.lookback)
 
 
 def funding(inputs: Inputs, rules: Rules, stages: Stages) -> DataFrame:
     """Funding status of every actor with an observed inflow, split by the exchange list."""
     found = first_funding_tx(actor_lookback(inputs, rules, stages))
-    proxies = funding_proxy(found, inputs.transactions)
+    since = rules.start - rules.lookback
+    mined = inputs.transactions.where(
+        in_window(inputs.transactions, "block_time", since, rules.end)
+    )
+    proxies = funding_proxy(found, mined)
     return annotation_split(proxies, inputs.listed, "source", "address")
 
 
@@ -196,35 +203,36 @@ def adjacent_windows(inputs: Inputs, windows: dict[str, Rules]) -> DataFrame:
     return out
 
 
-def case_recompute(
-    cases: DataFrame, transfers: DataFrame, signals: DataFrame, pairs: DataFrame
-) -> DataFrame:
-    """Rebuild the economic evidence of selected cases from raw legs and compare.
+# Evidence of a case that is rebuilt from raw rows.
+EVIDENCE = ["temporal", "richness", "economic", "nonzero_groups", "fired_groups"]
 
-    Only transfers that touch a case are read. Returns stored and rebuilt counts per case with a
-    pass flag.
+
+def case_recompute(cases: DataFrame, inputs: Inputs, rules: Rules) -> DataFrame:
+    """Rebuild the temporal, counterparty and economic evidence of selected cases and compare.
+
+    Only transactions that touch a case are read, with all their transfers, since a movement needs
+    both sides. Nothing of the stored signals is used: groups are netted, qualified, priced and
+    judged again. Returns stored and rebuilt evidence per case with a pass flag.
     """
-    chosen = cases.select("address", "stratum", "nonzero_groups", "fired_groups")
-    wanted, _ = counted_side(chosen.select("address"))
-    legs = transfer_legs(transfers).join(wanted, "address", "left_semi")
-    moved = (
-        legs.groupBy("address", "token", "tx_hash")
-        .agg(F.sum(F.col("incoming") - F.col("outgoing")).alias("net"))
-        .where(F.col("net") != 0)
-        .join(pairs.select(*PAIR), PAIR, "left_semi")
-        .join(signals.select("tx_hash", "fired"), "tx_hash", "left")
+    chosen = cases.select("address", "stratum", *EVIDENCE)
+    wanted, _ = sized_side(chosen.select("address"))
+    window = inputs.transfers.where(
+        in_window(inputs.transfers, "block_time", rules.start, rules.end)
     )
-    again = moved.groupBy("address").agg(
-        F.count("*").alias("nonzero_groups"),
-        F.count_if(F.coalesce("fired", F.lit(False))).alias("fired_groups"),
+    touched = transfer_legs(window).join(wanted, "address", "left_semi").select("tx_hash")
+    touched = touched.distinct()
+    part = replace(
+        inputs,
+        transfers=window.join(touched, "tx_hash", "left_semi"),
+        transactions=inputs.transactions.join(touched, "tx_hash", "left_semi"),
     )
-    both = paired(chosen, again, ["address"], ["nonzero_groups", "fired_groups"])
+    again = activity_screen(part, rules, build_stages(part, rules), with_funding=False)
+    again = again.join(wanted, "address", "left_semi")
+    both = paired(chosen, again, ["address"], EVIDENCE)
+    sides = {"stored": F.col("l"), "rebuilt": F.col("r")}
     return both.join(chosen.select("address", "stratum"), "address").select(
         "address",
         "stratum",
-        F.col("l.nonzero_groups").alias("stored_groups"),
-        F.col("r.nonzero_groups").alias("rebuilt_groups"),
-        F.col("l.fired_groups").alias("stored_fired"),
-        F.col("r.fired_groups").alias("rebuilt_fired"),
-        (F.col("l") == F.col("r")).alias("case_passes"),
+        *[side[e].alias(f"{name}_{e}") for e in EVIDENCE for name, side in sides.items()],
+        F.col("l").eqNullSafe(F.col("r")).alias("case_passes"),
     )

@@ -167,13 +167,13 @@ def schema_contract(spark, d):
 SELECT 'trades' AS source, count(*) AS row_count, CAST(min(l_shipdate) AS DATE) AS first_date,
   CAST(max(l_shipdate) AS DATE) AS last_date FROM lineitem
 UNION ALL SELECT 'settings', count(*), CAST(min(o_orderdate) AS DATE),
-  CAST(max(o_orderdate) AS DATE) FROM orders WHERE o_orderpriority = '1-URGENT'
+  CAST(max(o_orderdate) AS DATE) FROM orders
 UNION ALL SELECT 'prices', count(*), min(bucket), max(bucket) FROM prices
 UNION ALL SELECT 'trades_with_price', count(*), min(t.block_date), max(t.block_date)
   FROM trades t JOIN prices p ON p.asset = t.token_sold AND p.bucket = t.block_date""")
 def source_inventory(spark, d):
     priced = whole_price_valued(spark, d).where(F.col("input_price").isNotNull())
-    changes = td.table(spark, d, "orders").where(F.col("o_orderpriority") == "1-URGENT")
+    changes = td.table(spark, d, "orders")
     return scans.source_inventory(
         {
             "trades": (td.trades_all(spark, d), "block_time"),
@@ -492,7 +492,8 @@ SELECT count_if(n = 0) AS zero_event_entities, count_if(n = 1) AS one_event_enti
     AS duplicate_event_surplus,
   (SELECT count(DISTINCT pool) FROM settings WHERE pool NOT IN (SELECT pool FROM pools))
     AS orphan_entities,
-  count(*) - count_if(n = 0) - count_if(n = 1) - count_if(n > 1) AS partition_residual
+  (SELECT count(DISTINCT pool) FROM pools)
+    - count_if(n = 0) - count_if(n = 1) - count_if(n > 1) AS partition_residual
 FROM (SELECT p.pool, count(s.pool) AS n FROM pools p LEFT JOIN settings s ON s.pool = p.pool
   GROUP BY p.pool)""")
 def state_event_partition(spark, d):
@@ -963,11 +964,11 @@ FROM (SELECT pool, sum(revenue_usd) AS v FROM fee_rows GROUP BY pool) a
 FULL JOIN (SELECT o_custkey % (SELECT count(*) + 1 FROM supplier) AS pool, count(*) AS n,
   count_if(o_orderkey % 13 = 0) AS u, sum(CASE WHEN o_orderkey % 13 <> 0 THEN
    CAST(CAST(o_totalprice AS DECIMAL(18,2)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(38,18)) END) AS v
-  FROM orders WHERE o_orderstatus = 'F' GROUP BY 1) w ON a.pool = w.pool""")
+  FROM orders GROUP BY 1) w ON a.pool = w.pool""")
 def accrual_vs_realised(spark, d):
     entity = F.col("o_custkey") % td.table(spark, d, "supplier").agg(F.count("*") + 1).scalar()
     price = usd(F.col("o_totalprice").cast("decimal(18,2)") * F.lit("0.01").cast("decimal(3,2)"))
-    withdrawals = td.table(spark, d, "orders").where(F.col("o_orderstatus") == "F").select(
+    withdrawals = td.table(spark, d, "orders").select(
         entity.alias("pool"), F.when(F.col("o_orderkey") % 13 != 0, price).alias("amount")
     )
     return audit.accrual_vs_realised(

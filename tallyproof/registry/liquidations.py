@@ -17,6 +17,7 @@ from tallyproof.sources.tables import frozen_relation
 QUERIES = {}
 ORACLES = {}
 KEY = td.EVENT_KEY
+WINDOW = (td.FIRST_DAY, td.LAST_DAY)
 
 
 def _asset(expr: str) -> str:
@@ -27,13 +28,6 @@ def _decimals(expr: str) -> str:
     return f"CASE {expr} % 3 WHEN 0 THEN 2 WHEN 1 THEN 6 ELSE 8 END"
 
 
-def _unit(expr: str) -> str:
-    return (
-        f"CAST(CASE {expr} WHEN 2 THEN 0.01 WHEN 6 THEN 0.000001 WHEN 8 THEN 0.00000001 "
-        "ELSE 0.000000000000000001 END AS DECIMAL(18,18))"
-    )
-
-
 def _leg(side: str, owner: str, payer: str) -> str:
     return f"""
 SELECT 'chain_a' AS blockchain, 'lender' AS project, '3' AS version, block_time, block_number,
@@ -172,7 +166,7 @@ SELECT 1::BIGINT AS contract_address, o_orderdate AS evt_block_time,
     AS DECIMAL(38,0)) AS liquidatedcollateralamount,
   CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 100 AS DECIMAL(38,0)) AS debttocover,
   o_orderkey % 40 = 0 AS receiveatoken
-FROM orders WHERE o_orderstatus = 'F'""",
+FROM orders""",
     "meta_all": f"""
 SELECT 'chain_a' AS blockchain, p_partkey AS contract_address,
   CASE WHEN v = 1 THEN 'old ' || p_name ELSE p_name END AS symbol,
@@ -195,20 +189,23 @@ SELECT r.evt_block_time AS block_time, r.evt_block_number AS block_number, r.evt
 FROM liq_raw r LEFT JOIN meta c ON r.collateralasset = c.contract_address
 LEFT JOIN meta m ON r.debtasset = m.contract_address""",
     "liq_prices": f"""
-SELECT asset, bucket, price, CASE WHEN asset >= 0 AND asset % 4 <> 0 THEN {_decimals("asset")} END
+SELECT asset, bucket, CASE WHEN (asset + month(bucket)) % 5 <> 0 THEN price END AS price,
+  CASE WHEN asset >= 0 AND asset % 4 <> 0 THEN {_decimals("asset")} END
   AS decimals
 FROM (SELECT {_asset("o_custkey")} AS asset, date_trunc('month', o_orderdate) AS bucket,
-  max(CAST(o_totalprice AS DECIMAL(18,2))) AS price
- FROM orders WHERE o_orderpriority = '5-LOW' GROUP BY ALL)""",
+  CAST(max(CAST(o_totalprice AS DECIMAL(18,2))) * CAST(0.01234567 AS DECIMAL(8,8)) AS DECIMAL(26,10))
+   AS price FROM orders GROUP BY ALL)""",
     "liq_priced": """
 SELECT m.*, d.price AS debt_price_usd, c.price AS collateral_price_usd,
 """ + ",\n".join(
         f"  CAST({s}_amount_raw AS DOUBLE) / pow(10.0::DOUBLE, "
         f"coalesce({a}.decimals, {s}_decimals, 18)) * CAST({a}.price AS DOUBLE) "
         f"AS {s}_amount_usd,\n"
-        f"  CAST(CAST({s}_amount_raw AS DECIMAL(23,0)) * CAST({a}.price AS DECIMAL(14,2)) * "
-        + _unit(f"coalesce({a}.decimals, {s}_decimals, 18)")
-        + f" AS DECIMAL(38,14)) AS {s}_usd_exact,\n"
+        # raw * price with ten places over the unit, as integers, rounded half up at 18 places
+        f"  CAST((CAST({s}_amount_raw AS HUGEINT) * CAST({a}.price * 10000000000 AS HUGEINT) * 200000000 "
+        f"+ CAST(pow(10, coalesce({a}.decimals, {s}_decimals, 18)) AS HUGEINT)) // (2 * CAST(pow(10, "
+        f"coalesce({a}.decimals, {s}_decimals, 18)) AS HUGEINT)) AS DECIMAL(38,0)) "
+        f"* CAST(0.000000000000000001 AS DECIMAL(18,18)) AS {s}_usd_exact,\n"
         f"  CASE WHEN {a}.price IS NULL THEN 'MISSING_PRICE' ELSE 'PRICED' END AS {s}_price_status"
         for s, a in (("debt", "d"), ("collateral", "c"))
     ) + """
@@ -243,7 +240,7 @@ def model(spark: SparkSession, d: str) -> DataFrame:
 
 def priced(spark: SparkSession, d: str) -> DataFrame:
     return lq.with_exact_usd(
-        lq.liquidation_priced(model(spark, d), td.month_prices(spark, d), "month")
+        lq.liquidation_priced(model(spark, d), td.month_prices(spark, d), "month", WINDOW)
     )
 
 
@@ -306,7 +303,7 @@ PRICED_COLUMNS = ["debt_amount_usd", "collateral_amount_usd", "debt_price_status
 
 @query("leg_usd", f"SELECT tx_hash, evt_index, {', '.join(PRICED_COLUMNS)} FROM liq_priced")
 def leg_usd(spark, d):
-    rows = lq.liquidation_priced(model(spark, d), td.month_prices(spark, d), "month")
+    rows = lq.liquidation_priced(model(spark, d), td.month_prices(spark, d), "month", WINDOW)
     return rows.select(*KEY, *PRICED_COLUMNS)
 
 
@@ -382,7 +379,9 @@ def _any(*parts: str) -> str:
 
 @query("closed_ledger", f"""
 SELECT ledger_class, CASE WHEN max(sev) = 0 THEN 'EXACT_MATCH' ELSE 'DIFFERENCE' END AS ledger_side,
-  count(*) AS event_keys, 0::BIGINT AS partition_residual
+  count(*) AS event_keys,
+  (SELECT count(*) FROM (SELECT DISTINCT tx_hash, evt_index FROM liq_model))
+    - sum(count(*)) OVER ()::BIGINT AS partition_residual
 FROM (SELECT tx_hash, evt_index, sev, c AS ledger_class FROM (
   SELECT *, CASE WHEN c IN ('FULLY_PRICED_EXACT', 'MATCHED_NULL_DEBT_PRICE',
     'MATCHED_NULL_COLLATERAL_PRICE', 'MATCHED_BOTH_LEGS_NULL') THEN 0 ELSE 1 END AS sev
@@ -397,7 +396,7 @@ FROM (SELECT tx_hash, evt_index, sev, c AS ledger_class FROM (
  QUALIFY row_number() OVER (PARTITION BY tx_hash, evt_index ORDER BY sev DESC, c DESC) = 1)
 GROUP BY ledger_class""")
 def closed_ledger(spark, d):
-    return lq.closed_ledger(reconciled(spark, d))
+    return lq.closed_ledger(reconciled(spark, d), model(spark, d))
 
 
 @query("model_acceptance", """
@@ -433,15 +432,16 @@ def missing_price_breakdown(spark, d):
 @query("scope_exclusions", " UNION ALL ".join(f"""
 SELECT '{name}' AS leg, x.project, count(*) AS excluded_rows, count(k.tx_hash) AS leaked_rows
 FROM {view} x LEFT JOIN (SELECT DISTINCT tx_hash, evt_index FROM {view}
-  WHERE project = 'lender' AND tx_hash % 2 = 0) k
+  WHERE project = 'lender' OR (project = 'lender_fork' AND tx_hash % 3 = 0)) k
  ON k.tx_hash = x.tx_hash AND k.evt_index = x.evt_index
 WHERE x.project <> 'lender' GROUP BY ALL""" for name, view in (
     ("debt", "debt_all"), ("collateral", "coll_all"))))
 def scope_exclusions(spark, d):
-    """Keys of the even half of the compared events are taken as leaked, to show a count."""
+    """All compared events, with some rows of another project among them as a seeded leak."""
     legs = all_legs(stored_priced(spark, d), True)
     own = F.col("project") == td.LENDER["project"]
-    compared = legs["debt"].where(own & (F.col("tx_hash") % 2 == 0))
+    leak = (F.col("project") == "lender_fork") & (F.col("tx_hash") % 3 == 0)
+    compared = legs["debt"].where(own | leak)
     return lq.scope_exclusions(legs, compared, own)
 
 
@@ -461,9 +461,9 @@ def float_vs_decimal_totals(spark, d):
 @query("flow_by_dimension", " UNION ALL ".join(f"""
 SELECT '{name}' AS kind, {name} AS dimension, count(*) AS event_rows,
   count_if(debt_usd_exact IS NULL) AS unpriced_debt_rows,
-  CAST(round(coalesce(sum(debt_usd_exact), CAST(0 AS DECIMAL(38,14))), 6) AS DECIMAL(38,6))
+  CAST(round(coalesce(sum(debt_usd_exact), CAST(0 AS DECIMAL(38,18))), 6) AS DECIMAL(38,6))
     AS debt_usd,
-  CAST(round(coalesce(sum(collateral_usd_exact), CAST(0 AS DECIMAL(38,14))), 6) AS DECIMAL(38,6))
+  CAST(round(coalesce(sum(collateral_usd_exact), CAST(0 AS DECIMAL(38,18))), 6) AS DECIMAL(38,6))
     AS collateral_usd
 FROM liq_priced GROUP BY {name}""" for name in ("liquidator", "debt_asset")))
 def flow_by_dimension(spark, d):

@@ -57,9 +57,11 @@ SELECT tx_hash, min(block_time) AS block_time,
   (21000 + (tx_hash % 1000) * 50) * 10 AS gas_used, 1000000000 * (1 + tx_hash % 50) AS gas_price
 FROM transfers GROUP BY tx_hash""",
     "fees": """
-SELECT *, CAST(CAST(fee_wei AS DECIMAL(26,0)) * CAST(price AS DECIMAL(12,2))
-  * CAST(0.000000000000000001 AS DECIMAL(18,18)) AS DECIMAL(38,18)) AS fee_usd
-FROM (SELECT *, gas_used * gas_price AS fee_wei, 1500 + hour(block_time) * 10 AS price FROM txs)""",
+SELECT * EXCLUDE (p8), CAST(p8 AS DECIMAL(28,0)) * CAST(0.00000001 AS DECIMAL(8,8)) AS price, p8,
+  CAST((CAST(fee_wei AS HUGEINT) * p8 * 2 + 100000000) // 200000000 AS DECIMAL(38,0))
+    * CAST(0.000000000000000001 AS DECIMAL(18,18)) AS fee_usd
+FROM (SELECT *, gas_used * gas_price AS fee_wei,
+  CAST(150045671234 + hour(block_time) * 1000000000 AS HUGEINT) AS p8 FROM txs)""",
     "edges": """
 SELECT token, least(sender, receiver) AS low, greatest(sender, receiver) AS high,
   count_if(sender < receiver) AS forward_events, count_if(sender > receiver) AS reverse_events
@@ -90,9 +92,11 @@ FROM net_{s} GROUP BY ALL""",
         f"txm_{s}": f"SELECT tx_hash, sum(movement_raw) AS movement_raw FROM moves_{s} GROUP BY 1",
         f"sig_{s}": f"""
 SELECT t.tx_hash, t.movement_raw, f.fee_wei, f.fee_usd,
-  CASE WHEN movement_raw > 0 THEN CAST((CAST(fee_wei AS HUGEINT) * price * 100 * 10000)
-    // (CAST(movement_raw AS HUGEINT) * 100000000000000) AS BIGINT) END AS fee_to_movement_bps,
-  CAST(fee_wei AS HUGEINT) * price * 100 >= CAST(movement_raw AS HUGEINT) * 100000000000000 AS fired
+  CASE WHEN movement_raw > 0 THEN CAST((CAST(fee_wei AS HUGEINT) * p8 * 10000)
+    // (CAST(movement_raw AS HUGEINT) * 100000000000000000000::HUGEINT) AS BIGINT) END
+    AS fee_to_movement_bps,
+  CAST(fee_wei AS HUGEINT) * p8 >= CAST(movement_raw AS HUGEINT) * 100000000000000000000::HUGEINT
+    AS fired
 FROM txm_{s} t JOIN fees f ON t.tx_hash = f.tx_hash""",
         f"groups_{s}": f"SELECT * FROM net_{s} WHERE net_raw <> 0",
         f"pairs_{s}": f"""
@@ -374,7 +378,7 @@ def tx_fee(spark, d):
 
 
 @query("hourly_price_join", """
-SELECT tx_hash, gas_used, gas_price, CAST(price AS DECIMAL(12,2)) AS gas_asset_price FROM fees""")
+SELECT tx_hash, gas_used, gas_price, CAST(price AS DECIMAL(20,8)) AS gas_asset_price FROM fees""")
 def hourly_price_join(spark, d):
     moved = td.transfers(spark, d)
     rows = enrich.hourly_price_join(
@@ -594,10 +598,10 @@ def fuse_families(spark, d):
 @query("class_partition", """
 SELECT actor_class, n AS actors, CAST(CAST((CAST(n AS HUGEINT) * 200000000 + t) // (2 * t)
    AS DECIMAL(20,0)) * CAST(0.000001 AS DECIMAL(6,6)) AS DECIMAL(38,6)) AS share_pct,
-  0::BIGINT AS partition_residual
+  ((SELECT count(DISTINCT address) FROM pairs_main) - t)::BIGINT AS partition_residual
 FROM (SELECT actor_class, count(*) AS n, (SELECT count(*) FROM fused) AS t FROM fused GROUP BY 1)""")
 def class_partition(spark, d):
-    return signals.class_partition(screened(spark, d))
+    return signals.class_partition(screened(spark, d), stages(spark, d).pairs)
 
 
 @query("strict_inclusive_bounds", """
@@ -702,14 +706,44 @@ def late_annotation(spark, d):
     )
 
 
-@query("case_recompute", """
-SELECT address, stratum, nonzero_groups AS stored_groups, nonzero_groups AS rebuilt_groups,
-  fired_groups AS stored_fired, fired_groups AS rebuilt_fired, true AS case_passes FROM cases""")
-def case_recompute(spark, d):
-    built = stages(spark, d, freeze=True)
-    fused = sc.activity_screen(inputs(spark, d), rules(), built)
+def _recomputed(stored: str) -> str:
+    """Stored evidence next to the views that derive it from raw rows."""
+    fields = {"temporal": "coalesce(t.temporal, false)", "richness": "coalesce(r.richness, false)", "economic": "e.economic",
+              "nonzero_groups": "e.nonzero_groups", "fired_groups": "e.fired_groups"}
+    shown = ", ".join(f"c.{f} AS stored_{f}, {v} AS rebuilt_{f}" for f, v in fields.items())
+    same = " AND ".join(f"c.{f} IS NOT DISTINCT FROM {v}" for f, v in fields.items())
+    return f"""
+SELECT c.address, c.stratum, {shown}, {same} AS case_passes FROM ({stored}) c
+LEFT JOIN tfam_main t ON t.address = c.address LEFT JOIN rfam_main r ON r.address = c.address
+LEFT JOIN econ_main e ON e.address = c.address"""
+
+
+FAULTY_CASES_SQL = """
+SELECT * REPLACE (CASE WHEN address % 3 = 0 THEN NOT temporal ELSE temporal END AS temporal,
+  CASE WHEN address % 5 = 0 THEN fired_groups + 1 ELSE fired_groups END AS fired_groups)
+FROM cases"""
+
+
+def recomputed(spark: SparkSession, d: str, faulty: bool) -> DataFrame:
+    fused = sc.activity_screen(inputs(spark, d), rules(), stages(spark, d, freeze=True))
     cases = frozen_relation(signals.stratified_cases(fused), "cases")
-    return sc.case_recompute(cases, built.window, built.signals, built.pairs)
+    if faulty:
+        key = F.col("address")
+        cases = cases.withColumn(
+            "temporal", F.when(key % 3 == 0, ~F.col("temporal")).otherwise(F.col("temporal"))
+        ).withColumn("fired_groups", F.col("fired_groups") + F.when(key % 5 == 0, 1).otherwise(0))
+    return sc.case_recompute(cases, inputs(spark, d), rules())
+
+
+@query("case_recompute", _recomputed("SELECT * FROM cases"))
+def case_recompute(spark, d):
+    return recomputed(spark, d, False)
+
+
+@query("case_recompute_faulty", _recomputed(FAULTY_CASES_SQL))
+def case_recompute_faulty(spark, d):
+    """Changed stored flags and counts fail exactly their own cases."""
+    return recomputed(spark, d, True)
 
 
 def packed(spark: SparkSession, d: str) -> DataFrame:

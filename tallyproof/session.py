@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -33,9 +34,16 @@ def use_utc(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names for checkpoints; a fresh one only where none is set."""
+    """The folder that the cluster names for checkpoints.
+
+    Only a local master, whose executors are this process, gets a fresh one where none is set.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a folder that the driver and all executors share"
+            )
         folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
@@ -43,7 +51,39 @@ def shared_folder(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no other run writes to."""
-    return f"{shared_folder(spark)}/tallyproof-{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/tallyproof-{label}-{uuid.uuid4().hex}"
+    for made in _open_blocks:
+        made.append(path)
+    return path
+
+
+_open_blocks: list[list[str]] = []
+
+
+@contextmanager
+def stored_copies(spark: SparkSession) -> Iterator[list[str]]:
+    """Release, at the end of the block, every copy stored inside it.
+
+    Results must have been written or collected by then, as a DataFrame over a copy reads it. The
+    block yields the paths, so a caller may also keep some by removing them from the list.
+    """
+    made: list[str] = []
+    _open_blocks.append(made)
+    try:
+        yield made
+    finally:
+        _open_blocks.remove(made)
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for path in made:
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(conf).delete(target, True)
+
+
+def require_utc(spark: SparkSession) -> None:
+    """Days and hours of this package are UTC; another session zone would shift them silently."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        raise ValueError(f"spark.sql.session.timeZone is {zone}; set it to UTC")
 
 
 @contextmanager

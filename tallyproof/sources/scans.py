@@ -44,6 +44,15 @@ def window_scan(
     return rows.select(*[F.col(src).alias(name) for src, name in columns.items()])
 
 
+def prices_of_window(
+    prices: DataFrame, start: datetime, end: datetime, grain: str = "minute", ts: str = "bucket"
+) -> DataFrame:
+    """Price rows whose bucket can hold an event of the half-open window, as a scan filter."""
+    cut = {"month": {"day": 1, "hour": 0}, "day": {"hour": 0}, "hour": {}, "minute": {}}[grain]
+    first = start.replace(**cut, second=0, microsecond=0, **({} if grain == "minute" else {"minute": 0}))
+    return prices.where(in_window(prices, ts, first, end))
+
+
 def dates_of_window(start: datetime, end: datetime) -> tuple[date, date]:
     """Smallest half-open date range that covers a half-open time window."""
     last = end.date() if end.time() == time() else end.date() + timedelta(days=1)

@@ -8,7 +8,6 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from tallyproof.session import fresh_path, session_conf
 
@@ -63,12 +62,12 @@ def drop_partitions(
 
 
 def newest_date(spark: SparkSession, path: str, partition: str = PARTITION) -> date | None:
-    """Latest date of a target; None when it is missing or empty."""
-    try:
-        row = read_table(spark, path).agg(F.max(partition)).first()
-    except AnalysisException:
+    """Latest date of a target; None when its folder is missing or has no rows."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(target) or not files.getContentSummary(target).getFileCount():
         return None
-    return row[0]
+    return read_table(spark, path).agg(F.max(partition)).first()[0]
 
 
 def frozen_relation(df: DataFrame, label: str, partition: str | None = None) -> DataFrame:

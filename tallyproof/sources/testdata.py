@@ -108,7 +108,6 @@ def settings(spark: SparkSession, folder: str) -> DataFrame:
     key = F.col("o_orderkey")
     return (
         table(spark, folder, "orders")
-        .where(F.col("o_orderpriority") == "1-URGENT")
         .select(
             (F.col("o_custkey") % pool_count).alias("pool"),
             block_of(F.col("o_orderdate").cast("date")).alias("block_number"),
@@ -145,7 +144,6 @@ def liquidations_raw(spark: SparkSession, folder: str) -> DataFrame:
     cents = (F.col("o_totalprice").cast("decimal(18,2)") * 100).cast(RAW)
     return (
         table(spark, folder, "orders")
-        .where(F.col("o_orderstatus") == "F")
         .select(
             F.lit(1).cast("bigint").alias("contract_address"),
             F.col("o_orderdate").alias("evt_block_time"),
@@ -184,13 +182,17 @@ def decimals_of(key: Column) -> Column:
 
 
 def month_prices(spark: SparkSession, folder: str) -> DataFrame:
-    """Monthly asset prices with partial coverage and some undeclared decimals."""
+    """Monthly asset prices of ten places; some are missing and some have undeclared decimals."""
     asset = asset_of(F.col("o_custkey"))
+    quoted = table(spark, folder, "orders")
+    missing = (F.col("asset") + F.month("bucket")) % 5 == 0
+    with exact_decimals(spark):
+        fine = F.max(F.col("o_totalprice").cast("decimal(18,2)")) * dec("0.01234567", "decimal(8,8)")
+        highest = fine.cast("decimal(26,10)")
     return (
-        table(spark, folder, "orders")
-        .where(F.col("o_orderpriority") == "5-LOW")
-        .groupBy(asset.alias("asset"), F.date_trunc("month", "o_orderdate").alias("bucket"))
-        .agg(F.max(F.col("o_totalprice").cast("decimal(18,2)")).alias("price"))
+        quoted.groupBy(asset.alias("asset"), F.date_trunc("month", "o_orderdate").alias("bucket"))
+        .agg(highest.alias("price"))
+        .withColumn("price", F.when(missing, None).otherwise(F.col("price")))
         .withColumn(
             "decimals",
             F.when((F.col("asset") >= 0) & (F.col("asset") % 4 != 0), decimals_of(F.col("asset"))),
@@ -353,7 +355,9 @@ def hour_prices(transfer_rows: DataFrame) -> DataFrame:
     return hours.select(
         F.lit("GAS").alias("asset"),
         "bucket",
-        (1500 + F.hour("bucket") * 10).cast("decimal(12,2)").alias("price"),
+        ((1500 + F.hour("bucket") * 10).cast("decimal(20,8)") + dec("0.45671234", "decimal(20,8)"))
+        .cast("decimal(20,8)")
+        .alias("price"),
     )
 
 

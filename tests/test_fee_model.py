@@ -156,11 +156,11 @@ def trades_frame(spark):
     return spark.createDataFrame(rows, schema), prices
 
 
-@pytest.mark.parametrize("side_rows", [0, 1000])
-def test_inline_repairs_equal_the_overlay(spark, side_rows):
+@pytest.mark.parametrize("side_bytes", [0, 1 << 20])
+def test_inline_repairs_equal_the_overlay(spark, side_bytes):
     trades, prices = trades_frame(spark)
     scope = F.col("pool") == 1
-    inline = enrich.inline_repairs(trades, prices, scope, side_rows=side_rows)
+    inline = enrich.inline_repairs(trades, prices, scope, side_bytes=side_bytes)
     repairs = enrich.accepted_repairs(enrich.valued_rows(trades.where(scope), prices))
     overlay = enrich.repair_overlay(
         trades, repairs, ["block_number", "tx_hash", "evt_index", "pool"]

@@ -11,7 +11,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyproof.operators.ordered import Carry, carry, first_per_key, running_total
-from tallyproof.operators.sides import counted_side
+from tallyproof.operators.sides import sized_side
 from tallyproof.sources import scans, tables
 from tallyproof.sources import testdata as td
 
@@ -105,10 +105,10 @@ def test_running_total_equals_one_window_per_key(spark):
     assert got.count() == want.count()
 
 
-def test_a_side_is_broadcast_only_after_its_count(spark):
+def test_a_side_is_broadcast_only_below_its_bound_in_bytes(spark):
     side = spark.range(100).withColumnRenamed("id", "k")
-    small, is_small = counted_side(side, 100)
-    large, is_large = counted_side(side, 99)
+    small, is_small = sized_side(side, 1 << 20)
+    large, is_large = sized_side(side, 10)
     assert (is_small, is_large) == (True, False)
     facts = spark.range(1000).withColumnRenamed("id", "k")
     assert "BroadcastHashJoin" in plan(facts.join(small, "k"))

@@ -276,8 +276,12 @@ def test_manifest_round_trip_and_damage(spark):
     assert manifest.manifest_unpack_check(chunks, declared).first().manifest_matches
     broken = chunks.withColumn("chunk_text", F.replace("chunk_text", F.lit("7:0"), F.lit("7:1")))
     assert not manifest.manifest_unpack_check(broken, declared).first().manifest_matches
-    text = "~".join(f"{i}:{int(i % 9 == 0)}" for i in range(1, 103))
     import hashlib
 
-    digest = manifest.manifest_text_digest(chunks).first().text_sha256
-    assert digest == hashlib.sha256(text.encode()).hexdigest()
+    def joined(parts):
+        return hashlib.sha256("~".join(parts).encode()).hexdigest()
+
+    leaves = [r.chunk_sha256 for r in chunks.orderBy("chunk").collect()]
+    assert first.manifest_sha256 == joined(leaves)
+    tree = joined([joined([joined(leaves[0:2]), joined(leaves[2:4])]), joined([joined(leaves[4:])])])
+    assert manifest.manifest_digest(chunks, fan_in=2).first().manifest_sha256 == tree
