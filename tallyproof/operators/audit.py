@@ -9,7 +9,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyproof.functions.decimals import USD, dec, six_dp, usd
+from tallyproof.functions.decimals import USD, dec, exact_decimals, six_dp, usd
 
 NOT_APPLICABLE = "not_applicable"
 
@@ -79,14 +79,17 @@ def display_residual(rows: DataFrame) -> DataFrame:
     )
     shown = six_dp(six_dp(fees) - six_dp(supply) - six_dp(revenue))
     exact = six_dp(usd(usd(fees - supply) - revenue))
-    return rows.agg(
-        shown.alias("display_residual_usd"),
-        exact.alias("unrounded_residual_usd"),
+    residual_class = (
         F.when((shown != 0) & (exact == 0), "DISPLAY_ROUNDING_6DP")
         .when(exact == 0, "NONE")
         .otherwise("ACCOUNTING")
-        .alias("residual_class"),
     )
+    with exact_decimals(rows.sparkSession):
+        return rows.agg(
+            shown.alias("display_residual_usd"),
+            exact.alias("unrounded_residual_usd"),
+            residual_class.alias("residual_class"),
+        )
 
 
 def scan_reduction(paths: Mapping[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
@@ -145,11 +148,12 @@ def accrual_vs_realised(
     rows = a.join(w, key, "full_outer")
     zero = dec(0, USD)
     accrued_usd, realised_usd = F.coalesce("_a", zero), F.coalesce("_w", zero)
-    return rows.select(
-        key,
-        six_dp(accrued_usd).alias("accrued_usd"),
-        six_dp(realised_usd).alias("realised_usd"),
-        six_dp(usd(accrued_usd - realised_usd)).alias("gap_usd"),
-        F.coalesce("_n", F.lit(0)).alias("withdrawals"),
-        F.coalesce("_u", F.lit(0)).alias("unpriced_withdrawals"),
-    )
+    with exact_decimals(rows.sparkSession):
+        return rows.select(
+            key,
+            six_dp(accrued_usd).alias("accrued_usd"),
+            six_dp(realised_usd).alias("realised_usd"),
+            six_dp(usd(accrued_usd - realised_usd)).alias("gap_usd"),
+            F.coalesce("_n", F.lit(0)).alias("withdrawals"),
+            F.coalesce("_u", F.lit(0)).alias("unpriced_withdrawals"),
+        )

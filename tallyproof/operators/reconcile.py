@@ -9,7 +9,7 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyproof.functions.decimals import USD, dec, six_dp, usd
+from tallyproof.functions.decimals import USD, dec, exact_decimals, six_dp, usd
 from tallyproof.functions.formulas import differs
 from tallyproof.operators.ordered import first_per_key
 from tallyproof.operators.sides import sized_side
@@ -101,14 +101,15 @@ def field_mismatch(
         m: usd(F.coalesce(usd(F.col("l")[m]), zero) - F.coalesce(usd(F.col("r")[m]), zero))
         for m in measures
     }
-    return rows.agg(
-        F.count_if(both).alias("matched_keys"),
-        F.count_if(F.col("r").isNull()).alias("left_only_keys"),
-        F.count_if(F.col("l").isNull()).alias("right_only_keys"),
-        F.count_if(reduce(or_, unequal.values())).alias("field_mismatch_keys"),
-        *[F.count_if(c).alias(f"{f}_mismatch_keys") for f, c in unequal.items()],
-        *[six_dp(F.sum(c)).alias(f"{m}_row_difference_sum") for m, c in gaps.items()],
-    )
+    with exact_decimals(rows.sparkSession):
+        return rows.agg(
+            F.count_if(both).alias("matched_keys"),
+            F.count_if(F.col("r").isNull()).alias("left_only_keys"),
+            F.count_if(F.col("l").isNull()).alias("right_only_keys"),
+            F.count_if(reduce(or_, unequal.values())).alias("field_mismatch_keys"),
+            *[F.count_if(c).alias(f"{f}_mismatch_keys") for f, c in unequal.items()],
+            *[six_dp(F.sum(c)).alias(f"{m}_row_difference_sum") for m, c in gaps.items()],
+        )
 
 
 def changed_set_diff(

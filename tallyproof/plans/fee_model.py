@@ -69,9 +69,10 @@ def fee_columns(rows: DataFrame) -> DataFrame:
 
 
 def supply_side_rows(rows: DataFrame) -> DataFrame:
-    return rows.withColumn(
-        "supply_side_fees_usd", usd(usd(F.col("fees_usd")) - usd(F.col("revenue_usd")))
-    )
+    with exact_decimals(rows.sparkSession):
+        return rows.withColumn(
+            "supply_side_fees_usd", usd(usd(F.col("fees_usd")) - usd(F.col("revenue_usd")))
+        )
 
 
 def fee_rows(
@@ -117,8 +118,10 @@ def metric_columns() -> dict[str, Column]:
 
 
 def metric_rollup(rows: DataFrame, by: list[str] | None = None) -> DataFrame:
-    aggs = [c.alias(name) for name, c in metric_columns().items()]
-    return rows.groupBy(*(by or [])).agg(*aggs)
+    # Without the rule a difference of two 18-place sums would lose its last place.
+    with exact_decimals(rows.sparkSession):
+        aggs = [c.alias(name) for name, c in metric_columns().items()]
+        return rows.groupBy(*(by or [])).agg(*aggs)
 
 
 def fee_model(*args: object, **kwargs: object) -> DataFrame:

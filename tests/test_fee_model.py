@@ -306,3 +306,73 @@ def test_six_places_round_half_up(spark):
     df = spark.createDataFrame([(money("0.0000005"),), (money("-0.0000005"),)], "v decimal(38,18)")
     got = [r.r for r in df.select(six_dp(F.col("v")).alias("r")).collect()]
     assert got == [Decimal("0.000001"), Decimal("-0.000001")]
+
+
+def test_values_keep_every_digit_of_price_and_amount(spark):
+    from decimal import ROUND_DOWN, ROUND_HALF_UP, Decimal, localcontext
+
+    from tallyproof.functions import formulas as fx
+    from tallyproof.functions.decimals import exact_decimals, units_times_price
+
+    cases = [
+        (100 * 10**6, 6, "0.9987"), (5 * 10**6, 6, "0.00001234"), (10**24, 18, "1.000000000000000001"),
+        (10**18, 18, "1788.4567"), (123456789012345678901, 18, "98765.432109876543210987"), (7, 18, "0.3"),
+        (0, 0, "5"), (10**24 + 1, 18, "0.123456789012345678"),
+    ]
+    rows = spark.createDataFrame(
+        [(i, Decimal(r), d, Decimal(p)) for i, (r, d, p) in enumerate(cases)],
+        "i int, raw decimal(38,0), d int, price decimal(38,18)",
+    )
+    with exact_decimals(spark):
+        out = rows.select(
+            "i",
+            units_times_price(F.col("raw"), F.col("d"), F.col("price")).alias("near"),
+            units_times_price(F.col("raw"), F.col("d"), F.col("price"), down=True).alias("low"),
+            fx.fee_reaches_movement(F.col("raw"), F.col("price"), F.lit(1_788_456_700).cast("decimal(38,0)")).alias("hit"),
+            fx.fee_to_movement_bps(F.col("raw"), F.col("price"), F.lit(1_788_456_701).cast("decimal(38,0)")).alias("bps"),
+        )
+    with localcontext() as context:
+        context.prec = 90
+        step = Decimal(1).scaleb(-18)
+        for row in out.collect():
+            raw, d, p = cases[row.i]
+            exact = Decimal(raw).scaleb(-d) * Decimal(p).quantize(step)
+            assert row.near == exact.quantize(step, ROUND_HALF_UP)
+            assert row.low == exact.quantize(step, ROUND_DOWN)
+            fee = Decimal(raw).scaleb(-18) * Decimal(p).quantize(step)
+            assert row.hit == (fee >= Decimal("1788.4567"))
+            if fee < 10**9:
+                assert row.bps == int(fee * 10_000 / Decimal("1788.456701"))
+
+
+@pytest.mark.parametrize("strategy", ["range", "fill", "auto"])
+def test_tied_points_do_not_depend_on_the_order_of_the_input(spark, strategy):
+    from tallyproof.operators.intervals import interval_lookup
+
+    points = [(1, 5, 0, 7), (1, 5, 0, 9), (1, 5, 0, 8), (1, 9, 0, 1), (1, 9, 0, 2)]
+    facts = spark.createDataFrame([(1, 6, 0), (1, 9, 0), (1, 10, 3)], "pool int, block_number int, evt_index int")
+    for order in (points, points[::-1]):
+        side = spark.createDataFrame(order, "pool int, block_number int, evt_index int, fee int").coalesce(1)
+        got = interval_lookup(facts, side, ["pool"], ["block_number", "evt_index"], F.floor(F.col("block_number") / 4), strategy)
+        assert sorted((r.block_number, r.fee) for r in got.collect()) == [(6, 9), (10, 2)]
+
+
+def test_a_lost_key_moves_the_residual_of_the_ledger(spark):
+    from tallyproof.plans import liquidations as lq
+    from tallyproof.registry import liquidations as queries
+
+    folder = "/root/testdata/sf0.001"
+    model, rows = queries.model(spark, folder), queries.reconciled(spark, folder)
+    assert {r.partition_residual for r in lq.closed_ledger(rows, model).collect()} == {0}
+    lost = model.agg(F.count_if(F.col("tx_hash") % 7 == 0)).first()[0]
+    kept = rows.where(F.col("tx_hash") % 7 != 0)
+    assert {r.partition_residual for r in lq.closed_ledger(kept, model).collect()} == {lost}
+
+
+def test_an_actor_without_a_class_moves_the_residual(spark):
+    from tallyproof.operators import signals
+
+    fused = spark.createDataFrame([(1, 0), (2, 1), (3, 4), (4, None)], "address long, families int")
+    fused = fused.withColumn("actor_class", signals.class_of(F.col("families")))
+    actors = spark.createDataFrame([(i,) for i in range(1, 7)], "address long")
+    assert {r.partition_residual for r in signals.class_partition(fused, actors).collect()} == {3}

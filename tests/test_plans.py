@@ -113,3 +113,82 @@ def test_a_side_is_broadcast_only_below_its_bound_in_bytes(spark):
     facts = spark.range(1000).withColumnRenamed("id", "k")
     assert "BroadcastHashJoin" in plan(facts.join(small, "k"))
     assert large.count() == 100
+
+
+def test_price_and_transaction_scans_are_bounded_by_the_window(spark, tmp_path):
+    """The join does not imply the bound; it must reach the scan of the side table."""
+    from datetime import datetime
+
+    from tallyproof.plans import liquidations, screening
+    from tallyproof.registry import screening as queries
+    from tallyproof.sources import testdata as td
+
+    folder = "/root/testdata/sf0.001"
+    prices = td.month_prices(spark, folder)
+    prices.write.parquet(f"{tmp_path}/prices")
+    model = liquidations.liquidation_model(
+        td.liquidations_raw(spark, folder), td.token_metadata(spark, folder),
+        datetime(1996, 1, 10), datetime(1996, 3, 2),
+    )
+    priced = liquidations.liquidation_priced(
+        model, spark.read.parquet(f"{tmp_path}/prices"), "month", (datetime(1996, 1, 10), datetime(1996, 3, 2))
+    )
+    filters = [x for x in plan(priced).split("\n") if "PushedFilters" in x and "bucket" in x]
+    assert len(filters) == 2
+    assert all("GreaterThanOrEqual(bucket,1996-01-01" in x and "LessThan(bucket,1996-03-02" in x for x in filters)
+
+    moved = td.transfers(spark, folder)
+    td.transactions(moved).write.parquet(f"{tmp_path}/txs")
+    given = screening.Inputs(
+        moved, spark.read.parquet(f"{tmp_path}/txs"), td.hour_prices(moved), td.exchange_list(spark, folder), F.lit(0)
+    )
+    rules = queries.rules()
+    stages = screening.build_stages(given, rules, freeze=False)
+    text = plan(stages.signals)
+    scans = [x for x in text.split("\n") if "PushedFilters" in x and "block_time" in x]
+    assert any("GreaterThanOrEqual(block_time" in x and "LessThan(block_time" in x for x in scans)
+
+
+def test_actors_are_kept_before_legs_are_netted(spark):
+    from tallyproof.operators import transfers as tr
+
+    rows = spark.createDataFrame(
+        [("A", 1, 2, 10, 100)], "token string, sender long, receiver long, value long, tx_hash long"
+    )
+    rows = rows.selectExpr("*", "timestamp'2024-01-01' AS block_time", "date'2024-01-01' AS block_date", "1L AS block_number", "1L AS tx_index", "1L AS evt_index")
+    actors = spark.createDataFrame([(1, "A")], "address long, token string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for df in (tr.actor_tx_net(rows, actors), tr.counterparty_features(rows, actors)):
+            tree = plan(df).split("\n\n\n")[0]
+            assert tree.index("LeftSemi") > tree.rindex("HashAggregate")
+            assert df.count() == 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_stored_copies_are_released(spark):
+    from pathlib import Path
+
+    from tallyproof.session import stored_copies
+    from tallyproof.sources.tables import frozen_relation
+
+    with stored_copies(spark) as made:
+        assert frozen_relation(spark.range(5), "kept").count() == 5
+        folders = [Path(p.removeprefix("file:")) for p in made]
+        assert folders and all(f.exists() for f in folders)
+    assert not any(f.exists() for f in folders)
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from tallyproof.session import shared_folder
+
+    nowhere = SimpleNamespace(get=lambda key, default=None: default)
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_folder(SimpleNamespace(conf=nowhere, sparkContext=context))
