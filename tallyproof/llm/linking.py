@@ -1,27 +1,33 @@
-"""From index keys to linked groups, without listing the pairs of a bucket.
-
-Nodes that share a key are candidates. Every round compares each node with one representative of
-its bucket, joins what verifies into components and goes on with the buckets that still hold more
-than one component. Groups of near copies fall together in the first rounds; what remains are
-buckets of unrelated nodes, whose pairs across components are then verified one by one. No linked
-pair between different components can be missed: every bucket ends in one component or has all its
-cross pairs verified.
+"""From index keys to groups of similar sets, without listing the pairs of a bucket.
+
+Nodes are sets; those that share a key are candidates. Each bucket has a pivot, the member that is
+in most buckets, and every other member is compared with it. What is left are similar pairs of
+which not both sides are similar to the pivot. Let ``delta`` of a set be its symmetric difference
+from the pivot; two sets differ in exactly the symmetric difference of their deltas. Such a pair
+differs in at most ``H`` tokens while its deltas have more than ``H`` together:
+
+    a set is similar when D <= k * (sum of sizes), with k = (den - num) / (den + num). If b is not
+    similar to p, |delta b| > k (|b| + |p|). Were |delta a| + |delta b| <= k (|a| + |b|), then with
+    |a| <= |p| + |delta a| it would be at most k (|p| + |b|) + k |delta a| < |delta b| + |delta a|.
+
+So the deltas share a token; by the prefix filter they share one among the first H + 1 of each, in
+one order for all deltas of a pivot, tokens outside the pivot first. Those are rare, so copies
+edited apart meet hardly anyone, however large their group; and a token far back in a delta leaves
+too few behind it to reach the number that must be shared. The remaining pairs of different
+components are verified exactly, again by their deltas.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tallyproof.llm.common import stored
 from tallyproof.llm.components import components
 
-# Rounds against one representative before the cross pairs are listed.
-ROUNDS = 3
-
 
 def shared_buckets(keys: DataFrame) -> DataFrame:
     """Rows (key, node) of the keys that two or more different nodes have."""
@@ -34,56 +40,61 @@ def shared_buckets(keys: DataFrame) -> DataFrame:
     )
 
 
-def with_roots(rows: DataFrame, known: DataFrame | None) -> DataFrame:
-    """(key, node, root) of the buckets that hold two or more components."""
-    if known is not None:
-        rows = rows.join(known, "node", "left")
-        rows = rows.select("key", "node", F.coalesce("root", "node").alias("root"))
-    else:
-        rows = rows.withColumn("root", F.col("node"))
-    bucket = Window.partitionBy("key")
-    return (
-        rows.withColumn("low", F.min("root").over(bucket))
-        .withColumn("high", F.max("root").over(bucket))
-        .where("low <> high")
-        .select("key", "node", "root")
-    )
+def stars(buckets: DataFrame) -> DataFrame:
+    """Distinct (node, pivot): every member of a bucket with the bucket's pivot."""
+    degree = buckets.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
+    order = F.struct("degree", F.xxhash64("node"), "node")
+    rows = buckets.join(degree, "node").withColumn("pivot", F.max(order).over(Window.partitionBy("key")))
+    return rows.select("node", F.col("pivot.node").alias("pivot")).where("node <> pivot").distinct()
+
+
+def similar(common: Column, left: Column, right: Column, num: int, den: int) -> Column:
+    return den * common >= num * (left + right - common)
 
 
-def linked(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], rounds: int = ROUNDS) -> DataFrame:
-    """``node`` and ``root`` of every node that ``verify`` links to another one.
+def linked(buckets: DataFrame, deltas: Callable[[DataFrame], DataFrame], num: int, den: int) -> DataFrame:
+    """``node`` and ``root`` of every node that is similar to another one of its buckets.
 
-    ``buckets``: stored rows (key, node). ``verify`` takes distinct pairs (a, b), a < b, and returns
-    those that hold.
+    ``buckets``: stored rows (key, node). ``deltas`` takes pairs (node, pivot) and adds size, good
+    (similar to the pivot) and delta (array of tokens in prefix order).
     """
-    known, edges, checked = None, None, None
-
-    def pairs_of(rows: DataFrame, left: str, right: str) -> DataFrame:
-        pairs = rows.select(F.least(left, right).alias("a"), F.greatest(left, right).alias("b")).distinct()
-        return pairs if checked is None else pairs.join(checked, ["a", "b"], "left_anti")
-
-    for turn in range(rounds + 1):
-        open_rows = stored(with_roots(buckets, known), "open")
-        if turn < rounds:
-            order = F.struct(F.xxhash64("node", F.lit(turn)), "node", "root")
-            chosen = open_rows.withColumn("pick", F.min(order).over(Window.partitionBy("key")))
-            chosen = chosen.where("pick.root <> root").select("node", F.col("pick.node").alias("other"))
-            # the representative that a node meets in most buckets is the likeliest link
-            met = chosen.groupBy("node", "other").agg(F.count(F.lit(1)).alias("n"))
-            best = met.groupBy("node").agg(F.max(F.struct("n", "other")).alias("best"))
-            pairs = pairs_of(best.select("node", F.col("best.other").alias("other")), "node", "other")
-        else:
-            left = open_rows.select("key", F.col("node").alias("x"), F.col("root").alias("r"))
-            crossed = left.join(open_rows, "key").where("r < root")
-            pairs = pairs_of(crossed, "x", "node")
-        pairs = stored(pairs, "pairs")
-        if not pairs.take(1):
-            break
-        found = stored(verify(pairs), "verified")
-        checked = pairs if checked is None else checked.unionByName(pairs)
-        edges = found if edges is None else edges.unionByName(found)
-        known = stored(components(edges), "groups")
-    if known is None:
-        spark = buckets.sparkSession
-        return spark.createDataFrame([], "node long, root long")
-    return known
+    star = stored(deltas(stored(stars(buckets), "stars")), "deltas")
+    near = star.where("good").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
+    groups = stored(components(near), "groups")
+
+    named = star.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    ends = groups.select(F.col("node").alias("pivot"), F.col("root").alias("pivot_root"))
+    named = named.join(ends, "pivot", "left")
+    around = Window.partitionBy("pivot")
+    # a pivot whose members all fell in one component has nothing left to link
+    open_rows = named.withColumn("low", F.min("root").over(around)).withColumn("high", F.max("root").over(around))
+    open_rows = stored(open_rows.where("low <> high").select("pivot", "node", "root", "size", "delta"), "open")
+    most = F.floor(F.lit(den - num) * F.col("size") / num).cast("int")
+    prefix = F.posexplode(F.slice("delta", 1, most + 1)).alias("place", "token")
+    left = (F.size("delta") - F.col("place")).alias("left")
+    tokens = open_rows.select("*", prefix).select("pivot", "node", "root", "token", "size", F.size("delta").alias("n"), left)
+    at = Window.partitionBy("pivot", "token")
+    tokens = tokens.withColumn("low", F.min("root").over(at)).withColumn("high", F.max("root").over(at))
+    tokens = stored(tokens.where("low <> high").drop("low", "high"), "tokens")
+    other = tokens.select("pivot", "token", *[F.col(c).alias(f"b_{c}") for c in ("node", "root", "size", "n", "left")])
+    # tokens that deltas of these lengths must share; from their first common token on, no more
+    # than what is left of the shorter rest can be shared
+    apart = F.floor(F.lit(den - num) * (F.col("size") + F.col("b_size")) / (den + num))
+    need = F.col("n") + F.col("b_n") - apart
+    met = tokens.join(other, ["pivot", "token"]).where((F.col("root") < F.col("b_root")) & (2 * F.least("left", "b_left") >= need))
+    met = met.groupBy(F.least("node", "b_node").alias("a"), F.greatest("node", "b_node").alias("b"))
+    met = met.agg(F.min("pivot").alias("pivot"))
+
+    def side(name: str) -> DataFrame:
+        return open_rows.select("pivot", F.col("node").alias(name), F.col("size").alias(f"{name}_size"), F.col("delta").alias(f"{name}_delta"))
+
+    rows = met.join(side("a"), ["pivot", "a"]).join(side("b"), ["pivot", "b"])
+    both = F.size(F.array_intersect("a_delta", "b_delta"))
+    apart = F.size("a_delta") + F.size("b_delta") - 2 * both
+    sizes = F.col("a_size") + F.col("b_size")
+    further = rows.where(similar((sizes - apart) / 2, F.col("a_size"), F.col("b_size"), num, den)).select("a", "b")
+    further = stored(further, "further")
+    if not further.take(1):
+        return groups
+    edges = groups.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(further)
+    return stored(components(edges), "groups")

@@ -251,42 +251,43 @@ def texts_of(docs: DataFrame, sets: DataFrame, nodes: DataFrame, n: int, doc_id:
     return mapped(rows, work, "node long, text string").dropDuplicates(["node"])
 
 
-def verified(pairs: DataFrame, texts: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """The pairs whose sets reach the threshold: den * intersection >= num * union."""
-    left = texts.select(F.col("node").alias("a"), F.col("text").alias("left"))
-    right = texts.select(F.col("node").alias("b"), F.col("text").alias("right"))
-    rows = pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right").sortWithinPartitions("a")
+def deltas(pairs: DataFrame, texts: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """``pairs`` (node, pivot) with size (of the node's set), good (similar to the pivot's set) and
+    delta: the tokens of one but not the other, those outside the pivot first, each by value."""
+    mine = texts.select("node", F.col("text").alias("mine"))
+    hub = texts.select(F.col("node").alias("pivot"), F.col("text").alias("hub"))
+    rows = pairs.join(mine, "node").join(hub, "pivot").select("node", "pivot", "mine", "hub").sortWithinPartitions("pivot")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: OrderedDict[int, np.ndarray] = OrderedDict()
-
-        def sets_of(batch: pa.RecordBatch, ids: int, texts: int) -> None:
-            new = {}
-            for k, node in enumerate(batch.column(ids).to_pylist()):
-                if node not in cache and node not in new:
-                    new[node] = k
-            if new:
-                data, offsets = utf8(batch.column(texts).take(pa.array(list(new.values()))))
-                found = shingles(data, offsets, n)
-                for r, node in enumerate(new):
-                    cache[node] = found.tokens[found.edges[r] : found.edges[r + 1]].copy()
+        hubs: OrderedDict[int, np.ndarray] = OrderedDict()
+
+        def sets_of(column: pa.Array) -> list[np.ndarray]:
+            data, offsets = utf8(column)
+            found = shingles(data, offsets, n)
+            return [found.tokens[x:y] for x, y in zip(found.edges[:-1], found.edges[1:], strict=True)]
 
         for whole in batches:
-            for start in range(0, whole.num_rows, 256):
-                batch = whole.slice(start, 256)
-                sets_of(batch, 0, 2)
-                sets_of(batch, 1, 3)
-                a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-                good = []
-                for x, y in zip(a, b, strict=True):
-                    p, q = cache[x], cache[y]
-                    common = len(np.intersect1d(p, q, assume_unique=True))
-                    good.append(den * common >= num * (len(p) + len(q) - common))
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good))
-                for node in list(cache)[:-64]:
-                    del cache[node]
-
-    return mapped(rows, work, "a long, b long")
+            for start in range(0, whole.num_rows, 128):
+                batch = whole.slice(start, 128)
+                pivots = batch.column(1).to_pylist()
+                new = {p: k for k, p in enumerate(pivots) if p not in hubs}
+                hubs.update(zip(new, (x.copy() for x in sets_of(batch.column(3).take(pa.array(list(new.values()), pa.int64())))), strict=True))
+                size, good, delta = [], [], []
+                for p, own in zip(pivots, sets_of(batch.column(2)), strict=True):
+                    hub = hubs[p]
+                    added, gone = np.setdiff1d(own, hub, assume_unique=True), np.setdiff1d(hub, own, assume_unique=True)
+                    common = len(own) - len(added)
+                    size.append(len(own))
+                    good.append(den * common >= num * (len(own) + len(gone)))
+                    delta.append(np.concatenate([added, gone]).view(np.int64))
+                edge = np.concatenate([[0], np.cumsum([len(d) for d in delta])]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(edge), pa.array(np.concatenate(delta)))
+                columns = [batch.column(0), batch.column(1), pa.array(size, pa.int64()), pa.array(good), lists]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "pivot", "size", "good", "delta"])
+                for p in list(hubs)[:-64]:
+                    del hubs[p]
+
+    return mapped(rows, work, "node long, pivot long, size long, good boolean, delta array<long>")
 
 
 def joined(
@@ -296,7 +297,7 @@ def joined(
     sets = stored(set_rows(docs, n, doc_id, text), "sets")
     buckets = stored(shared_buckets(key_rows(docs, n, num, den, text)), "buckets")
     texts = stored(texts_of(docs, sets, buckets.select("node").distinct(), n, doc_id, text), "texts")
-    groups = linked(buckets, lambda pairs: verified(pairs, texts, n, num, den))
+    groups = linked(buckets, lambda pairs: deltas(pairs, texts, n, num, den), num, den)
     first = sets.where("sig IS NOT NULL").groupBy("sig").agg(F.min("doc_id").alias("first"))
     placed = first.join(groups, first.sig == groups.node, "left")
     placed = placed.select("sig", F.coalesce("root", "sig").alias("root"), "first")
