@@ -4,11 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyproof.llm.bpe import encode_stage
 from tallyproof.llm.common import stored, table
+from tallyproof.llm.mixing import mix
+from tallyproof.llm.ngram_join import one_of_each
+from tallyproof.llm.pii import redact_stage
 from tallyproof.llm.quality_rules import keep_good
 
 STAGES = [
     ("quality rules", keep_good),
+    ("n-gram Jaccard join", one_of_each),
+    ("personal data", redact_stage),
+    ("mixing", mix),
+    ("BPE", encode_stage),
 ]
 
 # The stages use numpy models and rolling hashes, which SQL cannot express; the tests compare

@@ -10,17 +10,25 @@ from tallyproof.llm import mixing, url_filter
 from tallyproof.llm.bpe import op9_bpe
 from tallyproof.llm.mixing import op1_poisson_mix
 from tallyproof.llm.ngram_join import op3_ngram_join
+from tallyproof.llm.passages import op6_passage_dedup
+from tallyproof.llm.pii import op10_lstm_pii
+from tallyproof.llm.quality_model import op5_subword_quality
 from tallyproof.llm.quality_rules import op4_quality_rules
 from tallyproof.llm.sharding import op8_vector_packing
 from tallyproof.llm.url_filter import op7_url_filter
+from tallyproof.llm.vptree import op2_vptree
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_poisson_mix": op1_poisson_mix,
+    "op2_vptree": op2_vptree,
     "op3_ngram_join": op3_ngram_join,
     "op4_quality_rules": op4_quality_rules,
+    "op5_subword_quality": op5_subword_quality,
+    "op6_passage_dedup": op6_passage_dedup,
     "op7_url_filter": op7_url_filter,
     "op8_vector_packing": op8_vector_packing,
     "op9_bpe": op9_bpe,
+    "op10_lstm_pii": op10_lstm_pii,
 }
 ORACLES: dict[str, str] = {
     "op1_poisson_mix": mixing.ORACLE,
