@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyproof.functions.decimals import USD, dec, exact_decimals, six_dp, usd
@@ -84,7 +84,7 @@ def display_residual(rows: DataFrame) -> DataFrame:
         .when(exact == 0, "NONE")
         .otherwise("ACCOUNTING")
     )
-    with exact_decimals(rows.sparkSession):
+    with exact_decimals(SparkSession.active()):
         return rows.agg(
             shown.alias("display_residual_usd"),
             exact.alias("unrounded_residual_usd"),
