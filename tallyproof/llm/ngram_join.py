@@ -323,3 +323,24 @@ def one_of_each(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     same = rows.sig.eqNullSafe(kept.sig) & rows.doc_id.eqNullSafe(kept.doc_id)
     stay = rows.where("sig IS NOT NULL").join(kept, same, "left_semi").dropDuplicates(["doc_id", "sig"])
     return stay.unionByName(rows.where("sig IS NULL")).select(*(f"`{c}`" for c in docs.columns))
+
+
+ORACLE = """
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT DISTINCT rid, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS g FROM docs),
+sizes AS (SELECT rid, count(*) AS n FROM sets GROUP BY rid),
+common AS (
+  SELECT a.rid AS x, b.rid AS y, count(*) AS c FROM sets a JOIN sets b ON a.g = b.g AND a.rid < b.rid GROUP BY ALL),
+links AS (
+  SELECT x, y FROM common JOIN sizes p ON p.rid = x JOIN sizes q ON q.rid = y WHERE 100 * c >= 85 * (p.n + q.n - c)),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (
+  SELECT rid, rid AS other FROM docs UNION SELECT r.rid, e.y FROM reach r JOIN edges e ON e.x = r.other)
+SELECT any_value(d.doc_id) AS doc_id, coalesce(any_value(n), 0) AS n_shingles, min(o.doc_id) AS component_id
+FROM reach r JOIN docs d ON d.rid = r.rid JOIN docs o ON o.rid = r.other LEFT JOIN sizes s ON s.rid = r.rid
+GROUP BY r.rid
+"""

@@ -172,3 +172,50 @@ def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 def keep_good(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Pipeline stage: the documents that the rules keep."""
     return judged(docs).where("kept").select(*(f"`{c}`" for c in docs.columns))
+
+
+def oracle(limits: Limits | None = None) -> str:
+    """The same counts and shares in DuckDB, from the words' texts instead of hashes."""
+    lim = asdict(limits or Limits())
+    sizes = (*TOP, *ALL)
+    follow = {n: " || ' ' || ".join(["w", *(f"lead(w, {j}) OVER o" for j in range(1, n))]) for n in sizes}
+    grams = ", ".join(f"{follow[n]} AS g{n}" for n in sizes)
+    counts = ", ".join(f"CASE WHEN g{n} IS NULL THEN 0 ELSE count(*) OVER (PARTITION BY rid, g{n}) END AS c{n}" for n in sizes)
+    # a word is covered when one of the n windows that end with or after it, here by position, repeats
+    inside = ", ".join(
+        f"max(CASE WHEN c{n} > 1 THEN 1 ELSE 0 END) OVER (PARTITION BY rid ORDER BY i ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS m{n}"
+        for n in sizes
+    )
+    tops = ", ".join(
+        f"max(CASE WHEN c{n} > 1 THEN c{n} * (length(g{n}) - {n - 1}) ELSE 0 END) AS t{n}" for n in TOP
+    )
+    covers = ", ".join(f"sum(m{n} * length(w)) AS d{n}" for n in ALL)
+    share = lambda x: f"CASE WHEN coalesce(chars, 0) > 0 THEN {x}::DOUBLE / chars ELSE 0::DOUBLE END"
+    shown = ", ".join([*(f"{share(f't{n}')} AS top_{n}_share" for n in TOP), *(f"{share(f'd{n}')} AS dup_{n}_share" for n in ALL)])
+    bad = " OR ".join(
+        [f"dup_line_share > {lim['dup_lines']}::DOUBLE", f"n_symbols > {lim['symbols_per_word']}::DOUBLE * n_words"]
+        + [f"top_{n}_share > {lim[f'top_{n}']}::DOUBLE" for n in TOP]
+        + [f"dup_{n}_share > {lim[f'dup_{n}']}::DOUBLE" for n in ALL]
+    )
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+parts AS (SELECT rid, unnest(ws) AS w, generate_subscripts(ws, 1) AS i
+  FROM (SELECT rid, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS ws FROM docs)),
+grams AS (SELECT *, {grams} FROM parts WINDOW o AS (PARTITION BY rid ORDER BY i)),
+counted AS (SELECT *, {counts} FROM grams),
+marked AS (SELECT *, {inside} FROM counted),
+words AS (SELECT rid, count(*) AS n_words, sum(length(w)) AS chars, sum(m3) AS n_repeat, {tops}, {covers} FROM marked GROUP BY rid),
+lines AS (SELECT rid, unnest(ls) AS l, generate_subscripts(ls, 1) AS i FROM (SELECT rid, string_split(text, chr(10)) AS ls FROM docs)),
+later AS (SELECT rid, l, row_number() OVER (PARTITION BY rid, l ORDER BY i) AS k FROM lines
+  WHERE regexp_matches(l, '[^\\x20\\x09-\\x0D]')),
+dups AS (SELECT rid, count(*) AS n, sum(length(regexp_replace(l, '[\\x20\\x09-\\x0D]+', '', 'g'))) AS line_chars
+  FROM later WHERE k > 1 GROUP BY rid),
+measured AS (
+  SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(chars, 0)::BIGINT AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(n, 0) AS n_dup_lines,
+    coalesce(n_repeat, 0)::BIGINT AS n_repeat_words, {share("coalesce(line_chars, 0)")} AS dup_line_share, {shown}
+  FROM docs LEFT JOIN words USING (rid) LEFT JOIN dups USING (rid)),
+based AS (
+  SELECT *, n_words < {lim["min_words"]} OR 100 * n_repeat_words > {lim["max_repeat_percent"]} * n_words AS base_failed FROM measured)
+SELECT *, NOT base_failed AND NOT ({bad}) AS kept FROM based
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyproof.llm import mixing, url_filter
+from tallyproof.llm import mixing, ngram_join, quality_rules, url_filter
 from tallyproof.llm.bpe import op9_bpe
 from tallyproof.llm.mixing import op1_poisson_mix
 from tallyproof.llm.ngram_join import op3_ngram_join
@@ -32,5 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 ORACLES: dict[str, str] = {
     "op1_poisson_mix": mixing.ORACLE,
+    "op3_ngram_join": ngram_join.ORACLE,
+    "op4_quality_rules": quality_rules.oracle(),
     "op7_url_filter": url_filter.ORACLE,
 }
