@@ -35,7 +35,10 @@ TOLERANCES = [0, 10, 100, 500]
 
 
 def pair_events(transfers: DataFrame, edges: DataFrame) -> DataFrame:
-    """Events of pairs that have both directions, with time in seconds."""
+    """Events of pairs that have both directions, with time in seconds.
+
+    Amounts are 64-bit integers, which holds 9.2e12 units of a six-decimal token; larger ones raise.
+    """
     rows = transfers.select(
         "token",
         F.least("sender", "receiver").alias("low"),
@@ -115,9 +118,10 @@ def _nearest_gap(events: DataFrame, segment_seconds: int) -> DataFrame:
     )
     keys = [*PAIR, "bps", "direction", "level", "block"]
     segment = F.floor(F.col("at") / segment_seconds)
-    # Targets sort before queries, so an equal time is found looking back.
+    # The scan reads its input twice, so the exploded blocks are stored. Targets sort before
+    # queries, so an equal time is found looking back.
     near = carry(
-        mixed, keys, segment, ["at", "kind"],
+        frozen_relation(mixed, "blocks"), keys, segment, ["at", "kind"],
         Carry("seen", "before"), Carry("seen", "after", backward=True),
     )
     gap = F.least(F.col("at") - F.col("before"), F.col("after") - F.col("at"))

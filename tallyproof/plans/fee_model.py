@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +21,7 @@ from tallyproof.operators.enrich import accepted_repairs, inline_repairs, valued
 from tallyproof.operators.intervals import interval_lookup, state_points
 from tallyproof.operators.ordered import row_numbers
 from tallyproof.operators.reconcile import beside
+from tallyproof.sources.scans import prices_of_window
 from tallyproof.sources.tables import frozen_relation
 
 ORDER = ["block_number", "evt_index"]
@@ -85,12 +88,15 @@ def fee_rows(
     grain: str = "minute",
     strategy: str = "auto",
     tag: list[str] | None = None,
+    window: tuple[datetime, datetime] | None = None,
 ) -> DataFrame:
-    """The published trade rows.
+    """The published trade rows. ``window`` is that of the trades; it bounds the price scan.
 
     Plan: only rows in the repair scope meet the price table; the state lookup is the one step
     that may move all trades, and it does so at most once.
     """
+    if window:
+        prices = prices_of_window(prices, *window, grain)
     based = inline_repairs(trades, prices, repair_scope, grain)
     points = fee_points(pools, settings, tag)
     keys = [*(tag or []), "pool"]
@@ -135,8 +141,11 @@ def affected_rows(
     repair_scope: Column,
     segment: Column,
     grain: str = "minute",
+    window: tuple[datetime, datetime] | None = None,
 ) -> DataFrame:
-    """Every row whose fee base changes, numbered in event order."""
+    """Every row whose fee base changes, numbered in event order; ``window`` as in ``fee_rows``."""
+    if window:
+        prices = prices_of_window(prices, *window, grain)
     repairs = accepted_repairs(valued_rows(trades.where(repair_scope), prices, grain))
     legacy, fixed = F.col("legacy_fee_base_usd"), F.col("fixed_fee_base_usd")
     shown = repairs.select(

@@ -56,7 +56,7 @@ def model_rows(spark: SparkSession, d: str, strategy: str = "auto") -> DataFrame
     t = stored_trades(spark, d)
     return fm.fee_rows(
         t, td.pools(spark, d), td.settings(spark, d), td.token_prices(t), in_scope(), seg(), "day",
-        strategy,
+        strategy, window=(td.FIRST_DAY, td.LAST_DAY),
     )
 
 
@@ -127,7 +127,8 @@ def frozen_relation(spark, d):
 
 
 def frozen_affected(t: DataFrame) -> DataFrame:
-    rows = fm.affected_rows(t, td.token_prices(t), in_scope(), seg(), "day")
+    window = (td.FIRST_DAY, td.LAST_DAY)
+    rows = fm.affected_rows(t, td.token_prices(t), in_scope(), seg(), "day", window)
     kept = ["affected_row_number", "block_number", "tx_hash", "evt_index", "fixed_fee_base_usd_6",
             "reason_code"]
     return tables.frozen_relation(rows.select(*kept), "affected")
@@ -737,7 +738,8 @@ SELECT row_number() OVER (ORDER BY block_number, evt_index, tx_hash) AS affected
   CAST(round(pct, 4) AS DECIMAL(38,4)) AS absolute_difference_pct FROM affected""")
 def affected_rows(spark, d):
     t = stored_trades(spark, d)
-    return fm.affected_rows(t, td.token_prices(t), in_scope(), seg(), "day")
+    window = (td.FIRST_DAY, td.LAST_DAY)
+    return fm.affected_rows(t, td.token_prices(t), in_scope(), seg(), "day", window)
 
 
 OVERLAP_SQL = {

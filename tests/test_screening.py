@@ -285,3 +285,15 @@ def test_manifest_round_trip_and_damage(spark):
     assert first.manifest_sha256 == joined(leaves)
     tree = joined([joined([joined(leaves[0:2]), joined(leaves[2:4])]), joined([joined(leaves[4:])])])
     assert manifest.manifest_digest(chunks, fan_in=2).first().manifest_sha256 == tree
+
+
+def test_binary_keys_are_shown_as_hex(spark):
+    """Chain data has binary addresses and hashes; the test tables only integers."""
+    from tallyproof.plans import liquidations as lq
+
+    rows = spark.createDataFrame(
+        [(bytearray(b"\xab\x01"), 3, "2024-01-01", "T", 5.0, True, 4.0), (bytearray(b"\xab\x02"), 1, "2024-01-02", "U", 9.0, True, 2.0)],
+        "tx_hash binary, evt_index int, block_time string, debt_symbol string, debt_amount_usd double, left_found boolean, left_amount_usd double",
+    )
+    top = lq.largest_difference(rows, "left", "debt").first()
+    assert top.max_debt_diff_tx_hash == "0xAB02" and top.max_debt_diff_abs_diff == 7.0
