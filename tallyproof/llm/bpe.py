@@ -11,6 +11,10 @@ whole text. Longer runs without white space are cut by a rolling hash over their
 joins are repaired: the last pre-tokens on the left and the first on the right are encoded anew
 together, over a window that grows until its pre-token boundary agrees with that of the right piece.
 
+ASCII text is normalized by lower case alone, and a run of letters is one pre-token. Where the
+vocabulary's settings are the known ones, such pieces go to copies of the tokenizer without the steps
+that would not change them, and closing punctuation is cut off, as a pre-token ends there.
+
 Memory is kept per process and not shared between executors: sharing chunks across the cluster
 would move every text twice, which costs more than encoding it. Losing an executor loses nothing.
 
@@ -21,8 +25,10 @@ Input columns named ``ids`` or ``decoded`` are replaced.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +43,15 @@ CHUNK_WORDS = 32
 # Runs without white space beyond so many characters are cut and repaired; mean length of a cut.
 LONG_RUN, RUN_CUT = 2048, 512
 # Entries of the young half of each memory.
-WORDS_KEPT, CHUNKS_KEPT = 250_000, 30_000
+WORDS_KEPT, PIECES_KEPT, CHUNKS_KEPT = 150_000, 200_000, 30_000
+# The settings for which the short cuts of ASCII text hold.
+NORMALIZERS = [
+    {"type": "NFC"},
+    {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+    {"type": "Lowercase"},
+]
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+CLOSING = ".,;:!?"
 
 
 class Memory(dict):
@@ -47,18 +61,22 @@ class Memory(dict):
         super().__init__()
         self.most, self.old = most, {}
 
-    def __missing__(self, key):
-        value = self.old[key]
-        self[key] = value
-        return value
-
-    def __contains__(self, key):
-        return dict.__contains__(self, key) or key in self.old
-
-    def trim(self) -> None:
+    def missing(self, keys: set) -> set:
+        """The keys to be learned; the others are in the young generation afterwards."""
         if len(self) >= self.most:
             self.old = dict(self)
             self.clear()
+        unknown = keys.difference(self)
+        back = unknown.intersection(self.old)
+        self.update([(k, self.old[k]) for k in back])
+        return unknown - back
+
+
+def whole(parts: list[tuple[bytes, bytes]]) -> tuple[bytes, bytes]:
+    """Ids and decoded text of parts in a row; decoded tokens are joined by single spaces."""
+    if len(parts) == 1:
+        return parts[0]
+    return b"".join([p[0] for p in parts]), b" ".join([p[1] for p in parts if p[0]])
 
 
 class Encoder:
@@ -75,7 +93,14 @@ class Encoder:
         added = self.lib.get_added_tokens_decoder()
         self.special = set(added)
         self.reach = max([4, *(len(t.content) for t in added.values())])
-        self.words, self.chunks = Memory(WORDS_KEPT), Memory(CHUNKS_KEPT)
+        self.words, self.pieces, self.chunks = Memory(WORDS_KEPT), Memory(PIECES_KEPT), Memory(CHUNKS_KEPT)
+        parts = json.loads(text)
+        steps = (parts.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
+        self.known = (parts.get("normalizer") or {}).get("normalizers") == NORMALIZERS and steps[0].get("pattern") == {"Regex": SPLIT}
+        parts["normalizer"] = None
+        self.lower = Tokenizer.from_str(json.dumps(parts)) if self.known else self.lib
+        parts["pre_tokenizer"] = None
+        self.letters = Tokenizer.from_str(json.dumps(parts)) if self.known else self.lib
 
     @classmethod
     def of(cls, text: str) -> Encoder:
@@ -133,23 +158,48 @@ class Encoder:
                     return kept + window[: k + 1] + right[i + 1 :]
         return kept + self.units(text[start:end], start)
 
+    def split(self, word: str) -> tuple[str, ...]:
+        """Pieces of a word that may be encoded apart; those of ASCII words in lower case."""
+        if not self.known or not word.isascii() or "<|" in word:
+            return (word,)
+        word = word.lower()
+        body = word.rstrip(CLOSING)
+        if not body or not body[-1].isalpha():
+            body = word
+        return (body,) if len(body) == len(word) else (body, word[len(body) :])
+
+    def learn_pieces(self, pieces: set[str]) -> None:
+        """Encode the pieces that are not in memory, each by the shortest way that is exact."""
+        ways: dict[str, list[str]] = {"long": [], "letters": [], "lower": [], "lib": []}
+        for piece in self.pieces.missing(pieces):
+            if len(piece) > LONG_RUN:
+                ways["long"].append(piece)
+            elif not self.known or not piece.isascii() or "<|" in piece:
+                ways["lib"].append(piece)
+            else:
+                ways["letters" if piece.isalpha() else "lower"].append(piece)
+        for way, found in ways.items():
+            if way == "long":
+                ids = [self.run(p) for p in found]
+            else:
+                ids = [x.ids for x in getattr(self, way).encode_batch_fast(found, add_special_tokens=False)]
+            texts = self.lib.decode_batch(ids, skip_special_tokens=False)
+            edges = np.cumsum([0, *map(len, ids)]) * 4
+            raw = np.fromiter(chain.from_iterable(ids), "<u4", int(edges[-1]) // 4).tobytes()
+            for piece, a, b, text in zip(found, edges[:-1].tolist(), edges[1:].tolist(), texts, strict=True):
+                self.pieces[piece] = (raw[a:b], text.encode())
+
     def learn(self, chunks: set[bytes]) -> None:
-        """Encode every chunk that is not in memory."""
-        new = [c for c in chunks if c not in self.chunks]
+        """Encode the chunks that are not in memory."""
+        new = list(self.chunks.missing(chunks))
         split = [c.split() for c in new]
-        unknown = sorted({w for s in split for w in s if w not in self.words})
-        short = [w.decode() for w in unknown]
-        long = [i for i, w in enumerate(short) if len(w) > LONG_RUN]
-        ids = [x.ids for x in self.lib.encode_batch_fast(["" if len(w) > LONG_RUN else w for w in short], add_special_tokens=False)]
-        for i in long:
-            ids[i] = self.run(short[i])
-        texts = self.lib.decode_batch(ids, skip_special_tokens=False)
-        for word, i, text in zip(unknown, ids, texts, strict=True):
-            self.words[word] = (np.array(i, "<u4").tobytes(), text.encode())
-        known = self.words
+        words, pieces = self.words, self.pieces
+        unknown = {w: self.split(w.decode()) for w in words.missing(set(chain.from_iterable(split)))}
+        self.learn_pieces(set(chain.from_iterable(unknown.values())))
+        for word, parts in unknown.items():
+            words[word] = whole([pieces[p] for p in parts])
         for chunk, parts in zip(new, split, strict=True):
-            found = [known[w] for w in parts]
-            self.chunks[chunk] = (b"".join([f[0] for f in found]), b" ".join([f[1] for f in found if f[0]]))
+            self.chunks[chunk] = whole(list(map(words.__getitem__, parts)))
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[list[bytes], list[bytes]]:
         """Ids as little-endian 32-bit integers and decoded text of each row of a buffer."""
@@ -164,14 +214,11 @@ class Encoder:
         last = np.append(at[1:], n)[: len(at)] - 1
         raw = data.tobytes()
         chunks = [raw[a:b] for a, b in zip(w.start[at].tolist(), w.end[last].tolist(), strict=True)]
-        self.words.trim()
-        self.chunks.trim()
         self.learn(set(chunks))
         found = [self.chunks[c] for c in chunks]
         edges = np.searchsorted(w.row[at], np.arange(len(offsets)))
-        parts = [found[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
-        # tokens are joined by single spaces in the decoded text
-        return [b"".join([p[0] for p in x]) for x in parts], [b" ".join([p[1] for p in x if p[0]]) for x in parts]
+        texts = [whole(found[a:b]) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
+        return [t[0] for t in texts], [t[1] for t in texts]
 
 
 def encoded(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
