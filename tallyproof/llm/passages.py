@@ -1,8 +1,8 @@
 """Substring dedup by paragraph MinHash banding.
 
 Paragraphs are cut by content, not by lines, as a copied passage may start anywhere in a line. A
-paragraph begins where the hash of two neighbouring words is the least of 24 around it, and ends at
-the first such place among 8, after 16 to 24 words. Any passage of 50 words therefore holds a whole
+paragraph is the 16 words from a place where the hash of two neighbouring words is the least of 32
+around it. Any passage of 50 words has such a place among its first 33 and therefore holds a whole
 paragraph, cut alike in every document, whatever stands around it.
 
 Five-word shingles of each paragraph are MinHashed into 4 bands of 2 rows: similarity 0.8 collides
@@ -30,7 +30,7 @@ from tallyproof.llm.linking import linked, shared_buckets
 from tallyproof.llm.ngram_join import deltas
 from tallyproof.llm.words import BASE, code_points, mixed, powers, windows, words
 
-START_WINDOW, END_WINDOW, SHORTEST, LONGEST = 24, 8, 16, 24
+WINDOW, LENGTH = 32, 16
 SHINGLE, BANDS, BAND_ROWS = 5, 4, 2
 NUM, DEN = 80, 100
 # Signatures a task remembers so as not to index a copy twice; forgetting them costs rows only.
@@ -76,13 +76,10 @@ def paragraphs(hashes: np.ndarray, row: np.ndarray) -> Paragraphs:
     inside = np.flatnonzero(pair_row == row[1:])
     pairs, pair_row = pairs[inside], pair_row[inside]
     head = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
-    first = np.unique(np.concatenate([inside[places(pairs, pair_row, START_WINDOW)], head]))
-    stops = np.append(inside[places(pairs, pair_row, END_WINDOW)], n + LONGEST)
+    first = np.unique(np.concatenate([inside[places(pairs, pair_row, WINDOW)], head]))
     row_end = np.append(head[1:], n)[np.searchsorted(head, first, "right") - 1]
-    last = stops[np.searchsorted(stops, first + SHORTEST)]
-    last = np.minimum(np.minimum(last, first + LONGEST), row_end)
-    long = last - first >= SHORTEST
-    first, last = first[long], last[long]
+    first = first[first + LENGTH <= row_end]
+    last = first + LENGTH
     up, down = powers(1 << max(20, (n - 1).bit_length()))
     with np.errstate(over="ignore"):
         total = np.concatenate([[np.uint64(0)], np.cumsum(hashes * up[:n], dtype=np.uint64)])
