@@ -12,7 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyproof.session import fresh_path
+from tallyproof.session import fresh_path, session_conf
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -20,10 +20,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back: ends lineage, survives lost executors."""
+    """``df`` written once to the shared folder and read back: ends lineage, survives lost executors.
+
+    The shuffle files of the write go with it, as only the copy is read again.
+    """
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.parquet(path)
+    with session_conf(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
