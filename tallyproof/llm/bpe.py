@@ -43,7 +43,7 @@ CHUNK_WORDS = 32
 # Runs without white space beyond so many characters are cut and repaired; mean length of a cut.
 LONG_RUN, RUN_CUT = 2048, 512
 # Entries of the young half of each memory.
-WORDS_KEPT, PIECES_KEPT, CHUNKS_KEPT = 150_000, 200_000, 30_000
+WORDS_KEPT, PIECES_KEPT, CHUNKS_KEPT = 100_000, 150_000, 20_000
 # The settings for which the short cuts of ASCII text hold.
 NORMALIZERS = [
     {"type": "NFC"},

@@ -74,7 +74,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def blocks(offsets: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def blocks(offsets: np.ndarray, most: int = 1 << 19) -> Iterator[tuple[int, int]]:
     """Consecutive row ranges of at most ``most`` bytes each, or of a single longer row."""
     start, rows = 0, len(offsets) - 1
     while start < rows:
