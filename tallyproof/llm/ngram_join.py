@@ -290,10 +290,9 @@ def deltas(pairs: DataFrame, texts: DataFrame, n: int, num: int, den: int) -> Da
     return mapped(rows, work, "node long, pivot long, size long, good boolean, delta array<long>")
 
 
-def joined(
-    docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, doc_id: str = "doc_id", text: str = "text"
-) -> DataFrame:
-    """doc_id, n_shingles, sig and component_id of every row of ``docs``."""
+def grouped(docs: DataFrame, n: int, num: int, den: int, doc_id: str, text: str) -> DataFrame:
+    """doc_id, n_shingles, sig, root (one signature of the component) and component_id of every row;
+    root is null for a row without n-grams."""
     sets = stored(set_rows(docs, n, doc_id, text), "sets")
     buckets = stored(shared_buckets(key_rows(docs, n, num, den, text)), "buckets")
     texts = stored(texts_of(docs, sets, buckets.select("node").distinct(), n, doc_id, text), "texts")
@@ -302,9 +301,16 @@ def joined(
     placed = first.join(groups, first.sig == groups.node, "left")
     placed = placed.select("sig", F.coalesce("root", "sig").alias("root"), "first")
     smallest = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = placed.join(smallest, "root").select("sig", "component_id")
+    named = placed.join(smallest, "root").select("sig", "root", "component_id")
     component = F.when(F.col("sig").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return sets.join(named, "sig", "left").select("doc_id", "n_shingles", "sig", component.alias("component_id"))
+    return sets.join(named, "sig", "left").select("doc_id", "n_shingles", "sig", "root", component.alias("component_id"))
+
+
+def joined(
+    docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """doc_id, n_shingles, sig and component_id of every row of ``docs``."""
+    return grouped(docs, n, num, den, doc_id, text).drop("root")
 
 
 def op3_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
@@ -315,10 +321,11 @@ def op3_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
 def one_of_each(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Pipeline stage: one document of each component stays, the one of the smallest id.
 
-    Rows with equal ids and equal sets are one document. Rows without n-grams stay as they are.
+    Rows with equal ids and equal sets are one document; equal or missing ids alone make none. Rows
+    without n-grams stay as they are.
     """
-    kept = joined(docs).where("sig IS NOT NULL").groupBy("component_id")
-    kept = kept.agg(F.min(F.struct("doc_id", "sig")).alias("kept")).select("kept.*")
+    kept = grouped(docs, 4, 85, 100, "doc_id", "text").where("sig IS NOT NULL").groupBy("root")
+    kept = kept.agg(F.min(F.struct(F.isnull("doc_id").alias("unnamed"), "doc_id", "sig")).alias("kept")).select("kept.doc_id", "kept.sig")
     rows = with_sets(docs, 4, "text")
     same = rows.sig.eqNullSafe(kept.sig) & rows.doc_id.eqNullSafe(kept.doc_id)
     stay = rows.where("sig IS NOT NULL").join(kept, same, "left_semi").dropDuplicates(["doc_id", "sig"])
