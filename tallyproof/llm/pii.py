@@ -5,10 +5,11 @@ bidirectional LSTM with CRF transitions (``tagger``), trained on spans that the
 bounded sample of the table and on rewritten forms of them, finds forms that the patterns miss:
 spelled-out or bracketed separators, phone numbers without a plus sign, grouped cards.
 
-Every text is covered by windows of 128 characters that overlap by half. All four kinds need a digit
-or an at sign, also in the rewritten forms, so a window without either is outside by definition and
-is not decoded. The decoded spans of all windows of a text are reconciled: a span cut by the border
-of a window is left to the neighbour that holds it whole; of overlapping spans the one with most
+Every text is covered by windows of 128 characters that overlap by half. All four kinds need a digit,
+an at sign or an at in brackets, also in the rewritten forms, and ``plausible`` asks for one inside
+the span; a window that holds none whole can therefore add nothing and is not decoded. The decoded
+spans of all windows of a text are reconciled: a span cut by the border of a window is left to the
+neighbour that holds it whole; of overlapping spans the one with most
 windows, then the longest, then the first stays; spans that touch a base span go. What remains must
 pass the same arithmetic as the base forms (Luhn, octets, number of digits).
 
@@ -38,6 +39,8 @@ WINDOW, STRIDE = 128, 64
 SAMPLE_DOCS, SAMPLE_SPANS = 400, 4
 SEQUENCES, LENGTH, STEPS, BATCH, RATE, SEED = 6000, 80, 500, 32, 0.02, 11
 
+# What every form of a span holds: a digit, an at sign, or an at in brackets (``plausible``).
+SIGN = re.compile(r"[0-9@]|[\[({<] ?at ?[\])}>]", re.I)
 AFTER_AT = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 # Matches start at the first digit of a run, as a match that fails there fails inside it too.
@@ -117,8 +120,8 @@ def rewritten(kind: int, chance: random.Random) -> str:
         local = word() + chance.choice(["", ".", "_", "-", "+"]) + chance.choice([word(), number(2)])
         host = [word() + chance.choice(["", number(1)]) for _ in range(chance.randint(1, 2))] + [chance.choice(["com", "net", "org", "de", "fr"])]
         at, dot = chance.choice([("@", "."), ("@", "."), (" [at] ", " [dot] "), ("[at]", "."), (" (at) ", "."), (" (at) ", " (dot) "), (" @ ", "."), ("@", "[.]")])
-        # spelled-out forms need a digit to be looked at
-        return (local if "@" in at else local + number(2)) + at + dot.join(host)
+        case = chance.choice([str, str, str, str.upper, str.title])
+        return local + case(at) + case(dot).join(host)
     if kind == 1:
         mark = chance.choice([".", ".", "[.]", "(.)", " . ", "[.]"])
         return mark.join(str(chance.randint(1, 255)) for _ in range(4))
@@ -237,19 +240,20 @@ def found_spans(texts: list[str], model: dict[str, np.ndarray]) -> list[tuple[li
     votes: list[dict[Span, int]] = [{} for _ in texts]
     windows, origin = [], []
     for n, text in enumerate(texts):
-        if not any(c in text for c in "@0123456789"):
+        signs = np.array([m.span() for m in SIGN.finditer(text)], np.int64).reshape(-1, 2)
+        if not len(signs):
             continue
         points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
         kinds = tagger.classes(points)
-        marked = np.concatenate([[0], np.cumsum((kinds == tagger.DIGIT) | (points == ord("@")))])
         starts = np.arange(0, max(1, len(points) - WINDOW + STRIDE), STRIDE)
         ends = np.minimum(starts + WINDOW, len(points))
-        for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
-            if marked[b] > marked[a]:
-                window = np.zeros(WINDOW, np.uint8)
-                window[: b - a] = kinds[a:b]
-                windows.append(window)
-                origin.append((n, a, b))
+        # the first sign from a window's start on must end in it
+        after = np.append(signs[:, 1], len(points) + 1)[np.searchsorted(signs[:, 0], starts)]
+        for a, b in zip(starts[after <= ends].tolist(), ends[after <= ends].tolist(), strict=True):
+            window = np.zeros(WINDOW, np.uint8)
+            window[: b - a] = kinds[a:b]
+            windows.append(window)
+            origin.append((n, a, b))
     for i in range(0, len(windows), 1024):
         tags = tagger.decoded(model, np.array(windows[i : i + 1024]))
         for row, (n, a, b) in zip(tags, origin[i : i + 1024], strict=True):

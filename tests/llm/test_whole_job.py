@@ -2,7 +2,17 @@
 
 from __future__ import annotations
 
-from tallyproof.llm import ngram_join
+import random
+
+import pytest
+
+from tallyproof.llm import ngram_join, pii
+from tallyproof.llm.common import table
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    return pii.fitted(table(spark, "/root/testdata/sf0.01", "documents"))
 
 
 def test_rows_without_an_id_or_with_one_id_are_documents_of_their_own(spark):
@@ -11,3 +21,19 @@ def test_rows_without_an_id_or_with_one_id_are_documents_of_their_own(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     stay = [tuple(r) for r in ngram_join.one_of_each(spark, docs, "").collect()]
     assert sorted(stay, key=str) == sorted([(None, text("a")), (None, text("b")), (7, text("c")), (7, text("d")), (9, text("e"))], key=str)
+
+
+def test_spelled_out_addresses_without_a_digit_are_found(model):
+    for body in ("john.doe [at] example [dot] com", "anna (at) mail (dot) org", "kim_lee [AT] server [DOT] net", "r.muster[at]firma.de"):
+        text = f"Thnt that oratin th {body} he of th. And so on the"
+        (span,) = pii.found_spans([text], model)[0][1]
+        assert span.kind == 0 and 14 <= span.start <= 20 and 20 + len(body) <= span.end <= 24 + len(body), body
+    chance, hits = random.Random(77), 0
+    word = lambda: "".join(chance.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(chance.randint(3, 9)))
+    for _ in range(100):
+        at, dot = chance.choice([(" [at] ", " [dot] "), (" (at) ", " (dot) "), ("[at]", "."), (" (at) ", ".")])
+        body = f"{word()}{chance.choice(['', '.' + word()])}{at}{word()}{dot}{chance.choice(['com', 'org', 'net'])}"
+        text = f"{'and more ' * 30}write to {body} he of th. And so on the"
+        spans = pii.found_spans([text], model)[0][1]
+        hits += any(s.start <= 279 and s.end >= 279 + len(body) for s in spans)
+    assert hits >= 75, hits
