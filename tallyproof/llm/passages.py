@@ -1,4 +1,9 @@
-"""Substring dedup by paragraph MinHash banding.
+"""Substring dedup by paragraph MinHash banding, and by pieces for exact runs of any place.
+
+Exact runs (``runs``): every text is cut into pieces at the places where the hash of two neighbouring
+words is the least of 14 around it; each runs to the next place, so every word is in one, but no piece
+is shorter than 16 words. Any run of 29 words that two documents share holds a whole piece, cut alike
+in both. Equal pieces are extended word by word to the ends of the run, against all documents at once.
 
 Paragraphs are cut by content, not by lines, as a copied passage may start anywhere in a line. A
 paragraph is the 16 words from a place where the hash of two neighbouring words is the least of 32
@@ -17,13 +22,14 @@ document. Occurrences in rows without an id are reported as removed; ``cleaned``
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tallyproof.llm.common import blocks, fields, mapped, stored, table, utf8
 from tallyproof.llm.linking import linked, shared_buckets
@@ -33,6 +39,9 @@ from tallyproof.llm.words import BASE, code_points, mixed, powers, windows, word
 WINDOW, LENGTH = 32, 16
 SHINGLE, BANDS, BAND_ROWS = 5, 4, 2
 NUM, DEN = 80, 100
+# Pieces are cut at the least of so many word pairs and have at least so many words. A common run of
+# 2 * PIECE_WINDOW + 1 words holds a whole piece, and reaches less than REACH words beyond its pieces.
+PIECE_WINDOW, PIECE_LENGTH, REACH = 14, 16, 16
 # Signatures a task remembers so as not to index a copy twice; forgetting them costs rows only.
 REMEMBERED = 500_000
 
@@ -66,6 +75,37 @@ def places(pairs: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
     return np.flatnonzero(chosen)
 
 
+def sums(hashes: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """Hash of the words first to last (exclusive), for arrays of ranges."""
+    n = len(hashes)
+    up, down = powers(1 << max(20, n.bit_length()))
+    with np.errstate(over="ignore"):
+        total = np.concatenate([[np.uint64(0)], np.cumsum(hashes * up[:n], dtype=np.uint64)])
+
+    def ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return mixed((total[last] - total[first]) * down[first] + (last - first).astype(np.uint64) * BASE)
+
+    return ranges
+
+
+def pieces(hashes: np.ndarray, row: np.ndarray) -> Paragraphs:
+    """Pieces of the rows of a buffer: each runs to the next place, or over it to its least length.
+    Every word is in one, but for the last words of a row when they are too few."""
+    n = len(hashes)
+    none = np.empty(0, np.int64)
+    if not n:
+        return Paragraphs(none, none, none, none)
+    inside = np.flatnonzero(row[:-1] == row[1:])
+    cut = inside[places(windows(hashes, 2)[inside], row[inside], PIECE_WINDOW)]
+    head = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+    first = np.unique(np.concatenate([cut, head]))
+    row_end = np.append(head[1:], n)[np.searchsorted(head, first, "right") - 1]
+    last = np.maximum(np.append(first[1:], n), first + PIECE_LENGTH)
+    first, last = first[last <= row_end], last[last <= row_end]
+    return Paragraphs(row[first], first, last, sums(hashes)(first, last).view(np.int64))
+
+
 def paragraphs(hashes: np.ndarray, row: np.ndarray) -> Paragraphs:
     """Paragraphs of the rows of a buffer, given its words."""
     n = len(hashes)
@@ -181,8 +221,124 @@ def texts_of(docs: DataFrame, found: DataFrame, nodes: DataFrame, doc_id: str, t
     return mapped(rows, work, "node long, text string").dropDuplicates(["node"])
 
 
+def piece_rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Every piece: sig, row_id (of the id and text), doc_id, first and last (words), size (words of
+    the row), start and end (code points)."""
+    chosen = with_row_id(docs, doc_id, text)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = utf8(batch.column(2))
+            for i, j in blocks(offsets):
+                part, edges = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
+                w = words(part, edges, True)
+                found = pieces(w.hash, w.row)
+                points = code_points(part)
+                zero = points[edges[found.row]]
+                base = np.searchsorted(w.row, np.arange(j - i + 1))
+                at = pa.array(found.row + i)
+                columns = [
+                    pa.array(found.sig), batch.column(0).take(at), batch.column(1).take(at),
+                    *(pa.array((x - base[found.row]).astype(np.int32)) for x in (found.first, found.last, base[found.row + 1])),
+                    pa.array((points[w.start[found.first]] - zero).astype(np.int32)),
+                    pa.array((points[w.end[found.last - 1]] - zero).astype(np.int32)),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["sig", "row_id", "doc_id", "first", "last", "size", "start", "end"])
+
+    kind = chosen.schema["doc_id"].dataType.simpleString()
+    return mapped(chosen, work, f"sig long, row_id long, doc_id {kind}, first int, last int, size int, start int, end int")
+
+
+def with_row_id(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    ident, body = F.col(f"`{doc_id}`"), F.col(f"`{text}`")
+    return docs.select(F.xxhash64(ident.isNull(), ident, body).alias("row_id"), ident.alias("doc_id"), body.alias("text"))
+
+
+def ends(docs: DataFrame, asked: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """For every asked piece and every number of words up to REACH before (side 0) or behind it
+    (side 1): key (of the piece and these words), row_id, doc_id, sig, first, side, n_words, start
+    and end of these words."""
+    chosen = with_row_id(docs, doc_id, text)
+    asks = asked.groupBy("row_id").agg(F.collect_set(F.struct("first", "last", "before", "behind")).alias("asks"))
+    rows = chosen.join(asks, "row_id").select("row_id", "doc_id", "text", "asks")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = utf8(batch.column(2))
+            for i, j in blocks(offsets):
+                part, edges = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
+                w = words(part, edges, True)
+                ranges, points = sums(w.hash), code_points(part)
+                base = np.searchsorted(w.row, np.arange(j - i + 1))
+                lists = batch.column(3).slice(i, j - i)
+                row = np.repeat(np.arange(j - i), lists.value_lengths().to_numpy(zero_copy_only=False))
+                first, last, before, behind = (x.to_numpy(zero_copy_only=False) for x in lists.flatten().flatten())
+                first, last = first + base[row], last + base[row]
+                sig = ranges(first, last)
+                for side, wanted, most in ((0, before, first - base[row]), (1, behind, base[row + 1] - last)):
+                    count = np.where(wanted, np.minimum(REACH, most), 0)
+                    of = np.repeat(np.arange(len(row)), count)
+                    n = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count) + 1
+                    a, b = (first[of] - n, first[of]) if side == 0 else (last[of], last[of] + n)
+                    with np.errstate(over="ignore"):
+                        salt = mixed(sig[of] + np.uint64(side + 1) * BASE)
+                        key = mixed(ranges(np.minimum(a, first[of]), np.maximum(b, last[of])) ^ salt)
+                    zero, at = points[edges[row[of]]], pa.array(row[of] + i)
+                    columns = [
+                        pa.array(key.view(np.int64)), batch.column(0).take(at), batch.column(1).take(at),
+                        pa.array(sig[of].view(np.int64)), pa.array((first[of] - base[row[of]]).astype(np.int32)),
+                        pa.array(np.full(len(of), side, np.int32)), pa.array(n.astype(np.int64)),
+                        pa.array(points[w.start[a]] - zero), pa.array(points[w.end[b - 1]] - zero),
+                    ]
+                    names = ["key", "row_id", "doc_id", "sig", "first", "side", "n_words", "start", "end"]
+                    yield pa.RecordBatch.from_arrays(columns, names)
+
+    kind = chosen.schema["doc_id"].dataType.simpleString()
+    schema = f"key long, row_id long, doc_id {kind}, sig long, first int, side int, n_words long, start long, end long"
+    return mapped(rows, work, schema)
+
+
+def in_several(rows: DataFrame, key: str) -> DataFrame:
+    """occurrences and component_doc (smallest id) of the values of ``key`` that several documents have."""
+    whole = rows.groupBy(key).agg(
+        F.count(F.lit(1)).alias("occurrences"), F.min("doc_id").alias("component_doc"), F.max("doc_id").alias("high")
+    )
+    return whole.where("component_doc <> high").drop("high")
+
+
+def runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Common runs of several documents: their whole pieces, and the words up to the ends of the
+    run. Rows of equal id and text share the rows of these ends."""
+    found = stored(piece_rows(docs, doc_id, text), "pieces")
+    removed = ~F.col("doc_id").eqNullSafe(F.col("component_doc"))
+    marked = stored(found.join(stored(in_several(found, "sig"), "shared"), "sig"), "marked")
+    around = Window.partitionBy("row_id").orderBy("first")
+    spots = marked.withColumn("removed", removed).select("row_id", "sig", "first", "last", "size", "removed").distinct()
+    spots = stored(spots, "spots")
+    # an end is asked of every occurrence of a piece if some later one has words there that stay
+    later = spots.where("removed").withColumn("before", F.col("first") > F.coalesce(F.lag("last").over(around), F.lit(0)))
+    later = later.withColumn("behind", F.col("last") < F.coalesce(F.lead("first").over(around), "size"))
+    wanted = later.groupBy("sig").agg(F.max("before").alias("before"), F.max("behind").alias("behind"))
+    wanted = wanted.where("before OR behind")
+    asked = spots.select("row_id", "sig", "first", "last").join(wanted, "sig")
+    reach = stored(ends(docs, asked, doc_id, text), "ends")
+    reach = reach.join(in_several(reach, "key"), "key").withColumn("removed", removed)
+    end = F.struct("n_words", "start", "end", "component_doc", "occurrences", "removed")
+    # the longest end shared with an earlier document, and a longer one shared with later ones only
+    reach = reach.groupBy("row_id", "doc_id", "sig", "first", "side").agg(
+        F.max(F.when(F.col("removed"), end)).alias("gone"), F.max(F.when(~F.col("removed"), end)).alias("kept")
+    )
+    longer = F.when(F.col("gone").isNull() | (F.col("kept.n_words") > F.col("gone.n_words")), F.col("kept"))
+    reach = reach.select("doc_id", "sig", F.explode(F.array_compact(F.array("gone", longer))).alias("end"))
+    columns = ["doc_id", "start", "end", "n_words", "component_id", "component_doc", "occurrences", "removed"]
+    reach = reach.select("doc_id", F.col("sig").alias("component_id"), "end.*").select(columns)
+    marked = marked.withColumn("n_words", (F.col("last") - F.col("first")).cast("long")).withColumnRenamed("sig", "component_id")
+    marked = marked.withColumn("start", F.col("start").cast("long")).withColumn("end", F.col("end").cast("long"))
+    return marked.withColumn("removed", removed).select(columns).unionByName(reach)
+
+
 def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", num: int = NUM, den: int = DEN) -> DataFrame:
-    """Every occurrence of a paragraph that occurs in several documents: doc_id, start, end, n_words,
+    """Every occurrence of a paragraph or common run of several documents: doc_id, start, end, n_words,
     component_id, component_doc (smallest id), occurrences of the component, and removed."""
     found = stored(occurrences(docs, doc_id, text), "paragraphs")
     buckets = stored(shared_buckets(key_rows(docs, text)), "bands")
@@ -198,10 +354,11 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", num: in
         F.sum("n").alias("occurrences"), F.min("low").alias("component_doc"), F.max("high").alias("high")
     )
     named = placed.select("sig", "root").join(whole.where("component_doc <> high"), "root")
-    return found.join(named, "sig").select(
+    similar = found.join(named, "sig").select(
         "doc_id", "start", "end", "n_words", F.col("root").alias("component_id"), "component_doc", "occurrences",
         (~F.col("doc_id").eqNullSafe(F.col("component_doc"))).alias("removed"),
     )
+    return runs(docs, doc_id, text).unionByName(similar)
 
 
 def cleaned(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -6,7 +6,7 @@ import random
 
 import pytest
 
-from tallyproof.llm import ngram_join, pii
+from tallyproof.llm import ngram_join, passages, pii
 from tallyproof.llm.common import table
 
 
@@ -37,3 +37,27 @@ def test_spelled_out_addresses_without_a_digit_are_found(model):
         spans = pii.found_spans([text], model)[0][1]
         hits += any(s.start <= 279 and s.end >= 279 + len(body) for s in spans)
     assert hits >= 75, hits
+
+
+def words_of(chance, n):
+    return [f"w{chance.randint(0, 10**9)}" for _ in range(n)]
+
+
+def test_a_copied_passage_is_removed_whole(spark):
+    chance = random.Random(5)
+    rows, rest = [], {}
+    for k in range(12):
+        shared = words_of(chance, 51)
+        for i in range(3):
+            lead, tail = (words_of(chance, chance.choice([0, 3, 20, 70])) for _ in "ab")
+            rows.append((10 * k + i, " ".join([*lead, *shared, *tail])))
+            rest[10 * k + i] = [*lead, *(shared if i == 0 else []), *tail]
+    # a short copy in the first document does not hide the longer one of the others
+    long = words_of(chance, 90)
+    rest |= {900: [*words_of(chance, 30), *long[20:60]], 901: [*words_of(chance, 30), *long], 902: words_of(chance, 25)}
+    rows += [(900, " ".join(rest[900])), (901, " ".join(rest[901])), (902, " ".join([*rest[902], *long]))]
+    rest[901] = [*rest[901][:50], *rest[901][90:]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = passages.runs(docs)
+    clean = {r["doc_id"]: r["text"].split() for r in passages.cleaned(docs, found).collect()}
+    assert clean == rest
