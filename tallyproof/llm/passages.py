@@ -5,15 +5,16 @@ words is the least of 14 around it; each runs to the next place, so every word i
 is shorter than 16 words. Any run of 29 words that two documents share holds a whole piece, cut alike
 in both. Equal pieces are extended word by word to the ends of the run, against all documents at once.
 
-Paragraphs are cut by content, not by lines, as a copied passage may start anywhere in a line. A
-paragraph is the 16 words from a place where the hash of two neighbouring words is the least of 32
-around it. Any passage of 50 words has such a place among its first 33 and therefore holds a whole
-paragraph, cut alike in every document, whatever stands around it.
+Similar paragraphs (``similar_paragraphs``) are cut by content, not by lines, at the places where the
+hash of two neighbouring words is the least within 48 before and behind it: paragraphs of 49 words and
+more, about 97 on average, and every text of fewer words as a whole. Five-word shingles of each are
+MinHashed into 4 bands of 2 rows: similarity 0.8 collides with probability 0.98, equality always.
+Colliding paragraphs are verified by their exact Jaccard similarity and linked into components; of each
+component that occurs in several documents the occurrences in the document of the smallest id stay and
+the others are removed, edited words included.
 
-Five-word shingles of each paragraph are MinHashed into 4 bands of 2 rows: similarity 0.8 collides
-with probability 0.98, equality always. Colliding paragraphs are verified by their exact Jaccard
-similarity and linked into components; of each component that occurs in several documents the
-occurrences in the document of the smallest id stay and the others are removals.
+A similarity of 0.8 leaves at most one edit in 45 words, so an edited passage that is no paragraph of
+its own still holds runs of 29 words, which are found as such; the edited words between them stay.
 
 Defined results: null and empty texts, and texts of fewer than 16 words, have no paragraphs. Letters
 A to Z are folded. Repeated rows are occurrences like any other; rows with equal ids count as one
@@ -36,7 +37,8 @@ from tallyproof.llm.linking import linked, shared_buckets
 from tallyproof.llm.ngram_join import deltas
 from tallyproof.llm.words import BASE, code_points, mixed, powers, windows, words
 
-WINDOW, LENGTH = 32, 16
+# Paragraphs are cut at the least word pair within so many on both sides; shorter texts have none.
+AROUND, LENGTH = 48, 16
 SHINGLE, BANDS, BAND_ROWS = 5, 4, 2
 NUM, DEN = 80, 100
 # Pieces are cut at the least of so many word pairs and have at least so many words. A common run of
@@ -107,24 +109,25 @@ def pieces(hashes: np.ndarray, row: np.ndarray) -> Paragraphs:
 
 
 def paragraphs(hashes: np.ndarray, row: np.ndarray) -> Paragraphs:
-    """Paragraphs of the rows of a buffer, given its words."""
+    """Paragraphs of the rows of a buffer, given its words: they cover every word of a row."""
     n = len(hashes)
     none = np.empty(0, np.int64)
     if not n:
         return Paragraphs(none, none, none, none)
-    pairs, pair_row = windows(hashes, 2), row[:-1]
-    inside = np.flatnonzero(pair_row == row[1:])
-    pairs, pair_row = pairs[inside], pair_row[inside]
+    inside = np.flatnonzero(row[:-1] == row[1:])
+    pairs, pair_row, size = windows(hashes, 2)[inside], row[inside], 2 * AROUND + 1
     head = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
-    first = np.unique(np.concatenate([inside[places(pairs, pair_row, WINDOW)], head]))
+    first = head
+    if len(pairs) >= size:
+        left = sliding(pairs, AROUND, np.minimum)[: len(pairs) - size + 1]
+        right = sliding(pairs, AROUND + 1, np.minimum)[AROUND:]
+        whole = pair_row[: len(pairs) - size + 1] == pair_row[size - 1 :]
+        at = np.flatnonzero(whole & (right == pairs[AROUND : AROUND + len(right)]) & (right < left)) + AROUND
+        first = np.unique(np.concatenate([inside[at], head]))
     row_end = np.append(head[1:], n)[np.searchsorted(head, first, "right") - 1]
-    first = first[first + LENGTH <= row_end]
-    last = first + LENGTH
-    up, down = powers(1 << max(20, (n - 1).bit_length()))
-    with np.errstate(over="ignore"):
-        total = np.concatenate([[np.uint64(0)], np.cumsum(hashes * up[:n], dtype=np.uint64)])
-        sig = mixed((total[last] - total[first]) * down[first] + (last - first).astype(np.uint64) * BASE)
-    return Paragraphs(row[first], first, last, sig.view(np.int64))
+    last = np.minimum(np.append(first[1:], n), row_end)
+    first, last = first[last - first >= LENGTH], last[last - first >= LENGTH]
+    return Paragraphs(row[first], first, last, sums(hashes)(first, last).view(np.int64))
 
 
 def bands(hashes: np.ndarray, found: Paragraphs) -> np.ndarray:
@@ -337,9 +340,8 @@ def runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     return marked.withColumn("removed", removed).select(columns).unionByName(reach)
 
 
-def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", num: int = NUM, den: int = DEN) -> DataFrame:
-    """Every occurrence of a paragraph or common run of several documents: doc_id, start, end, n_words,
-    component_id, component_doc (smallest id), occurrences of the component, and removed."""
+def similar_paragraphs(docs: DataFrame, doc_id: str, text: str, num: int, den: int) -> DataFrame:
+    """Every occurrence of a paragraph whose component occurs in several documents."""
     found = stored(occurrences(docs, doc_id, text), "paragraphs")
     buckets = stored(shared_buckets(key_rows(docs, text)), "bands")
     texts = stored(texts_of(docs, found, buckets.select("node").distinct(), doc_id, text), "paragraph-texts")
@@ -354,11 +356,16 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", num: in
         F.sum("n").alias("occurrences"), F.min("low").alias("component_doc"), F.max("high").alias("high")
     )
     named = placed.select("sig", "root").join(whole.where("component_doc <> high"), "root")
-    similar = found.join(named, "sig").select(
+    return found.join(named, "sig").select(
         "doc_id", "start", "end", "n_words", F.col("root").alias("component_id"), "component_doc", "occurrences",
         (~F.col("doc_id").eqNullSafe(F.col("component_doc"))).alias("removed"),
     )
-    return runs(docs, doc_id, text).unionByName(similar)
+
+
+def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", num: int = NUM, den: int = DEN) -> DataFrame:
+    """Every occurrence of a paragraph or common run of several documents: doc_id, start, end, n_words,
+    component_id, component_doc (smallest id), occurrences of the component, and removed."""
+    return runs(docs, doc_id, text).unionByName(similar_paragraphs(docs, doc_id, text, num, den))
 
 
 def cleaned(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
