@@ -16,6 +16,7 @@ from tallyproof.llm.pii import op10_lstm_pii
 from tallyproof.llm.quality_model import op5_subword_quality
 from tallyproof.llm.quality_rules import op4_quality_rules
 from tallyproof.llm.sharding import op8_vector_packing
+from tallyproof.llm.token_counts import op12_token_counts
 from tallyproof.llm.url_filter import op7_url_filter
 from tallyproof.llm.vector_codes import op13_vector_codes
 from tallyproof.llm.vptree import op2_vptree
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bpe": op9_bpe,
     "op10_lstm_pii": op10_lstm_pii,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_token_counts": op12_token_counts,
     "op13_vector_codes": op13_vector_codes,
 }
 ORACLES: dict[str, str] = {
