@@ -54,6 +54,39 @@ def int_div(numerator: Column, denominator: Column) -> Column:
     return F.call_function("div", whole(numerator), F.nullif(whole(denominator), dec(0, RAW)))
 
 
+def quotient(
+    numerator: Column, denominator: Column, places: int, scale: int, shift: int = 0
+) -> Column:
+    """``numerator * 10**shift / denominator`` rounded once, half up, at ``places``; NULL over zero.
+
+    A division of decimals is cut to the places of its type before any rounding, so a second
+    rounding can meet a half that the exact value does not reach. Here the whole quotient, its
+    digits and what is left over come from integer division, and the remainder alone decides. Both
+    sides have at most ``scale`` places and ``36 - places - shift`` digits, the result at most
+    ``36 - places`` in all; more raise. It is the same under either decimal rule of the session.
+    """
+    digits = places + shift
+    if not 0 <= digits <= 17:
+        raise ValueError(f"{digits} digits of a quotient do not fit into a long")
+    kind = f"decimal({36 - digits},{scale})"
+    n, d = F.abs(numerator.cast(kind)), F.abs(F.nullif(denominator, F.lit(0)).cast(kind))
+    scaled = (n % d).cast(kind) * dec(10**digits, f"decimal({digits + 1},0)")
+    rest = scaled % d
+    # integer division of decimals gives a long, so the three parts are put together as decimals
+    whole_part = F.call_function("div", n, d).cast("decimal(19,0)")
+    tail = F.call_function("div", scaled, d) + F.when(rest >= d - rest, 1).otherwise(0)
+    value = whole_part * dec(10**digits, f"decimal({digits + 1},0)") + tail.cast("decimal(19,0)")
+    value = value.cast(f"decimal({36 - places},0)")
+    signed = F.when((numerator < 0) != (denominator < 0), -value).otherwise(value)
+    unit = dec(str(Decimal(1).scaleb(-places)), f"decimal({max(places, 1)},{places})")
+    return (signed * unit).cast(f"decimal(38,{places})")
+
+
+def percent(part: Column, total: Column, places: int, scale: int = 0) -> Column:
+    """``part`` in percent of ``total``, rounded once at ``places``."""
+    return quotient(part, total, places, scale, shift=2)
+
+
 def bps(part: Column, total: Column) -> Column:
     """``part / total`` in whole basis points, rounded down."""
     return int_div(whole(part) * F.lit(BPS), total)

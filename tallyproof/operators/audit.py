@@ -9,7 +9,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyproof.functions.decimals import USD, dec, exact_decimals, six_dp, usd
+from tallyproof.functions.decimals import USD, dec, exact_decimals, percent, six_dp, usd
 
 NOT_APPLICABLE = "not_applicable"
 
@@ -37,38 +37,37 @@ def with_gate(metrics: DataFrame, expectations: Mapping[str, str], flag: str) ->
     return metrics.withColumn(flag, reduce(and_, met))
 
 
-def long_metrics(row: DataFrame, names: Sequence[str], value: str) -> DataFrame:
-    """One-row metrics to ``(metric, value)`` rows at six places."""
-    cells = F.array(
-        *[F.struct(F.lit(n).alias("m"), F.col(n).cast("decimal(38,6)").alias("v")) for n in names]
-    )
-    return row.select(F.explode(cells).alias("c")).select(
-        F.col("c.m").alias("metric"), F.col("c.v").alias(value)
-    )
-
-
-def impact_table(before: DataFrame, after: DataFrame, units: Mapping[str, str]) -> DataFrame:
+def impact_table(
+    rollup: DataFrame, tag: str, before: str, after: str, units: Mapping[str, str]
+) -> DataFrame:
     """Before, after, absolute and relative change of each metric.
 
-    The relative change is text with four places, and ``not_applicable`` from a zero base.
+    ``rollup`` has one row per variant, told apart by ``tag``; it is read once. The relative change
+    is text with four places, and ``not_applicable`` from a zero base.
     """
-    names = list(units)
     pairs = F.create_map(*[F.lit(x) for kv in units.items() for x in kv])
-    unit = F.element_at(pairs, F.col("metric"))
-    rows = long_metrics(before, names, "before_value").join(
-        long_metrics(after, names, "after_value"), "metric"
+    cells = F.array(
+        *[F.struct(F.lit(n).alias("m"), F.col(n).cast("decimal(38,6)").alias("v")) for n in units]
+    )
+
+    def of(variant: str) -> Column:
+        return F.max(F.when(F.col(tag) == variant, F.col("c.v")))
+
+    rows = (
+        rollup.select(tag, F.explode(cells).alias("c"))
+        .groupBy(F.col("c.m").alias("metric"))
+        .agg(of(before).alias("before_value"), of(after).alias("after_value"))
     )
     change = (F.col("after_value") - F.col("before_value")).cast("decimal(38,6)")
-    percent = percent_text(change, F.col("before_value"))
+    relative = percent_text(change, F.col("before_value"))
     return rows.select(
-        "metric", unit.alias("unit"), "before_value", "after_value",
-        change.alias("absolute_change"), percent.alias("percentage_change"),
+        "metric", F.element_at(pairs, F.col("metric")).alias("unit"), "before_value", "after_value",
+        change.alias("absolute_change"), relative.alias("percentage_change"),
     )
 
 
 def percent_text(change: Column, base: Column) -> Column:
-    share = F.round(change.cast("decimal(28,6)") * 100 / F.nullif(base, dec(0, "decimal(38,6)")), 4)
-    text = F.concat(share.cast("decimal(28,4)").cast("string"), F.lit("%"))
+    text = F.concat(percent(change, base, 4, 6).cast("string"), F.lit("%"))
     return F.when(base == 0, NOT_APPLICABLE).otherwise(text)
 
 
@@ -103,12 +102,11 @@ def scan_reduction(paths: Mapping[str, tuple[DataFrame, DataFrame]]) -> DataFram
             F.coalesce(F.sum("f"), F.lit(0)).alias("full_rows"),
             F.coalesce(F.sum("r"), F.lit(0)).alias("reduced_rows"),
         )
-        saved = (F.col("full_rows") - F.col("reduced_rows")).cast("decimal(20,0)") * 100
-        share = saved / F.nullif(F.col("full_rows"), F.lit(0)).cast("decimal(20,0)")
+        saved = F.col("full_rows") - F.col("reduced_rows")
         parts.append(
             sums.select(
                 F.lit(name).alias("input"), "full_rows", "reduced_rows",
-                F.round(share, 4).cast("decimal(38,4)").alias("reduction_pct"),
+                percent(saved, F.col("full_rows"), 4).alias("reduction_pct"),
             )
         )
     return reduce(lambda a, b: a.unionByName(b), parts)
@@ -124,12 +122,8 @@ def external_metric_gap(
     """
     rows = own.select(*keys, metric).join(external.select(*keys, published), list(keys), "full")
     gap = (F.col(metric) - F.col(published)).cast("decimal(38,6)")
-    share = F.round(
-        gap.cast("decimal(28,6)") * 100 / F.nullif(F.col(published), dec(0, "decimal(38,6)")), 4
-    )
-    return rows.select(
-        *keys, metric, published, gap.alias("gap"), share.cast("decimal(38,4)").alias("gap_pct")
-    )
+    share = percent(gap, F.col(published), 4, 6)
+    return rows.select(*keys, metric, published, gap.alias("gap"), share.alias("gap_pct"))
 
 
 def accrual_vs_realised(

@@ -89,6 +89,14 @@ def running_total(
     return joined.drop("_rt_value", "_rt_here", "_rt_before", "_rt_total", _SEG)
 
 
+def magnitude(value: Column) -> Column:
+    """Segment of a non-negative integer by its leading eleven bits: narrow ranges where values are
+    small and many, and never more than about a thousand segments for each doubling."""
+    bits = F.length(F.bin(value))
+    top = F.call_function("shiftright", value, F.greatest(bits - 10, F.lit(0)))
+    return bits * 1024 + top
+
+
 def row_numbers(
     df: DataFrame,
     segment: Column,

@@ -11,8 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyproof.functions.decimals import bps, int_div, reaches
-from tallyproof.operators.ordered import first_n_per_key, running_total
+from tallyproof.functions.decimals import bps, int_div, percent, reaches
+from tallyproof.operators.ordered import first_n_per_key, magnitude, running_total
 from tallyproof.operators.reconcile import beside
 
 # Thresholds of the four families, in basis points unless named otherwise.
@@ -210,14 +210,12 @@ def class_partition(fused: DataFrame, actors: DataFrame) -> DataFrame:
     across = Window.partitionBy()
     total = F.sum("actors").over(across)
     known = F.sum(F.when(F.col("actor_class").isin(classes), F.col("actors"))).over(across)
-    counts = counts.withColumn("_known", known)
+    counts = counts.withColumn("_known", known).withColumn("_total", total)
     qualified = actors.select("address").distinct().agg(F.count("*").alias("_qualified"))
     return beside(counts, qualified).select(
         "actor_class",
         "actors",
-        F.round(F.col("actors") * F.lit(100).cast("decimal(5,0)") / total.cast("decimal(15,0)"), 6)
-        .cast("decimal(38,6)")
-        .alias("share_pct"),
+        percent(F.col("actors"), F.col("_total"), 6).alias("share_pct"),
         (F.col("_qualified") - F.coalesce("_known", F.lit(0))).alias("partition_residual"),
     )
 
@@ -267,10 +265,7 @@ def threshold_grid(fused: DataFrame, gates: dict[str, int]) -> DataFrame:
 
 def window_comparison(rows: DataFrame, tag: str, main: str, other: str) -> DataFrame:
     """Class counts of two windows and the difference of the inorganic shares."""
-    share = F.round(
-        F.col("likely_inorganic") * F.lit(100).cast("decimal(5,0)")
-        / F.col("actors").cast("decimal(15,0)"), 6,
-    ).cast("decimal(38,6)")
+    share = percent(F.col("likely_inorganic"), F.col("actors"), 6)
     per = (
         rows.groupBy(tag)
         .agg(
@@ -288,10 +283,9 @@ def window_comparison(rows: DataFrame, tag: str, main: str, other: str) -> DataF
         return F.max(F.when(F.col(tag) == name, F.col("share_pct"))).over(across)
 
     points = (of(main) - of(other)).cast("decimal(38,6)")
-    relative = points.cast("decimal(20,6)") * 100 / F.nullif(of(other), F.lit(0))
-    return per.withColumn("share_difference_points", points).withColumn(
-        "relative_difference_pct", F.round(relative, 4).cast("decimal(38,4)")
-    )
+    relative = percent(F.col("share_difference_points"), F.col("_base"), 4, 6)
+    rows = per.withColumn("share_difference_points", points).withColumn("_base", of(other))
+    return rows.withColumn("relative_difference_pct", relative).drop("_base")
 
 
 def stratified_cases(fused: DataFrame, per_stratum: int = 10) -> DataFrame:
@@ -336,9 +330,7 @@ def distribution_profile(df: DataFrame, value: str, by: Sequence[str]) -> DataFr
     """
     n = F.col("_n")
     counted = df.groupBy(*by, F.col(value).cast("bigint").alias("_v")).agg(F.count("*").alias("_n"))
-    bits = F.length(F.bin("_v"))
-    top = F.call_function("shiftright", F.col("_v"), F.greatest(bits - 10, F.lit(0)))
-    summed = running_total(counted, by, bits * 1024 + top, ["_v"], n, "_upto", "_total")
+    summed = running_total(counted, by, magnitude(F.col("_v")), ["_v"], n, "_upto", "_total")
     total = F.col("_total")
     first = int_div((F.col("_upto") - n) * 100, total).cast("int") + 1
     last = F.least(int_div(F.col("_upto") * 100, total).cast("int"), F.lit(99))

@@ -8,8 +8,8 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyproof.functions.decimals import RAW, bps, dec, whole
-from tallyproof.operators.ordered import Carry, carry, first_per_key
+from tallyproof.functions.decimals import RAW, bps, dec, percent, whole
+from tallyproof.operators.ordered import Carry, carry, first_per_key, magnitude, running_total
 
 # Columns that are constant within one transaction.
 TX = ["block_time", "block_date", "block_number", "tx_index"]
@@ -83,14 +83,13 @@ def tx_token_movement(netting: DataFrame) -> DataFrame:
 def movement_profile(movement: DataFrame) -> DataFrame:
     """Per token: groups, exact movement and gross, their ratio, and the three invariants."""
     moved, gross = F.sum("movement_raw"), F.sum("gross_raw")
-    ratio = whole(moved).cast("decimal(30,0)") * 100 / F.nullif(whole(gross), dec(0, RAW))
     return movement.groupBy("token").agg(
         F.count("*").alias("token_groups"),
         F.count_if(F.col("movement_raw") > 0).alias("positive_groups"),
         F.count_if(F.col("movement_raw") == 0).alias("zero_groups"),
         whole(moved).alias("movement_raw"),
         whole(gross).alias("gross_raw"),
-        F.round(ratio, 4).cast("decimal(38,4)").alias("movement_of_gross_pct"),
+        percent(moved, gross, 4).alias("movement_of_gross_pct"),
         F.count_if(F.col("net_residual_raw") != 0).alias("nonzero_residual_groups"),
         F.count_if(F.col("gross_raw") != F.col("outgoing_raw")).alias("unbalanced_groups"),
         F.count_if(F.col("movement_raw") > F.col("gross_raw")).alias("movement_above_gross_groups"),
@@ -205,28 +204,42 @@ def group_gaps(groups: DataFrame, segment: Column) -> DataFrame:
 def interval_features(gaps: DataFrame) -> DataFrame:
     """Median, variation, quartile spread and zero share of a pair's gaps.
 
-    Population deviation, linear percentiles, whole basis points rounded down. Quartiles of
-    integers are multiples of a quarter, so they are kept as exact integers of quarters. Equal
-    gaps are counted before the percentile, which then holds one entry per distinct gap.
+    Population deviation, linear percentiles, whole basis points rounded down. A quartile lies at a
+    rank that is a multiple of a quarter, so it is an exact integer of quarters of its two
+    neighbours. Equal gaps are counted; the counts are summed up in segments of the gaps' range, and
+    the rows that cover a wanted rank are picked by an aggregate, so no pair's gaps ever meet in one
+    place.
     """
     counted = gaps.groupBy(*PAIR, "gap").agg(F.count("*").alias("c"))
+    ranked = running_total(counted, PAIR, magnitude(F.col("gap")), ["gap"], F.col("c"), "upto", "total")
     gap, c = whole(F.col("gap")), whole(F.col("c"))
-    grid = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    stats = counted.groupBy(*PAIR).agg(
+
+    def at_rank(rank: Column) -> Column:
+        covers = (rank >= F.col("upto") - F.col("c")) & (rank < F.col("upto"))
+        return F.max(F.when(covers, F.col("gap")))
+
+    picked = []
+    for k in (1, 2, 3):
+        low = F.expr(f"(total - 1) * {k} div 4")
+        picked += [at_rank(low).alias(f"low{k}"), at_rank(F.least(low + 1, F.col("total") - 1)).alias(f"high{k}")]
+    stats = ranked.groupBy(*PAIR).agg(
         F.sum("c").alias("gap_count"),
         F.sum((gap * c).cast(RAW)).alias("s"),
         F.sum(((gap * gap).cast(RAW) * c).cast(RAW)).alias("q"),
         F.coalesce(F.sum(F.when(F.col("gap") == 0, F.col("c"))), F.lit(0)).alias("zeros"),
-        F.percentile("gap", grid, F.col("c")).alias("p"),
+        *picked,
     )
-    quarters = [(F.col("p")[i] * 4).cast("bigint") for i in range(3)]
+    quarters = []
+    for k in (1, 2, 3):
+        rest = (F.col("gap_count") - 1) * k % 4
+        quarters.append(F.col(f"low{k}") * (F.lit(4) - rest) + F.col(f"high{k}") * rest)
     n, s, q = whole(F.col("gap_count")), whole(F.col("s")), whole(F.col("q"))
     spread = whole(whole(n * q) - whole(s * s)).cast("double") / whole(s * s).cast("double")
     cv = F.floor(F.sqrt(spread) * 10000).cast("bigint")
     return stats.select(
         *PAIR,
         "gap_count",
-        quarters[1].alias("median_quarter_seconds"),
+        quarters[1].cast("bigint").alias("median_quarter_seconds"),
         F.when(s > 0, cv).alias("cv_bps"),
         bps(quarters[2] - quarters[0], quarters[1]).alias("iqr_median_bps"),
         bps(F.col("zeros"), n).alias("zero_gap_share_bps"),

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyproof.functions.decimals import exact_decimals, six_dp, usd
+from tallyproof.functions.decimals import USD, exact_decimals, six_dp, usd
 from tallyproof.functions.formulas import (
     MATERIAL,
     ORDINARY,
@@ -25,6 +25,7 @@ from tallyproof.sources.scans import prices_of_window
 from tallyproof.sources.tables import frozen_relation
 
 ORDER = ["block_number", "evt_index"]
+LEGACY, REPAIRED = "legacy", "repaired"
 
 # The published trade row, in order.
 TRADE_COLUMNS = [
@@ -135,6 +136,40 @@ def fee_model(*args: object, **kwargs: object) -> DataFrame:
     return metric_rollup(fee_rows(*args, **kwargs))
 
 
+def repair_impact(
+    trades: DataFrame,
+    pools: DataFrame,
+    settings: DataFrame,
+    prices: DataFrame,
+    repair_scope: Column,
+    segment: Column,
+    grain: str = "minute",
+) -> DataFrame:
+    """The rollup without and with repairs, one row per ``variant``.
+
+    Both bases ride on the row through one price join and one state lookup; only then is a row
+    split into its two variants, which meet in one aggregate.
+    """
+    based = inline_repairs(trades, prices, repair_scope, grain)
+    stated = interval_lookup(based, fee_points(pools, settings), ["pool"], ORDER, segment)
+
+    def variant(name: str, base: Column, repaired: Column, reason: Column) -> Column:
+        return F.struct(
+            F.lit(name).alias("variant"), base.cast(USD).alias("fee_base_usd"),
+            repaired.alias("is_repaired"), reason.alias("reason_code"),
+        )
+
+    both = F.array(
+        variant(LEGACY, usd(F.col("amount_usd")), F.lit(False), F.lit(None).cast("string")),
+        variant(REPAIRED, F.col("fee_base_usd"), F.col("is_repaired"), F.col("reason_code")),
+    )
+    state = ["token_sold", "token0", "token1", "feeprotocol0", "feeprotocol1", "fee_tier"]
+    rows = stated.select(*state, F.inline(both))
+    total = metric_rollup(fee_columns(rows), ["variant"])
+    shown = F.col("fees_usd") - F.col("supply_side_fees_usd") - F.col("revenue_usd")
+    return total.withColumn("display_rounding_residual_usd", six_dp(shown))
+
+
 def affected_rows(
     trades: DataFrame,
     prices: DataFrame,

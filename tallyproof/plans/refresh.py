@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, time, timedelta
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyproof.functions.decimals import exact_decimals, six_dp, usd
@@ -15,9 +15,8 @@ from tallyproof.plans.fee_model import TRADE_COLUMNS, fee_rows
 from tallyproof.sources.scans import prices_of_window
 from tallyproof.sources.tables import (
     PARTITION,
-    drop_partitions,
+    held_dates,
     newest_date,
-    read_table,
     replace_partitions,
     trade_sink,
 )
@@ -86,17 +85,12 @@ def backfill(
     window: tuple[date | None, date | None],
     drop_empty: bool = False,
 ) -> Bounds:
-    """Recompute bounded older dates; optionally drop dates that are now empty."""
+    """Recompute bounded older dates; optionally drop dates that are now empty, in the same step."""
     bounds = refresh_bounds(model_start, today, backfill=window)
-    held: set[date] = set()
-    if drop_empty:
-        stored = read_table(spark, path).where(bounds.on()).select(PARTITION).distinct()
-        held = {row[0] for row in stored.toLocalIterator()}
-    written = Observation()
-    dates = F.collect_set(PARTITION).alias("dates")
-    replace_partitions(build(bounds).select(*TRADE_COLUMNS).observe(written, dates), path)
-    if drop_empty:
-        drop_partitions(spark, path, sorted(held - set(written.get["dates"])))
+    held = [day for day in held_dates(spark, path) if bounds.start <= day < bounds.end]
+    rows = build(bounds).select(*TRADE_COLUMNS)
+    # dates that the batch brings are replaced, so only the others of the window are dropped
+    replace_partitions(rows, path, drop=held if drop_empty else ())
     return bounds
 
 

@@ -658,51 +658,49 @@ def fee_regression(spark, d):
 
 UNITS = {
     "trade_rows": "rows", "repaired_rows": "rows", "fees_usd": "USD",
-    "supply_side_fees_usd": "USD", "revenue_usd": "USD",
+    "supply_side_fees_usd": "USD", "revenue_usd": "USD", "display_rounding_residual_usd": "USD",
 }
 
-LEGACY_SQL = {
-    "legacy_rows": """
-SELECT fees_usd, CASE WHEN fee_divisor BETWEEN 4 AND 10 THEN
-   CAST((CAST(replace(CAST(fees_usd AS VARCHAR), '.', '') AS HUGEINT) * 2 + fee_divisor)
-     // (2 * fee_divisor) AS DECIMAL(38,0)) * CAST(0.000000000000000001 AS DECIMAL(18,18))
-   ELSE CAST(0 AS DECIMAL(38,18)) END AS revenue_usd
-FROM (SELECT CASE WHEN token_sold = token0 THEN feeprotocol0
-    WHEN token_sold = token1 THEN feeprotocol1 END AS fee_divisor,
-  CASE WHEN amount_usd IS NOT NULL THEN CAST(CAST(CAST(amount_usd AS DECIMAL(38,18))
-     * CAST(0.000001 AS DECIMAL(6,6)) AS DECIMAL(38,18)) * CAST(fee_tier AS DECIMAL(6,0))
-     AS DECIMAL(38,18)) ELSE CAST(0 AS DECIMAL(38,18)) END AS fees_usd FROM looked_up)""",
-    "before_row": """
-SELECT count(*) AS trade_rows, 0 AS repaired_rows, sum(fees_usd) AS fees_usd,
-  sum(fees_usd) - sum(revenue_usd) AS supply_side_fees_usd, sum(revenue_usd) AS revenue_usd
-FROM legacy_rows""",
-    "after_row": """
-SELECT count(*) AS trade_rows, count_if(is_repaired) AS repaired_rows, sum(fees_usd) AS fees_usd,
-  sum(fees_usd) - sum(revenue_usd) AS supply_side_fees_usd, sum(revenue_usd) AS revenue_usd
-FROM fee_rows""",
+# Millionths of every metric, all in whole numbers.
+IMPACT_SQL = {
+    "before_units": """
+SELECT count(*) AS n, 0 AS repaired, sum(f) AS fee, sum(CASE WHEN fee_divisor BETWEEN 4 AND 10
+  THEN (2 * f + fee_divisor) // (2 * fee_divisor) ELSE 0 END) AS cut
+FROM (SELECT fee_divisor,
+  coalesce(CAST(amount_usd * 1000000 AS HUGEINT) * 1000000 * fee_tier, 0) AS f FROM money)""",
+    "after_units": """
+SELECT count(*) AS n, count_if(is_repaired) AS repaired, sum(fee) AS fee, sum(cut) AS cut
+FROM shares""",
+    "millionths": """
+SELECT variant, 1000000 * n AS trade_rows, 1000000 * repaired AS repaired_rows,
+  (fee + 500000000000) // 1000000000000 AS fees_usd,
+  (fee - cut + 500000000000) // 1000000000000 AS supply_side_fees_usd,
+  (cut + 500000000000) // 1000000000000 AS revenue_usd
+FROM (SELECT 'b' AS variant, * FROM before_units UNION ALL SELECT 'a', * FROM after_units)""",
     "impact": " UNION ALL ".join(
         f"SELECT '{m}' AS metric, '{u}' AS unit, "
-        f"CAST(round(CAST(b.{m} AS DECIMAL(38,18)), 6) AS DECIMAL(38,6)) AS before_value, "
-        f"CAST(round(CAST(a.{m} AS DECIMAL(38,18)), 6) AS DECIMAL(38,6)) AS after_value "
-        "FROM before_row b, after_row a" for m, u in UNITS.items()),
+        f"max(CASE WHEN variant = 'b' THEN {v} END) AS b, max(CASE WHEN variant = 'a' THEN {v} END) AS a "
+        "FROM millionths" for m, u in UNITS.items()
+        for v in ["fees_usd - supply_side_fees_usd - revenue_usd" if m.startswith("display") else m]),
 }
 
 
 @query("impact_table", """
-SELECT metric, unit, before_value, after_value,
-  CAST(after_value - before_value AS DECIMAL(38,6)) AS absolute_change,
-  CASE WHEN before_value = 0 THEN 'not_applicable' ELSE
-   CAST(CAST(sign(after_value - before_value) AS INTEGER) *
-    CAST((2 * CAST(abs(after_value - before_value) * 1000000 AS HUGEINT) * 1000000
-      + CAST(before_value * 1000000 AS HUGEINT)) // (2 * CAST(before_value * 1000000 AS HUGEINT))
-     AS DECIMAL(28,0)) * CAST(0.0001 AS DECIMAL(5,4)) AS DECIMAL(28,4))::VARCHAR || '%' END
-   AS percentage_change FROM impact""", LEGACY_SQL)
+SELECT metric, unit,
+  CAST(CAST(b AS DECIMAL(28,0)) * CAST(0.000001 AS DECIMAL(6,6)) AS DECIMAL(38,6)) AS before_value,
+  CAST(CAST(a AS DECIMAL(28,0)) * CAST(0.000001 AS DECIMAL(6,6)) AS DECIMAL(38,6)) AS after_value,
+  CAST(CAST(a - b AS DECIMAL(28,0)) * CAST(0.000001 AS DECIMAL(6,6)) AS DECIMAL(38,6))
+    AS absolute_change,
+  CASE WHEN b = 0 THEN 'not_applicable' ELSE CAST(CAST(sign(a - b) * sign(b) AS INTEGER)
+    * CAST((2 * abs(a - b) * 1000000 + abs(b)) // (2 * abs(b)) AS DECIMAL(28,0))
+    * CAST(0.0001 AS DECIMAL(5,4)) AS DECIMAL(28,4))::VARCHAR || '%' END AS percentage_change
+FROM impact""", IMPACT_SQL)
 def impact_table(spark, d):
     t = stored_trades(spark, d)
-    args = (td.pools(spark, d), td.settings(spark, d), td.token_prices(t))
-    before = fm.fee_model(t, *args, F.lit(False), seg(), "day")
-    after = fm.fee_model(t, *args, in_scope(), seg(), "day")
-    return audit.impact_table(before, after, UNITS)
+    rollup = fm.repair_impact(
+        t, td.pools(spark, d), td.settings(spark, d), td.token_prices(t), in_scope(), seg(), "day"
+    )
+    return audit.impact_table(rollup, "variant", fm.LEGACY, fm.REPAIRED, UNITS)
 
 
 @query("display_residual", """

@@ -192,3 +192,29 @@ def test_a_cluster_without_a_shared_folder_is_refused():
         context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
         with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
             shared_folder(SimpleNamespace(conf=nowhere, sparkContext=context))
+
+
+def test_quartiles_of_a_hot_pair_never_meet_in_one_place(spark):
+    from tallyproof.operators.transfers import interval_features
+
+    # one pair holds 200,000 distinct gaps, the others a few with ties
+    gaps = spark.range(200_000).select(
+        F.lit("hot").alias("address"), F.lit("t").alias("token"), (F.col("id") * 3 + 1).alias("gap")
+    )
+    few = {"a": [5], "b": [0, 7], "c": [0, 0, 4], "d": [9, 1, 4, 4], "e": [2, 2, 2, 8, 100, 0]}
+    rows = [(k, "t", g) for k, v in few.items() for g in v]
+    gaps = gaps.unionByName(spark.createDataFrame(rows, "address string, token string, gap long"))
+    features = interval_features(gaps)
+    assert "percentile" not in plan(features).lower()
+    got = {r["address"]: (r.median_quarter_seconds, r.iqr_median_bps, r.gap_count) for r in features.collect()}
+    values = {**few, "hot": [3 * i + 1 for i in range(200_000)]}
+    for address, own in values.items():
+        own = sorted(own)
+
+        def quarters(k, own=own):
+            low, rest = divmod((len(own) - 1) * k, 4)
+            return own[low] * (4 - rest) + own[min(low + 1, len(own) - 1)] * rest
+
+        middle = quarters(2)
+        spread = (quarters(3) - quarters(1)) * 10_000 // middle if middle else None
+        assert got[address] == (middle, spread, len(own))

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import tempfile
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallyproof.plans import refresh
-from tallyproof.sources import tables
+from tallyproof.sources import releases, tables
 
 START, TODAY = date(2024, 1, 1), date(2024, 2, 1)
 
@@ -101,3 +102,77 @@ def test_a_hot_date_is_cut_into_several_files(spark):
     files = tables.read_table(spark, path).select(F.input_file_name()).distinct().count()
     assert files > 1
     assert tables.read_table(spark, path).count() == 200_000
+
+
+def marks(spark, path) -> dict:
+    return {r.mark: r.n for r in tables.read_table(spark, path).groupBy("mark").agg(F.count("*").alias("n")).collect()}
+
+
+def test_a_run_that_dies_between_two_dates_changes_nothing(spark, monkeypatch):
+    path = target()
+    tables.trade_sink(days(spark, 1, 6), path, ["block_date", "evt_index", "mark"])
+    # one date of a run is stored, the run never gets further
+    half = f"{path}/data/release=dead"
+    days(spark, 5, 5, "half").write.partitionBy("block_date").parquet(half)
+    assert marks(spark, path) == {"v1": 12}
+    # all dates are stored, the list is not renamed
+    def killed(*args):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(releases, "publish", killed)
+    with pytest.raises(KeyboardInterrupt):
+        tables.replace_partitions(days(spark, 5, 7, "v2"), path)
+    assert marks(spark, path) == {"v1": 12}
+    monkeypatch.undo()
+    assert tables.replace_partitions(days(spark, 5, 7, "v2"), path) == [date(2024, 1, d) for d in (5, 6, 7)]
+    assert marks(spark, path) == {"v1": 8, "v2": 6}
+
+
+def test_of_two_runs_on_one_state_the_second_fails(spark):
+    path = target()
+    tables.trade_sink(days(spark, 1, 3), path, ["block_date", "evt_index", "mark"])
+    base = releases.release(spark, path)
+    releases.replace(days(spark, 2, 2, "v2"), path, "block_date", base)
+    with pytest.raises(RuntimeError, match="another run"):
+        releases.replace(days(spark, 3, 3, "v3"), path, "block_date", base)
+    assert marks(spark, path) == {"v1": 4, "v2": 2}
+
+
+def test_readers_keep_the_state_they_resolved(spark):
+    path = target()
+    tables.trade_sink(days(spark, 1, 3), path, ["block_date", "evt_index", "mark"])
+    before = tables.read_table(spark, path)
+    # a batch may read the table that it replaces
+    changed = tables.read_table(spark, path).where("block_date = DATE '2024-01-02'").withColumn("mark", F.lit("v2"))
+    tables.replace_partitions(changed, path)
+    tables.replace_partitions(days(spark, 1, 2, "v3").where("block_date = DATE '2024-01-01'"), path, drop=[date(2024, 1, 1), date(2024, 1, 3)])
+    assert marks(spark, path) == {"v2": 2, "v3": 2}
+    assert before.groupBy("mark").count().collect()[0]["count"] == 6
+    assert releases.expire(spark, path, keep=1) == 1
+    assert marks(spark, path) == {"v2": 2, "v3": 2}
+    assert tables.drop_partitions(spark, path, [date(2024, 1, 1), date(2024, 1, 2)]) == 2
+    assert tables.read_table(spark, path).count() == 0 and tables.newest_date(spark, path) is None
+
+
+def test_newest_date_and_inventory_open_no_data(spark):
+    path = target()
+    rows = spark.range(2500).select(F.date_add(F.lit(date(1995, 1, 1)), F.col("id").cast("int")).alias("block_date"), "id")
+    tables.trade_sink(rows.repartition(1), path, ["block_date", "id"])
+    files = [p for p in Path(path).rglob("*.parquet")]
+    assert len(files) == 2500
+    for file in files:
+        file.chmod(0)
+    spark.catalog.clearCache()
+    group = "newest-date"
+    spark.sparkContext.setJobGroup(group, group)
+    assert tables.newest_date(spark, path) == date(2001, 11, 4)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    for file in files:
+        file.chmod(0o644)
+    inventory = tables.table_inventory(spark, path)
+    assert "ReadSchema: struct<>" in inventory._jdf.queryExecution().executedPlan().toString()
+    assert tuple(inventory.first()) == (2500, 2500, date(1995, 1, 1), date(2001, 11, 4))
+    plain = f"{target()}"
+    days(spark, 1, 3).write.partitionBy("block_date").parquet(plain)
+    assert tables.newest_date(spark, plain) == date(2024, 1, 3)
