@@ -41,6 +41,24 @@ def manifest_pack(
 FAN_IN = 1024
 
 
+# Characters up to which the whole text of a manifest may be put together in one row.
+WHOLE_TEXT = 64 << 20
+
+
+def whole_text_digest(chunks: DataFrame, limit: int = WHOLE_TEXT) -> DataFrame:
+    """``text_sha256``: the digest over the joined text, as a publisher states it; NULL for more
+    than ``limit`` bytes.
+
+    The bytes are counted first, and the text of a manifest beyond the bound is never gathered; its
+    tree digest stands either way.
+    """
+    size = chunks.agg(F.sum(F.octet_length("chunk_text") + 1)).first()[0] or 0
+    if size > limit:
+        return chunks.sparkSession.range(1).select(F.lit(None).cast("string").alias("text_sha256"))
+    joined = F.expr(f"listagg(chunk_text, '{DELIMITER}') WITHIN GROUP (ORDER BY chunk)")
+    return chunks.agg(F.sha2(joined, 256).alias("text_sha256"))
+
+
 def manifest_digest(chunks: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
     """Totals of a packed manifest and the digest over its chunk digests in order.
 
@@ -62,7 +80,8 @@ def manifest_digest(chunks: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
         F.sum("flagged").alias("flagged"),
         (F.sum("characters") + F.count("*") - 1).alias("characters"),
     )
-    return beside(totals, level.agg(F.max("_d").alias("manifest_sha256")))
+    tops = level.agg(F.max("_d").alias("manifest_sha256"))
+    return beside(totals, tops, whole_text_digest(chunks))
 
 
 def manifest_rows(chunks: DataFrame) -> DataFrame:
@@ -90,7 +109,9 @@ def manifest_unpack_check(chunks: DataFrame, declared: DataFrame) -> DataFrame:
     again = chunks.withColumn("chunk_sha256", F.sha2("chunk_text", 256)).withColumn(
         "characters", F.length("chunk_text")
     )
-    digest = manifest_digest(again).select(F.col("manifest_sha256").alias("again_sha256"))
+    digest = manifest_digest(again).select(
+        F.col("manifest_sha256").alias("again_sha256"), F.col("text_sha256").alias("again_text")
+    )
     characters = F.col("_chars") + F.col("parsed_rows") - 1
     return beside(parsed, keys, digest, declared).select(
         "parsed_rows",
@@ -98,11 +119,13 @@ def manifest_unpack_check(chunks: DataFrame, declared: DataFrame) -> DataFrame:
         "parsed_flagged",
         characters.alias("rebuilt_characters"),
         F.col("again_sha256").alias("rebuilt_sha256"),
+        F.col("again_text").alias("text_sha256"),
         (
             (F.col("parsed_rows") == F.col("entries"))
             & (F.col("distinct_keys") == F.col("entries"))
             & (F.col("parsed_flagged") == F.col("flagged"))
             & (characters == F.col("characters"))
             & (F.col("again_sha256") == F.col("manifest_sha256"))
+            & F.col("again_text").eqNullSafe(F.col("text_sha256"))
         ).alias("manifest_matches"),
     )

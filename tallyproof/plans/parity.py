@@ -10,14 +10,11 @@ from pyspark.sql import functions as F
 from tallyproof.functions.decimals import six_dp
 from tallyproof.operators.audit import with_gate
 from tallyproof.operators.intervals import candidate_entities
-from tallyproof.operators.reconcile import (
-    beside,
-    coverage_columns,
-    field_mismatch,
-    key_counts,
-)
+from tallyproof.operators.digests import ranged_field_mismatch
+from tallyproof.operators.reconcile import beside, coverage_columns, key_counts
 from tallyproof.plans.fee_model import TRADE_COLUMNS, fee_rows
 from tallyproof.plans.refresh import tagged_paths
+from tallyproof.sources.tables import PARTITION
 
 BASELINE = "BASELINE"
 OPTIMIZED = "OPTIMIZED_FULL_REFRESH"
@@ -136,9 +133,11 @@ def parity_report(
 ) -> DataFrame:
     """Source parity, model parity, differences, residuals and the gate on one row.
 
-    ``rows`` holds both paths; it is read three times, so freeze it first when it is expensive.
+    Rows are compared by digests of dates and key ranges first, and paired only where these differ.
+    ``rows`` holds both paths and is read several times, so freeze it first when it is expensive.
     """
-    compared = field_mismatch(_side(rows, BASELINE), _side(rows, OPTIMIZED), KEYS, FIELDS, MEASURES)
+    sides = (_side(rows, BASELINE), _side(rows, OPTIMIZED))
+    compared = ranged_field_mismatch(*sides, PARTITION, KEYS, FIELDS, MEASURES)
     kept = [
         "matched_keys", "left_only_keys", "right_only_keys", "field_mismatch_keys",
         *[f"{m}_row_difference_sum" for m in MEASURES],

@@ -10,11 +10,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyproof.functions.decimals import exact_decimals, six_dp, usd
+from tallyproof.operators.digests import differing, range_digests
 from tallyproof.operators.intervals import candidate_entities
 from tallyproof.plans.fee_model import TRADE_COLUMNS, fee_rows
 from tallyproof.sources.scans import prices_of_window
 from tallyproof.sources.tables import (
     PARTITION,
+    frozen_relation,
     held_dates,
     newest_date,
     replace_partitions,
@@ -38,6 +40,24 @@ class Bounds:
         return (day >= F.lit(self.start)) & (day < F.lit(self.end))
 
 
+@dataclass(frozen=True)
+class Dates:
+    """Single dates a run recomputes; ``start`` and ``end`` enclose them for side scans."""
+
+    days: tuple[date, ...]
+
+    @property
+    def start(self) -> date:
+        return min(self.days)
+
+    @property
+    def end(self) -> date:
+        return max(self.days) + timedelta(days=1)
+
+    def on(self, column: str = PARTITION) -> Column:
+        return F.col(column).isin(list(self.days))
+
+
 def refresh_bounds(
     model_start: date,
     today: date,
@@ -59,7 +79,7 @@ def refresh_bounds(
     return Bounds("incremental", max(since, model_start), end)
 
 
-Build = Callable[[Bounds], DataFrame]
+Build = Callable[[Bounds | Dates], DataFrame]
 
 
 def full_refresh(path: str, build: Build, bounds: Bounds) -> None:
@@ -94,6 +114,46 @@ def backfill(
     return bounds
 
 
+def input_digests(trades: DataFrame, settings: DataFrame, prices: DataFrame) -> DataFrame:
+    """Digest of the model's inputs: trades and prices per date, settings per entity.
+
+    A small table to be kept with the target: the next run compares its inputs with it.
+    """
+    def of(name: str, rows: DataFrame, part: Column, keys: list[str]) -> DataFrame:
+        fields = [c for c in rows.columns if c not in keys]
+        return range_digests(rows, part, F.lit(0), keys, fields).withColumn("_input", F.lit(name))
+
+    return (
+        of("trades", trades, F.col(PARTITION), ["tx_hash", "evt_index"])
+        .unionByName(of("prices", prices, F.to_date("bucket"), ["asset", "bucket"]))
+        .unionByName(of("settings", settings, F.col("pool"), ["pool", "block_number", "evt_index"]))
+    )
+
+
+def changed_dates(before: DataFrame, after: DataFrame, trades: DataFrame) -> list[date]:
+    """Dates whose rows may differ under changed inputs: those of changed trades and prices, and
+    those on which an entity with changed settings traded. One entry per date."""
+    changed = frozen_relation(differing(before, after, ["_input", "_part"]), "changed")
+    direct = changed.where("_input <> 'settings'").select(F.col("_part").cast("date").alias("d"))
+    entities = changed.where("_input = 'settings'").select(F.col("_part").alias("_entity"))
+    moved = trades.join(entities, F.col("pool").cast("string") == F.col("_entity"), "left_semi")
+    every = direct.unionByName(moved.select(F.col(PARTITION).alias("d"))).distinct()
+    return sorted(row.d for row in every.where("d IS NOT NULL").collect())
+
+
+def drift_refresh(
+    spark: SparkSession, path: str, build: Build, dates: Sequence[date], bounds: Bounds
+) -> list[date]:
+    """Recompute exactly the given dates inside ``bounds``, however old, and switch them at once.
+
+    A date that lost all its rows leaves the table. Returns the dates that were recomputed.
+    """
+    wanted = tuple(day for day in dates if bounds.start <= day < bounds.end)
+    if wanted:
+        replace_partitions(build(Dates(wanted)).select(*TRADE_COLUMNS), path, drop=wanted)
+    return list(wanted)
+
+
 def incremental_build(
     trades: DataFrame,
     pools: DataFrame,
@@ -105,7 +165,7 @@ def incremental_build(
 ) -> Build:
     """The fee model restricted to a run's dates, their prices and entities seen in them."""
 
-    def build(bounds: Bounds) -> DataFrame:
+    def build(bounds: Bounds | Dates) -> DataFrame:
         selected = trades.where(bounds.on())
         kept_pools = candidate_entities(pools, selected, "pool")
         start, end = (datetime.combine(day, time()) for day in (bounds.start, bounds.end))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -12,7 +12,6 @@ from tallyproof.functions.decimals import exact_decimals
 from tallyproof.functions.formulas import fee_reaches_movement, fee_to_movement_bps, fee_wei
 from tallyproof.operators.enrich import annotation_split, priced_fees
 from tallyproof.operators.reconcile import paired
-from tallyproof.operators.sides import sized_side
 from tallyproof.operators.signals import (
     cluster_flags,
     economic_actor_share,
@@ -39,10 +38,10 @@ from tallyproof.operators.transfers import (
     lookback_range_join,
     nonzero_groups,
     qualify_pairs,
-    transfer_legs,
     tx_movement,
     tx_token_movement,
 )
+from tallyproof.plans.evidence import case_evidence
 from tallyproof.sources.scans import in_window, prices_of_window
 from tallyproof.sources.tables import frozen_relation
 
@@ -210,24 +209,15 @@ EVIDENCE = ["temporal", "richness", "economic", "nonzero_groups", "fired_groups"
 def case_recompute(cases: DataFrame, inputs: Inputs, rules: Rules) -> DataFrame:
     """Rebuild the temporal, counterparty and economic evidence of selected cases and compare.
 
-    Only transactions that touch a case are read, with all their transfers, since a movement needs
-    both sides. Nothing of the stored signals is used: groups are netted, qualified, priced and
-    judged again. Returns stored and rebuilt evidence per case with a pass flag.
+    The second way (``plans/evidence.py``) starts from the raw rows of transactions that touch a case
+    and shares no operator with the screen, so a fault on either side shows. Returns stored and
+    rebuilt evidence per case with a pass flag.
     """
     chosen = cases.select("address", "stratum", *EVIDENCE)
-    wanted, _ = sized_side(chosen.select("address"))
-    window = inputs.transfers.where(
-        in_window(inputs.transfers, "block_time", rules.start, rules.end)
-    )
-    touched = transfer_legs(window).join(wanted, "address", "left_semi").select("tx_hash")
-    touched = touched.distinct()
-    part = replace(
-        inputs,
-        transfers=window.join(touched, "tx_hash", "left_semi"),
-        transactions=inputs.transactions.join(touched, "tx_hash", "left_semi"),
-    )
-    again = activity_screen(part, rules, build_stages(part, rules), with_funding=False)
-    again = again.join(wanted, "address", "left_semi")
+    again = case_evidence(
+        chosen, inputs.transfers, inputs.transactions, inputs.gas_prices, (rules.start, rules.end),
+        rules.gate_bps, rules.min_groups, rules.min_days, rules.gas_asset,
+    )
     both = paired(chosen, again, ["address"], EVIDENCE)
     sides = {"stored": F.col("l"), "rebuilt": F.col("r")}
     return both.join(chosen.select("address", "stratum"), "address").select(

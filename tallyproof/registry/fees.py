@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tallyproof.functions import formulas as fx
 from tallyproof.functions.decimals import exact_decimals, six_dp, usd
-from tallyproof.operators import audit, enrich, intervals, reconcile
+from tallyproof.operators import audit, digests, enrich, intervals, reconcile
 from tallyproof.plans import fee_model as fm
 from tallyproof.plans import parity, refresh
 from tallyproof.registry.views import with_views
@@ -836,7 +836,7 @@ FROM fee_rows WHERE tx_hash % 41 <> 0""",
 }
 
 
-@query("field_mismatch", """
+FIELD_MISMATCH_SQL = ("""
 SELECT count_if(l.tx_hash IS NOT NULL AND rr.tx_hash IS NOT NULL) AS matched_keys,
   count_if(rr.tx_hash IS NULL) AS left_only_keys, count_if(l.tx_hash IS NULL) AS right_only_keys,
   count_if(l.tx_hash IS NOT NULL AND rr.tx_hash IS NOT NULL AND (
@@ -847,13 +847,59 @@ SELECT count_if(l.tx_hash IS NOT NULL AND rr.tx_hash IS NOT NULL) AS matched_key
     ", ".join(f"CAST(round(sum(coalesce(l.{m}, CAST(0 AS DECIMAL(38,18))) - "
               f"coalesce(rr.{m}, CAST(0 AS DECIMAL(38,18)))), 6) AS DECIMAL(38,6)) "
               f"AS {m}_row_difference_sum" for m in parity.MEASURES) +
-    " FROM l FULL JOIN rr ON l.tx_hash = rr.tx_hash AND l.evt_index = rr.evt_index", FIELD_SQL)
+    " FROM l FULL JOIN rr ON l.tx_hash = rr.tx_hash AND l.evt_index = rr.evt_index")
+
+
+@query("field_mismatch", FIELD_MISMATCH_SQL, FIELD_SQL)
 def field_mismatch(spark, d):
     left = model_rows(spark, d)
     right = seeded_rows(left)
     return reconcile.field_mismatch(left, right, KEY, parity.FIELDS, parity.MEASURES)
 
 
+@query("ranged_field_mismatch", FIELD_MISMATCH_SQL, FIELD_SQL)
+def ranged_field_mismatch(spark, d):
+    """The same counts, rows being paired only in ranges whose digests differ."""
+    left = tables.frozen_relation(model_rows(spark, d), "model")
+    right = seeded_rows(left)
+    return digests.ranged_field_mismatch(
+        left, right, "block_date", KEY, parity.FIELDS, parity.MEASURES
+    )
+
+
+RANGES_SQL = {
+    "l": "SELECT * FROM fee_rows",
+    "rr": """
+SELECT * REPLACE (CASE WHEN tx_hash % 47 = 0 THEN fees_usd + 1 ELSE fees_usd END AS fees_usd)
+FROM fee_rows WHERE tx_hash % 41 <> 0 OR month(block_date) <> 3""",
+    "spots": """
+SELECT coalesce(a.block_date, b.block_date) AS day, coalesce(a.tx_hash, b.tx_hash) % 16 AS bucket,
+  a.tx_hash IS NOT NULL AS on_left, b.tx_hash IS NOT NULL AS on_right, a IS DISTINCT FROM b AS apart
+FROM l a FULL JOIN rr b ON a.tx_hash = b.tx_hash AND a.evt_index = b.evt_index""",
+    "per_range": """
+SELECT day, bucket, count_if(on_left) AS n, count_if(on_right) AS m, bool_or(apart) AS hit
+FROM spots GROUP BY day, bucket""",
+}
+
+
+@query("range_summary", """
+SELECT day::VARCHAR AS part, count(*) AS ranges, CAST(sum(n) AS BIGINT) AS left_rows,
+  CAST(sum(m) AS BIGINT) AS right_rows, count_if(hit) AS differing_ranges,
+  CAST(sum(CASE WHEN hit THEN n + m ELSE 0 END) AS BIGINT) AS rows_to_compare
+FROM per_range GROUP BY day""", RANGES_SQL)
+def range_summary(spark, d):
+    """Dates and key ranges of two snapshots, compared by digests alone."""
+    left = tables.frozen_relation(model_rows(spark, d), "model")
+    key, march = F.col("tx_hash"), F.month("block_date") == 3
+    right = left.where((key % 41 != 0) | ~march).withColumn(
+        "fees_usd",
+        F.when(key % 47 == 0, usd(F.col("fees_usd") + 1)).otherwise(F.col("fees_usd")),
+    )
+    return digests.range_summary(
+        left, right, F.col("block_date"), key % 16, KEY, parity.FIELDS
+    )
+
+
 def seeded_rows(rows: DataFrame) -> DataFrame:
     """A copy with lost rows, emptied divisors and changed fees."""
     key = F.col("tx_hash")
@@ -1092,7 +1138,8 @@ def backfill(spark, d):
 HEALTH_SQL = """
 SELECT block_date, count(*) AS trade_rows, count_if(is_repaired) AS repaired_rows,
   count_if(fee_base_usd IS NULL) AS unpriced_fee_base_rows,
-  CAST(0 AS DECIMAL(38,6)) AS accounting_residual_usd,
+  CAST(round(sum(fees_usd) - sum(supply_side_fees_usd) - sum(revenue_usd), 6) AS DECIMAL(38,6))
+    AS accounting_residual_usd,
   count(DISTINCT (tx_hash, evt_index)) AS distinct_keys,
   count(*) - count(DISTINCT (tx_hash, evt_index)) AS duplicate_surplus_rows
 FROM fee_rows GROUP BY block_date"""
@@ -1103,15 +1150,32 @@ def refresh_health(spark, d):
     return refresh.refresh_health(model_rows(spark, d))
 
 
+SIMULATED_SQL = {
+    "early": "SELECT * FROM fee_rows WHERE block_date < (SELECT day FROM overlap_start)",
+    "replaced": """
+SELECT * FROM early UNION ALL
+SELECT * FROM fee_rows WHERE block_date >= (SELECT day FROM overlap_start)""",
+}
+
+
 @query("simulate_replacement", f"""
-SELECT {ROLLUP_SQL}, 0::BIGINT AS full_only_keys, 0::BIGINT AS simulated_only_keys,
-  0::BIGINT AS field_mismatch_keys FROM fee_rows""")
+SELECT r.*, k.* FROM (SELECT {ROLLUP_SQL} FROM replaced) r, (
+  SELECT count_if(b.tx_hash IS NULL) AS full_only_keys,
+    count_if(a.tx_hash IS NULL) AS simulated_only_keys,
+    count_if(a.tx_hash IS NOT NULL AND b.tx_hash IS NOT NULL AND a IS DISTINCT FROM b)
+      AS field_mismatch_keys
+  FROM fee_rows a FULL JOIN replaced b ON a.tx_hash = b.tx_hash AND a.evt_index = b.evt_index) k""",
+    OVERLAP_SQL | SIMULATED_SQL)
 def simulate_replacement(spark, d):
     bounds = overlap_bounds(spark, d)
     build = build_of(spark, d)
     full = build(refresh.refresh_bounds(START, TODAY, incremental=False))
+    full = tables.frozen_relation(full, "full")
     simulated = refresh.simulate_replacement(full, build(bounds), bounds)
-    compared = reconcile.field_mismatch(full, simulated, KEY, parity.FIELDS).select(
+    simulated = tables.frozen_relation(simulated, "simulated")
+    compared = digests.ranged_field_mismatch(
+        full, simulated, "block_date", KEY, parity.FIELDS
+    ).select(
         F.col("left_only_keys").alias("full_only_keys"),
         F.col("right_only_keys").alias("simulated_only_keys"),
         "field_mismatch_keys",
@@ -1129,3 +1193,40 @@ def incremental_fee_model(spark, d):
     refresh.incremental_refresh(spark, path, build, START, TODAY)
     return published(tables.read_table(spark, path))
 
+
+
+LATE_SETTINGS = 2200
+DRIFT_SQL = {
+    "late": """
+SELECT block_date AS day FROM trades WHERE part_key % 67 = 0 AND amount_usd IS NOT NULL
+  AND block_date BETWEEN DATE '1997-03-01' AND DATE '1997-03-31'
+UNION ALL SELECT bucket FROM prices WHERE bucket BETWEEN DATE '1996-06-01' AND DATE '1996-06-10'
+UNION ALL SELECT t.block_date FROM trades t SEMI JOIN (
+  SELECT pool FROM settings WHERE pool = 3 AND block_number >= 2200) s ON s.pool = t.pool""",
+}
+
+
+@query("drift_refresh", """
+SELECT block_date, count(*) AS trade_rows, CAST(round(sum(fees_usd), 6) AS DECIMAL(38,6)) AS fees_usd,
+  block_date IN (SELECT day FROM late) AS refreshed FROM fee_rows GROUP BY block_date""", DRIFT_SQL)
+def drift_refresh(spark, d):
+    """Late amounts, prices and settings: only the dates they reach are recomputed."""
+    t, pools = stored_trades(spark, d), td.pools(spark, d)
+    settings, prices = td.settings(spark, d), tables.frozen_relation(td.token_prices(t), "prices")
+    day, bucket = F.col("block_date"), F.to_date("bucket")
+    late = (F.col("part_key") % 67 == 0) & day.between(date(1997, 3, 1), date(1997, 3, 31))
+    old_t = t.withColumn("amount_usd", F.when(~late, F.col("amount_usd")))
+    old_s = settings.where((F.col("pool") != 3) | (F.col("block_number") < LATE_SETTINGS))
+    old_p = prices.where(~bucket.between(date(1996, 6, 1), date(1996, 6, 10)))
+    whole, path = refresh.refresh_bounds(START, TODAY, incremental=False), fresh_path(spark, "drift")
+    before = tables.frozen_relation(refresh.input_digests(old_t, old_s, old_p), "inputs")
+    build = refresh.incremental_build(old_t, pools, old_s, old_p, in_scope(), seg(), "day")
+    refresh.full_refresh(path, build, whole)
+
+    after = refresh.input_digests(t, settings, prices)
+    dates = refresh.changed_dates(before, after, t)
+    build = refresh.incremental_build(t, pools, settings, prices, in_scope(), seg(), "day")
+    done = refresh.drift_refresh(spark, path, build, dates, whole)
+    return tables.read_table(spark, path).groupBy("block_date").agg(
+        F.count("*").alias("trade_rows"), six_dp(F.sum("fees_usd")).alias("fees_usd")
+    ).withColumn("refreshed", day.isin(done))

@@ -768,12 +768,36 @@ def manifest_pack(spark, d):
     return packed(spark, d)
 
 
-@query("manifest_unpack_check", """
-SELECT CAST(sum(entries) AS BIGINT) AS parsed_rows, CAST(sum(entries) AS BIGINT) AS distinct_keys,
-  CAST(sum(flagged) AS BIGINT) AS parsed_flagged,
-  CAST(sum(length(chunk_text)) + count(*) - 1 AS BIGINT) AS rebuilt_characters,
-  sha256(string_agg(sha256(chunk_text), '~' ORDER BY chunk)) AS rebuilt_sha256,
-  true AS manifest_matches FROM pack""")
+UNPACK_SQL = """
+SELECT * FROM (WITH entries AS (
+  SELECT chunk, string_split(unnest(string_split(chunk_text, '~')), ':') AS parts FROM pack),
+parsed AS (
+  SELECT count(*) AS parsed_rows, count(DISTINCT parts[1]) AS distinct_keys,
+    sum(parts[2]::INT) AS parsed_flagged,
+    sum(length(parts[1]) + length(parts[2]) + 1) + count(*) - 1 AS rebuilt_characters FROM entries),
+declared AS (
+  SELECT count(*) AS n, count_if(temporal) AS flagged FROM tfam_main),
+whole AS (
+  SELECT string_agg(chunk_text, '~' ORDER BY chunk) AS text,
+    sha256(string_agg(sha256(chunk_text), '~' ORDER BY chunk)) AS digest FROM pack),
+again AS (
+  SELECT sha256(string_agg(sha256(t), '~' ORDER BY chunk)) AS digest FROM (
+    SELECT chunk, string_agg(parts[1] || ':' || parts[2], '~' ORDER BY parts[1]::BIGINT) AS t
+    FROM entries GROUP BY chunk)),
+direct AS (
+  SELECT sha256(string_agg(address || ':' || temporal::INT, '~' ORDER BY address)) AS digest
+  FROM tfam_main)
+SELECT CAST(parsed_rows AS BIGINT) AS parsed_rows, CAST(distinct_keys AS BIGINT) AS distinct_keys,
+  CAST(parsed_flagged AS BIGINT) AS parsed_flagged,
+  CAST(rebuilt_characters AS BIGINT) AS rebuilt_characters, again.digest AS rebuilt_sha256,
+  direct.digest AS text_sha256,
+  parsed_rows = n AND distinct_keys = n AND parsed_flagged = flagged
+    AND rebuilt_characters = length(text) AND again.digest = whole.digest
+    AND direct.digest = sha256(text) AS manifest_matches
+FROM parsed, declared, whole, again, direct)"""
+
+
+@query("manifest_unpack_check", UNPACK_SQL)
 def manifest_unpack_check(spark, d):
     chunks = frozen_relation(packed(spark, d), "manifest")
     return manifest.manifest_unpack_check(chunks, manifest.manifest_digest(chunks))
