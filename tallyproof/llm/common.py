@@ -10,7 +10,8 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyproof.session import fresh_path, session_conf
 
@@ -61,6 +62,13 @@ def without(df: DataFrame, *names: str) -> list[str]:
     return [f"`{c}`" for c in df.columns if c.lower() not in taken]
 
 
+def row_id(doc_id: str, text: str) -> Column:
+    """Number of a row's id and text. Ids alone may be missing or repeated, and a join on them would
+    meet all such rows with each other; rows that share this number are copies of each other."""
+    ident, body = F.col(f"`{doc_id}`"), F.col(f"`{text}`")
+    return F.xxhash64(ident.isNull(), ident, body.isNull(), body)
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a string column; a null is an empty text."""
     if isinstance(column, pa.ChunkedArray):

@@ -27,6 +27,8 @@ from pyspark.sql.window import Window
 
 from tallyproof.llm.common import stored
 from tallyproof.llm.components import components
+from tallyproof.operators.sides import sized_side
+from tallyproof.session import stored_copies
 
 
 def shared_buckets(keys: DataFrame) -> DataFrame:
@@ -40,12 +42,20 @@ def shared_buckets(keys: DataFrame) -> DataFrame:
     )
 
 
+def divided(rows: DataFrame, *place: str) -> DataFrame:
+    """Places whose rows are of two or more components: an aggregate that shrinks before it moves."""
+    ends = rows.groupBy(*place).agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    return ends.where("low <> high").select(*place)
+
+
 def stars(buckets: DataFrame) -> DataFrame:
     """Distinct (node, pivot): every member of a bucket with the bucket's pivot."""
     degree = buckets.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
     order = F.struct("degree", F.xxhash64("node"), "node")
-    rows = buckets.join(degree, "node").withColumn("pivot", F.max(order).over(Window.partitionBy("key")))
-    return rows.select("node", F.col("pivot.node").alias("pivot")).where("node <> pivot").distinct()
+    # one row per bucket, which its members are joined with: a large bucket can be split
+    tops = buckets.join(degree, "node").groupBy("key").agg(F.max(order).alias("top"))
+    rows = buckets.join(tops, "key").select("node", F.col("top.node").alias("pivot"))
+    return rows.where("node <> pivot").distinct()
 
 
 def similar(common: Column, left: Column, right: Column, num: int, den: int) -> Column:
@@ -58,24 +68,30 @@ def linked(buckets: DataFrame, deltas: Callable[[DataFrame], DataFrame], num: in
     ``buckets``: stored rows (key, node). ``deltas`` takes pairs (node, pivot) and adds size, good
     (similar to the pivot) and delta (array of tokens in prefix order).
     """
+    spark = buckets.sparkSession
+    with stored_copies(spark) as made:
+        out = stored(_linked(buckets, deltas, num, den), "groups")
+        made.pop()
+    return out
+
+
+def _linked(buckets: DataFrame, deltas: Callable[[DataFrame], DataFrame], num: int, den: int) -> DataFrame:
     star = stored(deltas(stored(stars(buckets), "stars")), "deltas")
     near = star.where("good").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
     groups = stored(components(near), "groups")
 
-    named = star.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    ends = groups.select(F.col("node").alias("pivot"), F.col("root").alias("pivot_root"))
-    named = named.join(ends, "pivot", "left")
-    around = Window.partitionBy("pivot")
+    own = groups.select(F.col("node").alias("member"), F.col("root").alias("known"))
+    named = star.join(own, star.node == own.member, "left").withColumn("root", F.coalesce("known", "node"))
     # a pivot whose members all fell in one component has nothing left to link
-    open_rows = named.withColumn("low", F.min("root").over(around)).withColumn("high", F.max("root").over(around))
-    open_rows = stored(open_rows.where("low <> high").select("pivot", "node", "root", "size", "delta"), "open")
+    several, _ = sized_side(divided(named, "pivot"))
+    open_rows = named.join(several, "pivot", "left_semi").select("pivot", "node", "root", "size", "delta")
+    open_rows = stored(open_rows, "open")
     most = F.floor(F.lit(den - num) * F.col("size") / num).cast("int")
     prefix = F.posexplode(F.slice("delta", 1, most + 1)).alias("place", "token")
     left = (F.size("delta") - F.col("place")).alias("left")
     tokens = open_rows.select("*", prefix).select("pivot", "node", "root", "token", "size", F.size("delta").alias("n"), left)
-    at = Window.partitionBy("pivot", "token")
-    tokens = tokens.withColumn("low", F.min("root").over(at)).withColumn("high", F.max("root").over(at))
-    tokens = stored(tokens.where("low <> high").drop("low", "high"), "tokens")
+    shared, _ = sized_side(divided(tokens, "pivot", "token"))
+    tokens = stored(tokens.join(shared, ["pivot", "token"], "left_semi"), "tokens")
     other = tokens.select("pivot", "token", *[F.col(c).alias(f"b_{c}") for c in ("node", "root", "size", "n", "left")])
     # tokens that deltas of these lengths must share; from their first common token on, no more
     # than what is left of the shorter rest can be shared

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyproof.llm.common import blocks, fields, mapped, stored, table, utf8, without
+from tallyproof.llm.common import blocks, fields, mapped, row_id, stored, table, utf8, without
 from tallyproof.llm.linking import linked, shared_buckets
 from tallyproof.llm.words import BASE, mixed, windows, words
 
@@ -202,8 +202,8 @@ def with_sets(docs: DataFrame, n: int, text: str) -> DataFrame:
 
 
 def set_rows(docs: DataFrame, n: int, doc_id: str, text: str) -> DataFrame:
-    """doc_id, n_shingles and sig of every row."""
-    chosen = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    """doc_id, row_id, n_shingles and sig of every row."""
+    chosen = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), row_id(doc_id, text).alias("row_id"), F.col(f"`{text}`").alias("text"))
     return with_sets(chosen, n, "text").drop("text")
 
 
@@ -234,12 +234,12 @@ def key_rows(docs: DataFrame, n: int, num: int, den: int, text: str) -> DataFram
 
 def texts_of(docs: DataFrame, sets: DataFrame, nodes: DataFrame, n: int, doc_id: str, text: str) -> DataFrame:
     """(node, text) of one text of every node."""
-    first = sets.join(nodes, sets.sig == nodes.node, "left_semi").groupBy("sig").agg(F.min("doc_id").alias("doc_id"))
-    source = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"))
-    rows = source.join(first, F.col("id").eqNullSafe(F.col("doc_id"))).select("sig", "text")
+    first = sets.join(nodes, sets.sig == nodes.node, "left_semi").groupBy("sig").agg(F.min("row_id").alias("own"))
+    source = docs.select(row_id(doc_id, text).alias("row_id"), F.col(f"`{text}`").alias("text"))
+    rows = source.join(first, F.col("row_id") == F.col("own")).select("sig", "text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # rows with equal ids may have other texts; only one with the wanted set stands for it
+        # should two texts share a number, only the one with the wanted set stands for it
         for batch in batches:
             data, offsets = utf8(batch.column(1))
             for i, j in blocks(offsets):

@@ -18,7 +18,8 @@ its own still holds runs of 29 words, which are found as such; the edited words
 
 Defined results: null and empty texts, and texts of fewer than 16 words, have no paragraphs. Letters
 A to Z are folded. Repeated rows are occurrences like any other; rows with equal ids count as one
-document. Occurrences in rows without an id are reported as removed; ``cleaned`` cannot cut them.
+document, and spans are cut from the row they were found in. Every row without an id is a document of
+its own, after all that have one; of such rows, those of equal text are one.
 """
 
 from __future__ import annotations
@@ -28,14 +29,16 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyproof.llm.common import blocks, fields, mapped, stored, table, utf8
+from tallyproof.llm.common import blocks, fields, mapped, row_id, stored, table, utf8
 from tallyproof.llm.linking import linked, shared_buckets
 from tallyproof.llm.ngram_join import deltas
 from tallyproof.llm.words import BASE, code_points, mixed, powers, windows, words
+from tallyproof.operators.sides import sized_side
+from tallyproof.session import stored_copies
 
 # Paragraphs are cut at the least word pair within so many on both sides; shorter texts have none.
 AROUND, LENGTH = 48, 16
@@ -172,12 +175,12 @@ def key_rows(docs: DataFrame, text: str) -> DataFrame:
 
 
 def occurrences(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """sig, doc_id, start, end (code points, end exclusive) and n_words of every paragraph."""
-    chosen = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    """sig, row_id, doc_id, start, end (code points, end exclusive) and n_words of every paragraph."""
+    chosen = with_row_id(docs, doc_id, text)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = utf8(batch.column(1))
+            data, offsets = utf8(batch.column(2))
             for i, j in blocks(offsets):
                 part, edges = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
                 w = words(part, edges, True)
@@ -187,41 +190,29 @@ def occurrences(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                 columns = [
                     pa.array(found.sig),
                     batch.column(0).take(pa.array(found.row + i)),
+                    batch.column(1).take(pa.array(found.row + i)),
                     pa.array(points[w.start[found.first]] - zero),
                     pa.array(points[w.end[found.last - 1]] - zero),
                     pa.array(found.last - found.first),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["sig", "doc_id", "start", "end", "n_words"])
+                yield pa.RecordBatch.from_arrays(columns, ["sig", "row_id", "doc_id", "start", "end", "n_words"])
 
     kind = chosen.schema["doc_id"].dataType.simpleString()
-    return mapped(chosen, work, f"sig long, doc_id {kind}, start long, end long, n_words long")
+    return mapped(chosen, work, f"sig long, row_id long, doc_id {kind}, start long, end long, n_words long")
 
 
 def texts_of(docs: DataFrame, found: DataFrame, nodes: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(node, text) of every node: cut out of one document in which it occurs."""
-    first = found.join(nodes, found.sig == nodes.node, "left_semi").groupBy("sig")
-    first = first.agg(F.min(F.struct("doc_id", "start", "end")).alias("at"))
-    cut = first.select("sig", "at.doc_id", "at.start", "at.end").where("doc_id IS NOT NULL")
-    source = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    part = F.substring(F.col("text"), F.col("start").cast("int") + 1, (F.col("end") - F.col("start")).cast("int"))
-    rows = cut.join(source, "doc_id").select(F.col("sig").alias("node"), part.alias("text"))
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # rows with equal ids may have other texts there; only the right paragraph stands for it
-        for batch in batches:
-            data, offsets = utf8(batch.column(1))
-            w = words(data, offsets, True)
-            edge = np.searchsorted(w.row, np.arange(len(offsets)))
-            n = len(w.hash)
-            up, down = powers(1 << max(20, max(0, n - 1).bit_length()))
-            with np.errstate(over="ignore"):
-                total = np.concatenate([[np.uint64(0)], np.cumsum(w.hash * up[:n], dtype=np.uint64)])
-                a, b = edge[:-1], edge[1:]
-                sig = mixed((total[b] - total[a]) * down[np.minimum(a, len(down) - 1)] + (b - a).astype(np.uint64) * BASE)
-            right = sig.view(np.int64) == batch.column(0).to_numpy(zero_copy_only=False)
-            yield batch.filter(pa.array(right))
+    """(node, text) of every node: cut out of one row in which it occurs.
 
-    return mapped(rows, work, "node long, text string").dropDuplicates(["node"])
+    All nodes of a row are cut from it together, and rows of equal id and text are one."""
+    side, _ = sized_side(nodes)
+    first = found.join(side, found.sig == side.node, "left_semi").groupBy("sig")
+    first = first.agg(F.min(F.struct("row_id", "start", "end")).alias("at"))
+    asks = first.groupBy("at.row_id").agg(F.collect_list(F.struct("sig", "at.start", "at.end")).alias("asks"))
+    rows = with_row_id(docs, doc_id, text).join(asks, "row_id").dropDuplicates(["row_id"])
+    cell = rows.select("text", F.explode("asks").alias("ask"))
+    part = F.substring(F.col("text"), F.col("ask.start").cast("int") + 1, (F.col("ask.end") - F.col("ask.start")).cast("int"))
+    return cell.select(F.col("ask.sig").alias("node"), part.alias("text"))
 
 
 def piece_rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -253,14 +244,13 @@ def piece_rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def with_row_id(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    ident, body = F.col(f"`{doc_id}`"), F.col(f"`{text}`")
-    return docs.select(F.xxhash64(ident.isNull(), ident, body).alias("row_id"), ident.alias("doc_id"), body.alias("text"))
+    return docs.select(row_id(doc_id, text).alias("row_id"), F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
 
 
 def ends(docs: DataFrame, asked: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """For every asked piece and every number of words up to REACH before (side 0) or behind it
-    (side 1): key (of the piece and these words), row_id, doc_id, sig, first, side, n_words, start
-    and end of these words."""
+    """For every asked piece and side (0 before, 1 behind) up to REACH words: row_id, doc_id, sig,
+    first, side and, for each number of words from 1 on, ``keys`` (of the piece and these words),
+    ``starts`` and ``stops`` (of these words)."""
     chosen = with_row_id(docs, doc_id, text)
     asks = asked.groupBy("row_id").agg(F.collect_set(F.struct("first", "last", "before", "behind")).alias("asks"))
     rows = chosen.join(asks, "row_id").select("row_id", "doc_id", "text", "asks")
@@ -280,100 +270,159 @@ def ends(docs: DataFrame, asked: DataFrame, doc_id: str, text: str) -> DataFrame
                 sig = ranges(first, last)
                 for side, wanted, most in ((0, before, first - base[row]), (1, behind, base[row + 1] - last)):
                     count = np.where(wanted, np.minimum(REACH, most), 0)
+                    some = np.flatnonzero(count)
                     of = np.repeat(np.arange(len(row)), count)
                     n = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count) + 1
                     a, b = (first[of] - n, first[of]) if side == 0 else (last[of], last[of] + n)
                     with np.errstate(over="ignore"):
                         salt = mixed(sig[of] + np.uint64(side + 1) * BASE)
                         key = mixed(ranges(np.minimum(a, first[of]), np.maximum(b, last[of])) ^ salt)
-                    zero, at = points[edges[row[of]]], pa.array(row[of] + i)
+                    zero = points[edges[row[of]]]
+                    at, edge = pa.array(row[some] + i), pa.array(np.append(0, np.cumsum(count[some])).astype(np.int32))
+
+                    def per_piece(values: np.ndarray, edge: pa.Array = edge) -> pa.Array:
+                        return pa.ListArray.from_arrays(edge, pa.array(values))
+
                     columns = [
-                        pa.array(key.view(np.int64)), batch.column(0).take(at), batch.column(1).take(at),
-                        pa.array(sig[of].view(np.int64)), pa.array((first[of] - base[row[of]]).astype(np.int32)),
-                        pa.array(np.full(len(of), side, np.int32)), pa.array(n.astype(np.int64)),
-                        pa.array(points[w.start[a]] - zero), pa.array(points[w.end[b - 1]] - zero),
+                        batch.column(0).take(at), batch.column(1).take(at), pa.array(sig[some].view(np.int64)),
+                        pa.array((first[some] - base[row[some]]).astype(np.int32)), pa.array(np.full(len(some), side, np.int32)),
+                        per_piece(key.view(np.int64)), per_piece((points[w.start[a]] - zero).astype(np.int32)),
+                        per_piece((points[w.end[b - 1]] - zero).astype(np.int32)),
                     ]
-                    names = ["key", "row_id", "doc_id", "sig", "first", "side", "n_words", "start", "end"]
-                    yield pa.RecordBatch.from_arrays(columns, names)
+                    yield pa.RecordBatch.from_arrays(columns, ["row_id", "doc_id", "sig", "first", "side", "keys", "starts", "stops"])
 
     kind = chosen.schema["doc_id"].dataType.simpleString()
-    schema = f"key long, row_id long, doc_id {kind}, sig long, first int, side int, n_words long, start long, end long"
+    schema = f"row_id long, doc_id {kind}, sig long, first int, side int, keys array<long>, starts array<int>, stops array<int>"
     return mapped(rows, work, schema)
 
 
-def in_several(rows: DataFrame, key: str) -> DataFrame:
-    """occurrences and component_doc (smallest id) of the values of ``key`` that several documents have."""
+def owners(rows: DataFrame, key: str, count: Column, low: str, high: str, low_row: str, high_row: str) -> DataFrame:
+    """occurrences, component_doc and component_row of the values of ``key`` that several documents
+    have. A row without an id is a document by itself, after all that have one."""
     whole = rows.groupBy(key).agg(
-        F.count(F.lit(1)).alias("occurrences"), F.min("doc_id").alias("component_doc"), F.max("doc_id").alias("high")
-    )
-    return whole.where("component_doc <> high").drop("high")
+        F.sum(count).alias("occurrences"), F.min(low).alias("component_doc"), F.max(high).alias("high"),
+        F.min(low_row).alias("component_row"), F.max(high_row).alias("high_row"),
+    )
+    named, unnamed = F.col("component_doc").isNotNull(), F.col("component_row").isNotNull()
+    several = (F.col("component_doc") != F.col("high")) | (unnamed & (named | (F.col("component_row") != F.col("high_row"))))
+    whole = whole.where(F.coalesce(several, unnamed & named))
+    return whole.withColumn("component_row", F.when(~named, F.col("component_row"))).drop("high", "high_row")
 
 
-def runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Common runs of several documents: their whole pieces, and the words up to the ends of the
-    run. Rows of equal id and text share the rows of these ends."""
-    found = stored(piece_rows(docs, doc_id, text), "pieces")
-    removed = ~F.col("doc_id").eqNullSafe(F.col("component_doc"))
-    marked = stored(found.join(stored(in_several(found, "sig"), "shared"), "sig"), "marked")
-    around = Window.partitionBy("row_id").orderBy("first")
-    spots = marked.withColumn("removed", removed).select("row_id", "sig", "first", "last", "size", "removed").distinct()
-    spots = stored(spots, "spots")
-    # an end is asked of every occurrence of a piece if some later one has words there that stay
-    later = spots.where("removed").withColumn("before", F.col("first") > F.coalesce(F.lag("last").over(around), F.lit(0)))
-    later = later.withColumn("behind", F.col("last") < F.coalesce(F.lead("first").over(around), "size"))
-    wanted = later.groupBy("sig").agg(F.max("before").alias("before"), F.max("behind").alias("behind"))
-    wanted = wanted.where("before OR behind")
-    asked = spots.select("row_id", "sig", "first", "last").join(wanted, "sig")
-    reach = stored(ends(docs, asked, doc_id, text), "ends")
-    reach = reach.join(in_several(reach, "key"), "key").withColumn("removed", removed)
+def in_several(rows: DataFrame, key: str) -> DataFrame:
+    unnamed = F.when(F.col("doc_id").isNull(), F.col("row_id"))
+    rows = rows.select(key, "doc_id", unnamed.alias("unnamed"))
+    return owners(rows, key, F.lit(1), "doc_id", "doc_id", "unnamed", "unnamed")
+
+
+def is_later() -> Column:
+    """Whether a row is not in the document that keeps its component."""
+    kept = F.coalesce(F.col("doc_id") == F.col("component_doc"), F.col("row_id") == F.col("component_row"), F.lit(False))
+    return ~kept
+
+
+SPAN = ["row_id", "doc_id", "start", "end", "n_words", "component_id", "component_doc", "occurrences", "removed"]
+# Numbers of words that are compared in one round; what no other document shares goes no further.
+ROUNDS = ((0, 1), (1, 4), (4, REACH))
+
+
+def shared_ends(reach: DataFrame) -> DataFrame:
+    """Words next to a piece that several documents share with it, from stored ``ends``: the longest
+    end shared with an earlier document, and a longer one shared with later ones only."""
+    place = ["row_id", "doc_id", "sig", "first", "side"]
+    found, active = None, reach
+    for low, high in ROUNDS:
+        cells = F.arrays_zip(*[F.slice(c, low + 1, high - low).alias(c) for c in ("keys", "starts", "stops")])
+        rows = active.select(*place, F.posexplode(cells).alias("at", "cell")).select(
+            *place, (F.col("at") + low + 1).cast("long").alias("n_words"), F.col("cell.keys").alias("key"),
+            F.col("cell.starts").cast("long").alias("start"), F.col("cell.stops").cast("long").alias("end"),
+        )
+        several, _ = sized_side(in_several(rows, "key"))
+        hits = stored(rows.join(several, "key").withColumn("removed", is_later()).drop("key"), "shared-ends")
+        found = hits if found is None else found.unionByName(hits)
+        if high < REACH:
+            further = hits.where(F.col("n_words") == high).select(*place).distinct()
+            same = F.lit(True)
+            for c in place:
+                same &= active[c].eqNullSafe(further[c])
+            active = stored(active.join(further, same, "left_semi"), "open-ends")
     end = F.struct("n_words", "start", "end", "component_doc", "occurrences", "removed")
-    # the longest end shared with an earlier document, and a longer one shared with later ones only
-    reach = reach.groupBy("row_id", "doc_id", "sig", "first", "side").agg(
+    best = found.groupBy(*place).agg(
         F.max(F.when(F.col("removed"), end)).alias("gone"), F.max(F.when(~F.col("removed"), end)).alias("kept")
     )
     longer = F.when(F.col("gone").isNull() | (F.col("kept.n_words") > F.col("gone.n_words")), F.col("kept"))
-    reach = reach.select("doc_id", "sig", F.explode(F.array_compact(F.array("gone", longer))).alias("end"))
-    columns = ["doc_id", "start", "end", "n_words", "component_id", "component_doc", "occurrences", "removed"]
-    reach = reach.select("doc_id", F.col("sig").alias("component_id"), "end.*").select(columns)
-    marked = marked.withColumn("n_words", (F.col("last") - F.col("first")).cast("long")).withColumnRenamed("sig", "component_id")
-    marked = marked.withColumn("start", F.col("start").cast("long")).withColumn("end", F.col("end").cast("long"))
-    return marked.withColumn("removed", removed).select(columns).unionByName(reach)
+    best = best.select("row_id", "doc_id", F.col("sig").alias("component_id"), F.explode(F.array_compact(F.array("gone", longer))).alias("end"))
+    return best.select("row_id", "doc_id", "component_id", "end.*").select(SPAN)
+
+
+def runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Common runs of several documents: their whole pieces, and the words up to the ends of the
+    run. Rows of equal id and text share the rows of these ends.
+
+    Pieces are cut twice rather than stored, and what is stored on the way is released as soon as
+    the rows it led to are stored themselves."""
+    spark = docs.sparkSession
+    with stored_copies(spark) as made:
+        found = piece_rows(docs, doc_id, text)
+        several, _ = sized_side(in_several(found, "sig"))
+        whole = stored(found.join(several, "sig").withColumn("removed", is_later()), "marked")
+        with stored_copies(spark) as inner:
+            around = Window.partitionBy("row_id").orderBy("first")
+            spots = stored(whole.select("row_id", "sig", "first", "last", "size", "removed").distinct(), "spots")
+            # an end is asked of every occurrence of a piece if some later one has words there that stay
+            later = spots.where("removed").withColumn("before", F.col("first") > F.coalesce(F.lag("last").over(around), F.lit(0)))
+            later = later.withColumn("behind", F.col("last") < F.coalesce(F.lead("first").over(around), "size"))
+            wanted = later.groupBy("sig").agg(F.max("before").alias("before"), F.max("behind").alias("behind"))
+            wanted = wanted.where("before OR behind")
+            asked = spots.select("row_id", "sig", "first", "last").join(wanted, "sig")
+            reach = stored(ends(docs, asked, doc_id, text), "ends")
+            inner.pop()
+        reach = shared_ends(reach)
+        spans = whole.withColumn("n_words", (F.col("last") - F.col("first")).cast("long")).withColumnRenamed("sig", "component_id")
+        spans = spans.withColumn("start", F.col("start").cast("long")).withColumn("end", F.col("end").cast("long"))
+        out = stored(spans.select(SPAN).unionByName(reach), "runs")
+        made.pop()
+    return out
 
 
 def similar_paragraphs(docs: DataFrame, doc_id: str, text: str, num: int, den: int) -> DataFrame:
     """Every occurrence of a paragraph whose component occurs in several documents."""
-    found = stored(occurrences(docs, doc_id, text), "paragraphs")
-    buckets = stored(shared_buckets(key_rows(docs, text)), "bands")
-    texts = stored(texts_of(docs, found, buckets.select("node").distinct(), doc_id, text), "paragraph-texts")
-    groups = linked(buckets, lambda pairs: deltas(pairs, texts, SHINGLE, num, den), num, den)
-    by_sig = found.groupBy("sig").agg(
-        F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high")
-    )
-    # a paragraph alone in its component matters only if it occurs in several documents itself
-    placed = by_sig.join(groups, by_sig.sig == groups.node, "left").where("node IS NOT NULL OR low <> high")
-    placed = stored(placed.withColumn("root", F.coalesce("root", "sig")).drop("node"), "placed")
-    whole = placed.groupBy("root").agg(
-        F.sum("n").alias("occurrences"), F.min("low").alias("component_doc"), F.max("high").alias("high")
-    )
-    named = placed.select("sig", "root").join(whole.where("component_doc <> high"), "root")
-    return found.join(named, "sig").select(
-        "doc_id", "start", "end", "n_words", F.col("root").alias("component_id"), "component_doc", "occurrences",
-        (~F.col("doc_id").eqNullSafe(F.col("component_doc"))).alias("removed"),
-    )
+    with stored_copies(docs.sparkSession) as made:
+        found = occurrences(docs, doc_id, text)
+        buckets = stored(shared_buckets(key_rows(docs, text)), "bands")
+        texts = stored(texts_of(docs, found, buckets.select("node").distinct(), doc_id, text), "paragraph-texts")
+        groups = linked(buckets, lambda pairs: deltas(pairs, texts, SHINGLE, num, den), num, den)
+        unnamed = F.when(F.col("doc_id").isNull(), F.col("row_id"))
+        by_sig = found.withColumn("unnamed", unnamed).groupBy("sig").agg(
+            F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high"),
+            F.min("unnamed").alias("low_row"), F.max("unnamed").alias("high_row"),
+        )
+        # a paragraph alone in its component matters only if it occurs more than once
+        placed = by_sig.join(groups, by_sig.sig == groups.node, "left").where("node IS NOT NULL OR n > 1")
+        placed = stored(placed.withColumn("root", F.coalesce("root", "sig")).drop("node"), "placed")
+        whole = owners(placed, "root", F.col("n"), "low", "high", "low_row", "high_row")
+        named, _ = sized_side(placed.select("sig", "root").join(whole, "root"))
+        rows = found.join(named, "sig").withColumn("removed", is_later()).withColumnRenamed("root", "component_id")
+        out = stored(rows.select(SPAN), "similar")
+        made.pop()
+    return out
 
 
 def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", num: int = NUM, den: int = DEN) -> DataFrame:
-    """Every occurrence of a paragraph or common run of several documents: doc_id, start, end, n_words,
-    component_id, component_doc (smallest id), occurrences of the component, and removed."""
+    """Every occurrence of a paragraph or common run of several documents: row_id (of id and text),
+    doc_id, start, end, n_words, component_id, component_doc (smallest id, null if no row has one),
+    occurrences of the component, and removed."""
     return runs(docs, doc_id, text).unionByName(similar_paragraphs(docs, doc_id, text, num, den))
 
 
 def cleaned(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the removed occurrences; overlapping ones are cut out together."""
-    spans = found.where("removed").groupBy(F.col("doc_id").alias("cut_id"))
+    spans = found.where("removed").groupBy(F.col("row_id").alias("cut_row"), F.col("doc_id").alias("cut_id"))
     spans = spans.agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("cut_spans"))
-    rows = docs.join(spans, F.col(f"`{doc_id}`") == F.col("cut_id"), "left").drop("cut_id")
-    kept = [f"`{c}`" for c in docs.columns]
+    # the input's columns ride in one, so their names cannot clash
+    rows = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("doc"), row_id(doc_id, text).alias("own_row"))
+    same = (F.col("own_row") == F.col("cut_row")) & F.col(f"doc.`{doc_id}`").eqNullSafe(F.col("cut_id"))
+    rows = rows.join(spans, same, "left").select(*[F.col(f"doc.`{c}`").alias(c) for c in docs.columns], "cut_spans")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -390,8 +439,7 @@ def cleaned(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id", text: str
             columns = [pa.array(out, pa.string()) if k == at else c for k, c in enumerate(batch.columns[:-1])]
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1])
 
-    chosen = rows.select(*kept, "cut_spans")
-    return mapped(chosen, work, fields(docs.select(*kept)))
+    return mapped(rows, work, fields(docs))
 
 
 def op6_passage_dedup(spark: SparkSession, folder: str) -> DataFrame:

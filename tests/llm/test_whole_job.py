@@ -87,3 +87,92 @@ def test_edited_copies_are_found(spark):
     # a cut moves with the edit in few long texts, bands miss one in a hundred
     assert sum(clean[k] == [] for k in whole) >= len(whole) - 2
     assert all(len(clean[k]) <= 1 for k in whole)
+
+
+def test_rows_of_one_id_keep_their_own_texts(spark):
+    chance = random.Random(8)
+    shared, own, other = words_of(chance, 60), words_of(chance, 100), words_of(chance, 40)
+    rows = [(1, shared), (7, own), (7, [*other, *shared]), (8, own[:30])]
+    docs = spark.createDataFrame([(i, " ".join(t), "mine") for i, t in rows], "doc_id long, text string, row_id string")
+    found = passages.repeats(docs)
+    out = passages.cleaned(docs, found)
+    assert out.columns == docs.columns and {r["row_id"] for r in out.collect()} == {"mine"}
+    clean = sorted((r["doc_id"], r["text"].split()) for r in out.collect())
+    assert clean == sorted([(1, shared), (7, own), (7, other), (8, [])])
+
+
+def test_rows_without_an_id_are_documents_after_all_others(spark):
+    chance = random.Random(9)
+    shared, alone = words_of(chance, 60), words_of(chance, 60)
+    tails = [words_of(chance, 20) for _ in range(5)]
+    rows = [(None, [*shared, *tails[0]]), (None, [*shared, *tails[1]]), (3, [*shared, *tails[2]])]
+    rows += [(None, [*alone, *tails[3]]), (None, [*alone, *tails[4]]), (None, [*alone, *tails[4]])]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string").repartition(3)
+    clean = [r["text"].split() for r in passages.cleaned(docs, passages.repeats(docs)).collect()]
+    assert sorted(map(tuple, clean)).count(tuple(rows[2][1])) == 1
+    assert {tuple(c) for c in clean} >= {tuple(tails[0]), tuple(tails[1])}
+    # of the rows without an id one text keeps the passage, its copy included
+    whole = [c for c in clean if c[:60] == alone]
+    assert len({tuple(c) for c in whole}) == 1
+
+
+def test_many_rows_without_an_id_take_linear_work(spark):
+    chance = random.Random(10)
+    base = words_of(chance, 120)
+    rows = []
+    for i in range(3000):
+        edited = [*base]
+        edited[i % 120] = f"e{i}"
+        rows.append((None if i % 3 else 5, " ".join(edited)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    sets = ngram_join.set_rows(docs, 4, "doc_id", "text")
+    texts = ngram_join.texts_of(docs, sets, sets.select(sets.sig.alias("node")).distinct(), 4, "doc_id", "text")
+    assert texts.count() == 3000
+    assert ngram_join.one_of_each(spark, docs, "").count() == 1
+    found = passages.occurrences(docs, "doc_id", "text")
+    cut = passages.texts_of(docs, found, found.select(found.sig.alias("node")).distinct(), "doc_id", "text")
+    assert cut.count() == found.select("sig").distinct().count()
+
+
+def test_nearly_all_similar_paragraphs_meet(spark):
+    """Recall of the bands against all pairs of paragraphs of the smallest table and of edited ones."""
+    chance, rows = random.Random(12), []
+    docs = table(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text").collect()
+    rows = [(r["doc_id"], r["text"]) for r in docs]
+    for k, (_, text) in enumerate(rows[:60]):
+        words = (text or "").split()
+        for spot in range(chance.randint(5, 40), len(words), 90):
+            words[spot] = f"edit{spot}"
+        rows.append((10_000 + k, " ".join(words)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = passages.occurrences(frame, "doc_id", "text")
+    texts = passages.texts_of(frame, found, found.select(found.sig.alias("node")).distinct(), "doc_id", "text").collect()
+
+    def grams(text):
+        words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text).split()
+        return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+    sets = {r["node"]: grams(r["text"]) for r in texts}
+    holders = {}
+    for node, own in sets.items():
+        for g in own:
+            holders.setdefault(g, []).append(node)
+    pairs = {(a, b) for nodes in holders.values() if len(nodes) < 200 for a in nodes for b in nodes if a < b}
+    similar = {(a, b) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    keys = {}
+    for r in passages.key_rows(frame, "text").collect():
+        keys.setdefault(r["node"], set()).add(r["key"])
+    met = sum(bool(keys[a] & keys[b]) for a, b in similar)
+    assert len(similar) >= 50 and met >= 0.95 * len(similar), (met, len(similar))
+
+
+def test_copies_are_released_when_their_results_are_stored(spark):
+    from pathlib import Path
+
+    from tallyproof.session import shared_folder
+
+    docs = table(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text")
+    before = set(Path(shared_folder(spark)).iterdir())
+    passages.repeats(docs)
+    left = [p.name for p in set(Path(shared_folder(spark)).iterdir()) - before]
+    assert sorted(n.rsplit("-", 1)[0] for n in left) == ["tallyproof-runs", "tallyproof-similar"]
