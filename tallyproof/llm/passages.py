@@ -24,7 +24,7 @@ its own, after all that have one; of such rows, those of equal text are one.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -36,7 +36,7 @@ from pyspark.sql.window import Window
 from tallyproof.llm.common import blocks, fields, mapped, row_id, stored, table, utf8
 from tallyproof.llm.linking import linked, shared_buckets
 from tallyproof.llm.ngram_join import deltas
-from tallyproof.llm.words import BASE, code_points, mixed, powers, windows, words
+from tallyproof.llm.words import BASE, code_points, mixed, sums, windows, words
 from tallyproof.operators.sides import sized_side
 from tallyproof.session import stored_copies
 
@@ -80,20 +80,6 @@ def places(pairs: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
     return np.flatnonzero(chosen)
 
 
-def sums(hashes: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
-    """Hash of the words first to last (exclusive), for arrays of ranges."""
-    n = len(hashes)
-    up, down = powers(1 << max(20, n.bit_length()))
-    with np.errstate(over="ignore"):
-        total = np.concatenate([[np.uint64(0)], np.cumsum(hashes * up[:n], dtype=np.uint64)])
-
-    def ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            return mixed((total[last] - total[first]) * down[first] + (last - first).astype(np.uint64) * BASE)
-
-    return ranges
-
-
 def pieces(hashes: np.ndarray, row: np.ndarray) -> Paragraphs:
     """Pieces of the rows of a buffer: each runs to the next place, or over it to its least length.
     Every word is in one, but for the last words of a row when they are too few."""
@@ -373,7 +359,7 @@ def runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
             later = spots.where("removed").withColumn("before", F.col("first") > F.coalesce(F.lag("last").over(around), F.lit(0)))
             later = later.withColumn("behind", F.col("last") < F.coalesce(F.lead("first").over(around), "size"))
             wanted = later.groupBy("sig").agg(F.max("before").alias("before"), F.max("behind").alias("behind"))
-            wanted = wanted.where("before OR behind")
+            wanted, _ = sized_side(wanted.where("before OR behind"))
             asked = spots.select("row_id", "sig", "first", "last").join(wanted, "sig")
             reach = stored(ends(docs, asked, doc_id, text), "ends")
             inner.pop()
@@ -388,7 +374,7 @@ def runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
 def similar_paragraphs(docs: DataFrame, doc_id: str, text: str, num: int, den: int) -> DataFrame:
     """Every occurrence of a paragraph whose component occurs in several documents."""
     with stored_copies(docs.sparkSession) as made:
-        found = occurrences(docs, doc_id, text)
+        found = stored(occurrences(docs, doc_id, text), "paragraphs")
         buckets = stored(shared_buckets(key_rows(docs, text)), "bands")
         texts = stored(texts_of(docs, found, buckets.select("node").distinct(), doc_id, text), "paragraph-texts")
         groups = linked(buckets, lambda pairs: deltas(pairs, texts, SHINGLE, num, den), num, den)

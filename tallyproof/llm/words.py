@@ -6,6 +6,7 @@ carriage return. All of these are single bytes in UTF-8, so words can be cut on
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import lru_cache
 from typing import NamedTuple
 
@@ -79,12 +80,31 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
     right[:-1] |= gap[1:]
     start, end = np.flatnonzero(~gap & left), np.flatnonzero(~gap & right) + 1
     row = np.searchsorted(offsets, start, "right") - 1
+    return Words(start, end, row, span_hashes(data, start, end))
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """``range_hashes`` of any number of ascending ranges, a bounded stretch of bytes at a time."""
     hashes, i = np.empty(len(start), np.uint64), 0
     while i < len(start):
         j = max(i + 1, int(np.searchsorted(end, start[i] + SPAN, "right")))
         hashes[i:j] = range_hashes(data, start[i:j], end[i:j])
         i = j
-    return Words(start, end, row, hashes)
+    return hashes
+
+
+def sums(hashes: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """Hash of the words first to last (exclusive), for arrays of ranges."""
+    n = len(hashes)
+    up, down = powers(1 << max(20, n.bit_length()))
+    with np.errstate(over="ignore"):
+        total = np.concatenate([[np.uint64(0)], np.cumsum(hashes * up[:n], dtype=np.uint64)])
+
+    def ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return mixed((total[last] - total[first]) * down[first] + (last - first).astype(np.uint64) * BASE)
+
+    return ranges
 
 
 def windows(hashes: np.ndarray, n: int) -> np.ndarray:
