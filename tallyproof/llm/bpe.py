@@ -3,7 +3,8 @@
 Texts are cut into chunks where a rolling hash over two consecutive words says so, so copies and
 shared passages are cut alike wherever they stand. Every executor process encodes a chunk once and
 keeps it in a bounded memory; a chunk met for the first time is put together from its words, each
-of which is encoded once too.
+of which is encoded once too. Words and chunks are known by two 64-bit hashes over their bytes, and
+ids and texts lie in flat arrays, from which those of a whole block are taken at once.
 
 Joins. White space ends every pre-token of this family of vocabularies, no pattern looks across it
 and normalization never composes with it, so pieces that meet at ASCII white space agree with the
@@ -28,7 +29,7 @@ import hashlib
 import json
 import os
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,14 +37,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyproof.llm.common import blocks, fields, mapped, table, utf8, without
-from tallyproof.llm.words import windows, words
+from tallyproof.llm.words import span_hashes, sums, windows, words
 
 # A chunk ends after a pair of words whose hash is a multiple of this: about as many words.
 CHUNK_WORDS = 32
 # Runs without white space beyond so many characters are cut and repaired; mean length of a cut.
 LONG_RUN, RUN_CUT = 2048, 512
-# Entries of the young half of each memory.
-WORDS_KEPT, PIECES_KEPT, CHUNKS_KEPT = 100_000, 150_000, 20_000
+# Entries of each memory.
+WORDS_KEPT, PIECES_KEPT, CHUNKS_KEPT = 500_000, 400_000, 40_000
 # The settings for which the short cuts of ASCII text hold.
 NORMALIZERS = [
     {"type": "NFC"},
@@ -54,29 +55,93 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 CLOSING = ".,;:!?"
 
 
-class Memory(dict):
-    """Two generations: a full young one becomes the old one, and what is used moves back."""
+class Flat:
+    """Runs of numbers in one growing array."""
 
-    def __init__(self, most: int):
-        super().__init__()
-        self.most, self.old = most, {}
+    def __init__(self, kind: type):
+        self.values, self.edges = np.empty(1 << 12, kind), np.zeros(1 << 10, np.int64)
+        self.runs = 0
+
+    def add(self, values: np.ndarray, size: np.ndarray) -> None:
+        used, end = int(self.edges[self.runs]), int(self.edges[self.runs]) + len(values)
+        if end > len(self.values):
+            self.values = np.concatenate([self.values[:used], np.empty(2 * end - used, self.values.dtype)])
+        self.values[used:end] = values
+        last = self.runs + len(size)
+        if last >= len(self.edges):
+            self.edges = np.concatenate([self.edges, np.zeros(2 * last + 1 - len(self.edges), np.int64)])
+        self.edges[self.runs + 1 : last + 1] = used + np.cumsum(size)
+        self.runs = last
+
+    def take(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The values of the given runs in a row, and the size of each run."""
+        start = self.edges[runs]
+        size = self.edges[runs + 1] - start
+        before = np.cumsum(size) - size
+        return self.values[np.arange(int(size.sum())) + np.repeat(start - before, size)], size
 
-    def missing(self, keys: set) -> set:
-        """The keys to be learned; the others are in the young generation afterwards."""
-        if len(self) >= self.most:
-            self.old = dict(self)
-            self.clear()
-        unknown = keys.difference(self)
-        back = unknown.intersection(self.old)
-        self.update([(k, self.old[k]) for k in back])
-        return unknown - back
 
+class Memory:
+    """Ids and decoded text by key, in flat arrays; each decoded part ends in a space.
 
-def whole(parts: list[tuple[bytes, bytes]]) -> tuple[bytes, bytes]:
-    """Ids and decoded text of parts in a row; decoded tokens are joined by single spaces."""
-    if len(parts) == 1:
-        return parts[0]
-    return b"".join([p[0] for p in parts]), b" ".join([p[1] for p in parts if p[0]])
+    Keys are 64-bit hashes that are told apart by a second, independent one, or strings. When more
+    than ``most`` entries are held at the start of a block, the half used last stays.
+    """
+
+    def __init__(self, most: int):
+        self.most, self.tick = most, 0
+        self.clear()
+
+    def clear(self) -> None:
+        self.place: dict = {}
+        self.check, self.used = np.zeros(1 << 10, np.uint64), np.zeros(1 << 10, np.int64)
+        self.ids, self.text = Flat(np.uint32), Flat(np.uint8)
+
+    def next_block(self) -> None:
+        self.tick += 1
+        n = self.ids.runs
+        if n > self.most:
+            # entries of one tick stay or go together, so half of them at the most is kept
+            used = self.used[:n]
+            kept = np.flatnonzero(used > np.partition(used, n // 2)[n // 2])
+            keys = np.empty(n, object)
+            keys[list(self.place.values())] = list(self.place)
+            keys, check, ticks = keys[kept].tolist(), self.check[kept], used[kept]
+            ids, text = self.ids.take(kept), self.text.take(kept)
+            self.clear()
+            self.add(keys, check, ids, text)
+            self.used[: len(ticks)] = ticks
+
+    def find(self, keys: list, check: np.ndarray | None = None) -> np.ndarray:
+        """Place of each key, or -1."""
+        found = np.fromiter(map(self.place.get, keys, repeat(-1)), np.int64, len(keys))
+        if check is not None:
+            found[(found >= 0) & (self.check[found] != check)] = -1
+        self.used[found[found >= 0]] = self.tick
+        return found
+
+    def add(self, keys: list, check: np.ndarray | None, ids: tuple, text: tuple) -> np.ndarray:
+        """Places of new entries, given the values and sizes of their ids and texts."""
+        first, last = self.ids.runs, self.ids.runs + len(keys)
+        if last > len(self.check):
+            more = np.zeros(2 * last - len(self.check), np.int64)
+            self.check, self.used = np.concatenate([self.check, more.astype(np.uint64)]), np.concatenate([self.used, more])
+        self.check[first:last] = 0 if check is None else check
+        self.used[first:last] = self.tick
+        self.place.update(zip(keys, range(first, last), strict=True))
+        self.ids.add(*ids)
+        self.text.add(*text)
+        return np.arange(first, last)
+
+    def joined(self, places: np.ndarray, count: np.ndarray) -> tuple[tuple, tuple]:
+        """Ids and texts of ``count`` entries each in a row."""
+        edge = np.concatenate([[0], np.cumsum(count)])
+        out = []
+        for flat in (self.ids, self.text):
+            values, size = flat.take(places)
+            total = np.concatenate([[0], np.cumsum(size)])
+            out.append((values, np.diff(total[edge])))
+        return out[0], out[1]
 
 
 class Encoder:
@@ -168,10 +233,10 @@ class Encoder:
             body = word
         return (body,) if len(body) == len(word) else (body, word[len(body) :])
 
-    def learn_pieces(self, pieces: set[str]) -> None:
-        """Encode the pieces that are not in memory, each by the shortest way that is exact."""
+    def learn_pieces(self, pieces: list[str]) -> None:
+        """Encode pieces that are not in memory, each by the shortest way that is exact."""
         ways: dict[str, list[str]] = {"long": [], "letters": [], "lower": [], "lib": []}
-        for piece in self.pieces.missing(pieces):
+        for piece in pieces:
             if len(piece) > LONG_RUN:
                 ways["long"].append(piece)
             elif not self.known or not piece.isascii() or "<|" in piece:
@@ -183,42 +248,64 @@ class Encoder:
                 ids = [self.run(p) for p in found]
             else:
                 ids = [x.ids for x in getattr(self, way).encode_batch_fast(found, add_special_tokens=False)]
-            texts = self.lib.decode_batch(ids, skip_special_tokens=False)
-            edges = np.cumsum([0, *map(len, ids)]) * 4
-            raw = np.fromiter(chain.from_iterable(ids), "<u4", int(edges[-1]) // 4).tobytes()
-            for piece, a, b, text in zip(found, edges[:-1].tolist(), edges[1:].tolist(), texts, strict=True):
-                self.pieces[piece] = (raw[a:b], text.encode())
-
-    def learn(self, chunks: set[bytes]) -> None:
-        """Encode the chunks that are not in memory."""
-        new = list(self.chunks.missing(chunks))
-        split = [c.split() for c in new]
-        words, pieces = self.words, self.pieces
-        unknown = {w: self.split(w.decode()) for w in words.missing(set(chain.from_iterable(split)))}
-        self.learn_pieces(set(chain.from_iterable(unknown.values())))
-        for word, parts in unknown.items():
-            words[word] = whole([pieces[p] for p in parts])
-        for chunk, parts in zip(new, split, strict=True):
-            self.chunks[chunk] = whole(list(map(words.__getitem__, parts)))
+            texts = [t.encode() + b" " if i else b"" for i, t in zip(ids, self.lib.decode_batch(ids, skip_special_tokens=False), strict=True)]
+            size = np.fromiter(map(len, ids), np.int64, len(ids))
+            flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum()))
+            lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+            self.pieces.add(found, None, (flat, size), (np.frombuffer(b"".join(texts), np.uint8), lengths))
+
+    def learn(self, words: list[bytes], keys: list[int], check: np.ndarray) -> np.ndarray:
+        """Places of new words, put together from their pieces."""
+        split = [self.split(w.decode()) for w in words]
+        pieces = list(chain.from_iterable(split))
+        unknown = dict.fromkeys(pieces)
+        places = self.pieces.find(list(unknown))
+        self.learn_pieces([p for p, k in zip(unknown, places.tolist(), strict=True) if k < 0])
+        parts = self.pieces.joined(self.pieces.find(pieces), np.fromiter(map(len, split), np.int64, len(split)))
+        return self.words.add(keys, check, *parts)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[list[bytes], list[bytes]]:
         """Ids as little-endian 32-bit integers and decoded text of each row of a buffer."""
+        for memory in (self.pieces, self.words, self.chunks):
+            memory.next_block()
         w = words(data, offsets)
         n = len(w.start)
+        if not n:
+            empty = [b""] * (len(offsets) - 1)
+            return empty, empty
+        other = span_hashes(255 - data, w.start, w.end)
         first = np.ones(n, bool)
-        if n:
-            first[1:] = w.row[1:] != w.row[:-1]
-            pairs = windows(w.hash, 2)
-            first[2:] |= pairs[:-1] % np.uint64(CHUNK_WORDS) == 0
+        first[1:] = w.row[1:] != w.row[:-1]
+        pairs = windows(w.hash, 2)
+        first[2:] |= pairs[:-1] % np.uint64(CHUNK_WORDS) == 0
         at = np.flatnonzero(first)
-        last = np.append(at[1:], n)[: len(at)] - 1
-        raw = data.tobytes()
-        chunks = [raw[a:b] for a, b in zip(w.start[at].tolist(), w.end[last].tolist(), strict=True)]
-        self.learn(set(chunks))
-        found = [self.chunks[c] for c in chunks]
-        edges = np.searchsorted(w.row[at], np.arange(len(offsets)))
-        texts = [whole(found[a:b]) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
-        return [t[0] for t in texts], [t[1] for t in texts]
+        end = np.append(at[1:], n)
+        # chunks of this block, each once, and of those the new ones
+        keys, some, which = np.unique(sums(w.hash)(at, end), return_index=True, return_inverse=True)
+        check = sums(other)(at, end)[some]
+        places = self.chunks.find(keys.tolist(), check)
+        new = np.flatnonzero(places < 0)
+        if len(new):
+            low, count = at[some[new]], (end - at)[some[new]]
+            inside = np.arange(int(count.sum())) + np.repeat(low - (np.cumsum(count) - count), count)
+            word, one, of = np.unique(w.hash[inside], return_index=True, return_inverse=True)
+            one = inside[one]
+            found = self.words.find(word.tolist(), other[one])
+            lacking = np.flatnonzero(found < 0)
+            if len(lacking):
+                raw, spot = data.tobytes(), one[lacking]
+                own = [raw[a:b] for a, b in zip(w.start[spot].tolist(), w.end[spot].tolist(), strict=True)]
+                found[lacking] = self.learn(own, word[lacking].tolist(), other[spot])
+            places[new] = self.chunks.add(keys[new].tolist(), check[new], *self.words.joined(found[of], count))
+        per_row = np.bincount(w.row[at], minlength=len(offsets) - 1)
+        (ids, n_ids), (text, n_text) = self.chunks.joined(places[which], per_row)
+        ids, text = ids.astype("<u4").tobytes(), text.tobytes()
+        out = []
+        for values, size, tail in ((ids, n_ids * 4, 0), (text, n_text, 1)):
+            edge = np.concatenate([[0], np.cumsum(size)]).tolist()
+            # the last part of a text ends in no space
+            out.append([values[a : max(a, b - tail)] for a, b in zip(edge[:-1], edge[1:], strict=True)])
+        return out[0], out[1]
 
 
 def encoded(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
