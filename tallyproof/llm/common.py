@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
+from functools import wraps
 from pathlib import Path
 
 import numpy as np
@@ -16,6 +17,22 @@ from pyspark.sql import functions as F
 from tallyproof.session import fresh_path, session_conf
 
 
+# Columns of the documents table, which stages read by name.
+DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def keeps_columns(stage: Stage) -> Stage:
+    """A stage that hands further columns of its input on as they are, whatever they are called."""
+
+    @wraps(stage)
+    def kept(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+        names = [c if c in DOCUMENT else f"input_column_{k}" for k, c in enumerate(docs.columns)]
+        return stage(spark, docs.toDF(*names), folder).select(*names).toDF(*docs.columns)
+
+    return kept
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

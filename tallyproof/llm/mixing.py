@@ -17,7 +17,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyproof.llm.common import stored, table, without
+from tallyproof.llm.common import keeps_columns, stored, table, without
 
 SEED = 20240501
 # Target weights of the production mix; shares are weights over their sum.
@@ -117,6 +117,7 @@ def op1_poisson_mix(spark: SparkSession, folder: str) -> DataFrame:
     return replicated(table(spark, folder, "documents"))
 
 
+@keeps_columns
 def mix(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Pipeline stage: documents repeated to the production weights, shuffled."""
     return replicated(docs).select(*(f"`{c}`" for c in docs.columns))

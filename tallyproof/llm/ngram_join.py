@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyproof.llm.common import blocks, fields, mapped, row_id, stored, table, utf8, without
+from tallyproof.llm.common import blocks, fields, keeps_columns, mapped, row_id, stored, table, utf8, without
 from tallyproof.llm.linking import linked, shared_buckets
 from tallyproof.llm.words import BASE, mixed, windows, words
 
@@ -318,6 +318,7 @@ def op3_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return joined(table(spark, folder, "documents")).drop("sig")
 
 
+@keeps_columns
 def one_of_each(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Pipeline stage: one document of each component stays, the one of the smallest id.
 

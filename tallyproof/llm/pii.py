@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyproof.llm import tagger
-from tallyproof.llm.common import fields, mapped, table, without
+from tallyproof.llm.common import fields, keeps_columns, mapped, table, without
 from tallyproof.llm.tagger import KINDS
 
 WINDOW, STRIDE = 128, 64
@@ -310,6 +310,7 @@ def op10_lstm_pii(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", *(f"n_{k}" for k in KINDS), F.sha2(F.encode("base", "UTF-8"), 256).alias("base_sha256"), "spans")
 
 
+@keeps_columns
 def redact_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Pipeline stage: personal data replaced; ``n_chars`` follows the text."""
     out = searched(docs, fitted(docs), redact=True)

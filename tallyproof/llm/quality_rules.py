@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyproof.llm.common import blocks, fields, mapped, table, utf8, without
+from tallyproof.llm.common import blocks, fields, keeps_columns, mapped, table, utf8, without
 from tallyproof.llm.words import SPACE, code_points, mixed, windows, words
 
 SYMBOLS = np.zeros(256, bool)
@@ -169,6 +169,7 @@ def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged(docs).select("doc_id", *COUNTS, "base_failed", "kept", *SHARES)
 
 
+@keeps_columns
 def keep_good(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Pipeline stage: the documents that the rules keep."""
     return judged(docs).where("kept").select(*(f"`{c}`" for c in docs.columns))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import collections
 
 import pytest
-from helpers import FOLDER, documents, no_docs, odd_docs
+from helpers import FOLDER, documents, no_docs, odd_docs, odd_rows
 from test_set_operators import brute_components
 
 import corpus_pipeline
@@ -68,3 +68,17 @@ def test_stages_take_odd_rows_and_empty_tables(spark):
         for _, stage in corpus_pipeline.STAGES:
             docs = stored(stage(spark, docs, FOLDER), "test-odd")
         docs.count()
+
+
+def test_stages_hand_on_columns_of_any_name(spark):
+    extra = ("sig", "N_words", "copy", "base", "kept", "row_id", "key", "shuffle_key", "spans", "doc", "ids")
+    docs = odd_docs(spark, extra)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, FOLDER)
+        assert out.columns == docs.columns
+        rows = out.collect()
+        assert rows and all(r[c] == "taken" for r in rows for c in extra)
+        assert {r["doc_id"] for r in rows} <= {r[0] for r in odd_rows()}
+    empty = no_docs(spark)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, empty, FOLDER).columns == empty.columns
