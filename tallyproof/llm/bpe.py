@@ -44,7 +44,7 @@ CHUNK_WORDS = 32
 # Runs without white space beyond so many characters are cut and repaired; mean length of a cut.
 LONG_RUN, RUN_CUT = 2048, 512
 # Entries of each memory.
-WORDS_KEPT, PIECES_KEPT, CHUNKS_KEPT = 500_000, 400_000, 40_000
+WORDS_KEPT, PIECES_KEPT, CHUNKS_KEPT = 250_000, 200_000, 10_000
 # The settings for which the short cuts of ASCII text hold.
 NORMALIZERS = [
     {"type": "NFC"},
