@@ -8,7 +8,9 @@ import random
 import zlib
 from datetime import date
 
+import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from compare import connect, rows_of
 from helpers import FOLDER, STORY, WORD, documents, no_docs, odd_docs, odd_rows
@@ -202,6 +204,45 @@ def test_a_group_with_a_third_of_all_rows_is_split(spark):
     assert len(shards) == 16 and max(shards.values()) - min(shards.values()) <= 40
 
 
+def test_a_large_group_of_equal_rows_is_split(spark):
+    rows = [(None, "same text here")] * 1000 + [(5, "other text here")] * 1000 + [(i, f"text {i} of its own") for i in range(1000)]
+    out = sharding.sharded(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    shards = collections.Counter(r["shard"] for r in out)
+    assert len(shards) == 16 and max(shards.values()) - min(shards.values()) <= 20
+    assert collections.Counter(r["doc_id"] for r in out) == collections.Counter(r[0] for r in rows)
+    for shard, n in shards.items():
+        assert sorted(r["slot"] for r in out if r["shard"] == shard) == list(range(n))
+
+
+def test_packing_follows_the_dot_product():
+    chance = random.Random(4)
+    items = [[chance.randint(1, 9000), chance.randint(0, 900), chance.randint(1, 9)] for _ in range(400)]
+    totals = [sum(i[m] for i in items) for m in range(3)]
+    left = [[1.0] * 3 for _ in range(7)]
+    want = {}
+    for n in sorted(range(400), key=lambda n: -max(items[n][m] * 7 / totals[m] for m in range(3))):
+        need = [items[n][m] * 7 / totals[m] for m in range(3)]
+        fits = [sum(a * b for a, b in zip(room, need, strict=True)) for room in left]
+        want[n] = fits.index(max(fits))
+        left[want[n]] = [a - b for a, b in zip(left[want[n]], need, strict=True)]
+    got = sharding.packed(sharding.shares(np.array(items, float), 7), 7)
+    assert [want[n] for n in range(400)] == got.tolist()
+
+
+def test_parcels_balance_bytes_tokens_and_rows(spark):
+    """Many small groups of three shapes, in parcels a quarter as many to a shard as in production."""
+    shape = lambda i: ("x" * 900 + str(i), f"{i} " + "a " * 300, str(i))[i % 3]
+    texts = {i: shape(i) for i in range(9000)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    loads = collections.defaultdict(lambda: np.zeros(3))
+    for r in sharding.sharded(docs, parcels=1000).collect():
+        loads[r["shard"]] += (r["size"], len(WORD.findall(texts[r["doc_id"]])), 1)
+    spread = np.array(list(loads.values()))
+    assert len(loads) == 16
+    wide = (spread.max(0) - spread.min(0)) / spread.mean(0)
+    assert wide[0] <= 0.02 and wide.max() <= 0.2, wide
+
+
 def test_mixing_meets_its_targets(spark):
     rows = [(i, "abcdefghi", "en", "src0" if i % 3 == 0 else f"src{i % 20 + 20}", 9) for i in range(6000)]
     docs = spark.createDataFrame(rows, odd_docs(spark).schema)
@@ -225,6 +266,25 @@ def test_mixing_of_odd_rows(spark):
         mixing.replicated(docs, {"s0": -1.0})
 
 
+def test_every_row_draws_by_itself(spark):
+    """A third of all rows are equal, a third have no id; the twin draws the same."""
+    rows = [(7, "one text", "en", "src0", 8)] * 2000 + [(None, f"text {i}", "en", "src1", 8) for i in range(2000)]
+    rows += [(i, "short", "en", None, 5) for i in range(2000)] + odd_rows()
+    docs = spark.createDataFrame(rows, odd_docs(spark).schema)
+    out = [tuple(r) for r in mixing.replicated(docs.repartition(5)).collect()]
+    sizes, weights = collections.Counter(), {"src0": 4.0, "src1": 2.0}
+    for r in rows:
+        sizes[r[3]] += len((r[1] or "").encode()) + 1
+    for source in ("src0", "src1"):
+        rate = sum(sizes.values()) * weights[source] / ((6 + len(sizes) - 2) * sizes[source])
+        copies = sum(r[3] == source for r in out)
+        assert copies == pytest.approx(2000 * rate, rel=0.1), source
+    con = duckdb.connect()
+    con.register("documents", pa.Table.from_pylist([dict(zip(docs.columns, r, strict=True)) for r in rows]))
+    assert sorted(map(str, out)) == sorted(map(str, con.sql(mixing.ORACLE).fetchall()))
+    assert sorted(map(str, out)) == sorted(str(tuple(r)) for r in mixing.replicated(docs.coalesce(1)).collect())
+
+
 def test_poisson_draws_of_large_means(spark):
     rows = [(i, "a", "en", "big" if i < 500 else "x", 1) for i in range(600)]
     out = mixing.replicated(spark.createDataFrame(rows, odd_docs(spark).schema), {"big": 1.0}, 0.0, budget=2000 / 1.2)
