@@ -8,10 +8,12 @@ spelled-out or bracketed separators, phone numbers without a plus sign, grouped
 Every text is covered by windows of 128 characters that overlap by half. All four kinds need a digit,
 an at sign or an at in brackets, also in the rewritten forms, and ``plausible`` asks for one inside
 the span; a window that holds none whole can therefore add nothing and is not decoded. The decoded
-spans of all windows of a text are reconciled: a span cut by the border of a window is left to the
-neighbour that holds it whole; of overlapping spans the one with most
-windows, then the longest, then the first stays; spans that touch a base span go. What remains must
-pass the same arithmetic as the base forms (Luhn, octets, number of digits).
+spans of all windows of a text are reconciled: a span cut by the border of a window, or within ``EDGE`` of it, is left
+to the neighbour that holds it whole; where none does, a window centred on the span is decoded, and a wider
+one as long as a border cuts it, so that a span's place in the text does not matter. Of overlapping
+spans the one with most windows, then the longest, then the first stays; spans that touch a base span
+go. What remains must pass the same arithmetic as the base forms (Luhn, octets, number of digits), and
+no longer than ``LONGEST`` characters, some six times the longest address that mail allows.
 
 Defined results: null and empty texts have no spans. Repeated rows are searched each. A table
 without base spans trains on generated ones alone. Counts and ``base_sha256`` are of base spans.
@@ -33,7 +35,8 @@ from tallyproof.llm import tagger
 from tallyproof.llm.common import fields, keeps_columns, mapped, table, without
 from tallyproof.llm.tagger import KINDS
 
-WINDOW, STRIDE = 128, 64
+# EDGE: characters next to a window's border where the tagger lacks context; spans there count as cut.
+WINDOW, STRIDE, EDGE, LONGEST = 128, 64, 16, 2048
 # Documents whose base spans are the labelled sample, in the order of a hash of their ids; spans
 # taken of each; generated sequences; training steps.
 SAMPLE_DOCS, SAMPLE_SPANS = 400, 4
@@ -227,42 +230,85 @@ def reconciled(text: str, base: list[Span], votes: dict[Span, int]) -> list[Span
     for span in order:
         body = text[span.start : span.end]
         beside = text[span.start - 1 : span.start] + text[span.end : span.end + 1]
-        if any(c.isalnum() for c in beside) or not plausible(span.kind, body):
+        if len(body) > LONGEST or any(c.isalnum() for c in beside) or not plausible(span.kind, body):
             continue
         if all(span.end <= t.start or t.end <= span.start for t in taken):
             taken.append(span)
     return sorted(taken)
 
 
+class Window(NamedTuple):
+    text: int
+    start: int
+    end: int
+
+
+def decoded_spans(kinds: list[np.ndarray], windows: list[Window], model: dict[str, np.ndarray]) -> Iterator[tuple[Window, Span, bool]]:
+    """Spans of ``windows``, shortest first, with whether a border inside the text
+    cuts them or is too near to judge."""
+    rows = max(1, 1024 * WINDOW // max(w.end - w.start for w in windows))
+    for i in range(0, len(windows), rows):
+        block = windows[i : i + rows]
+        width = max(WINDOW, *(w.end - w.start for w in block))
+        x = np.zeros((len(block), width), np.uint8)
+        for row, (n, a, b) in zip(x, block, strict=True):
+            row[: b - a] = kinds[n][a:b]
+        for tags, window in zip(tagger.decoded(model, x), block, strict=True):
+            n, a, b = window
+            if not tags.any():
+                continue
+            for kind, s, e in tagger.spans_of(tags[: b - a]):
+                cut = (s < EDGE and a > 0) or (e > b - a - EDGE and b < len(kinds[n]))
+                yield window, Span(a + s, kind, a + e), cut
+
+
+def joined_cuts(cuts: set[tuple[int, Span]]) -> list[tuple[int, Span]]:
+    """Unions of the cut spans of one text and kind that overlap; a run of more than ``LONGEST``
+    characters is no span."""
+    out: list[tuple[int, Span]] = []
+    for n, span in sorted(cuts, key=lambda c: (c[0], c[1].kind, c[1])):
+        if out and out[-1][0] == n and out[-1][1].kind == span.kind and span.start < out[-1][1].end:
+            span = Span(out[-1][1].start, span.kind, max(out[-1][1].end, span.end))
+            out.pop()
+        out.append((n, span))
+    return [c for c in out if c[1].end - c[1].start <= LONGEST]
+
+
 def found_spans(texts: list[str], model: dict[str, np.ndarray]) -> list[tuple[list[Span], list[Span]]]:
     """Base spans and all spans of each text."""
     base = [base_spans(t) for t in texts]
     votes: list[dict[Span, int]] = [{} for _ in texts]
-    windows, origin = [], []
+    kinds, windows = [], []
     for n, text in enumerate(texts):
         signs = np.array([m.span() for m in SIGN.finditer(text)], np.int64).reshape(-1, 2)
         if not len(signs):
+            kinds.append(np.empty(0, np.uint8))
             continue
         points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-        kinds = tagger.classes(points)
+        kinds.append(tagger.classes(points))
         starts = np.arange(0, max(1, len(points) - WINDOW + STRIDE), STRIDE)
         ends = np.minimum(starts + WINDOW, len(points))
         # the first sign from a window's start on must end in it
         after = np.append(signs[:, 1], len(points) + 1)[np.searchsorted(signs[:, 0], starts)]
-        for a, b in zip(starts[after <= ends].tolist(), ends[after <= ends].tolist(), strict=True):
-            window = np.zeros(WINDOW, np.uint8)
-            window[: b - a] = kinds[a:b]
-            windows.append(window)
-            origin.append((n, a, b))
-    for i in range(0, len(windows), 1024):
-        tags = tagger.decoded(model, np.array(windows[i : i + 1024]))
-        for row, (n, a, b) in zip(tags, origin[i : i + 1024], strict=True):
-            if not row.any():
-                continue
-            for kind, s, e in tagger.spans_of(row[: b - a]):
-                if (s > 0 or a == 0) and (e < b - a or b == len(texts[n])):
-                    span = Span(a + s, kind, a + e)
-                    votes[n][span] = votes[n].get(span, 0) + 1
+        windows += [Window(n, a, b) for a, b in zip(starts[after <= ends].tolist(), ends[after <= ends].tolist(), strict=True)]
+    centre: dict[Window, list[Span]] = {}
+    margin = STRIDE
+    while windows:
+        cuts: set[tuple[int, Span]] = set()
+        for window, span, cut in decoded_spans(kinds, windows, model):
+            if not cut:
+                votes[window.text][span] = votes[window.text].get(span, 0) + 1
+            elif not centre or any(span.start < c.end and c.start < span.end for c in centre[window]):
+                cuts.add((window.text, span))
+        # one that a window held whole needs no other; a wider window follows only what it is
+        # centred on, so that no span is cut any more once the margin exceeds LONGEST
+        open_cuts = {(n, c) for n, c in cuts if not any(v.start <= c.start and c.end <= v.end for v in votes[n])}
+        centre = {}
+        for n, c in joined_cuts(open_cuts):
+            window = Window(n, max(0, c.start - margin), min(len(kinds[n]), c.end + margin))
+            centre.setdefault(window, []).append(c)
+        windows = sorted(centre, key=lambda w: w.end - w.start)
+        margin *= 2
     return [(b, reconciled(t, b, v)) for t, b, v in zip(texts, base, votes, strict=True)]
 
 

@@ -39,6 +39,26 @@ def test_spelled_out_addresses_without_a_digit_are_found(model):
     assert hits >= 75, hits
 
 
+LONG_ADDRESS = "maximilian.alexander.von.und.zu.musterhausen [at] department.of.public.affairs [dot] university.of.somewhere [dot] example [dot] com"
+
+
+def test_a_long_span_is_found_at_every_place(model):
+    assert len(LONG_ADDRESS) > pii.WINDOW
+    shapes = set()
+    for lead in range(0, 2 * pii.STRIDE):
+        text = "x" * lead + " note " + LONG_ADDRESS + " and so on" * 30
+        shapes.add(tuple((s.kind, s.start - lead, s.end - lead) for s in pii.found_spans([text], model)[0][1]))
+    hit = [s for shape in shapes for s in shape if s[0] == 0 and s[1] <= 6 and s[2] >= 6 + len(LONG_ADDRESS)]
+    assert len(hit) == len(shapes), shapes
+
+
+def test_runs_that_no_window_holds_end_in_bounded_work(model):
+    text = "12 34-56 " * 20_000 + "mail a.b@c.de " + "9" * 30_000
+    base, spans = pii.found_spans([text], model)[0]
+    assert set(base) <= set(spans) and any(s.kind == 0 for s in base)
+    assert all(s.end - s.start <= pii.LONGEST for s in set(spans) - set(base))
+
+
 def words_of(chance, n):
     return [f"w{chance.randint(0, 10**9)}" for _ in range(n)]
 
