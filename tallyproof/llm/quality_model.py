@@ -1,7 +1,7 @@
 """Quality classifier by supervised subword embeddings.
 
 A document is the average of learned vectors of its hashed features: words, pairs of neighbouring
-words, and byte 3- and 4-grams. A softmax over two classes follows. Vectors and output weights are
+words, and 3- and 4-grams of the characters of each word between two boundary marks. A softmax over two classes follows. Vectors and output weights are
 trained together by stochastic gradient descent in numpy, on a bounded sample of labelled rows.
 
 As averaging and the output are linear, a feature adds the same amount to the logit wherever it
@@ -10,7 +10,9 @@ occurs; scoring therefore looks up one number per feature instead of a vector.
 Pairs are hashed by the difference of their words' hashes, so that all repetitions of a word share
 one bucket. Labels, language, source and id are never inputs of a score.
 
-Defined results: null and empty texts have no features and get the score of the bias. Labels that
+Characters are code points; n-grams do not run from one word into the next.
+
+Defined results: null and empty texts, and texts of white space, have no features and get the score of the bias. Labels that
 are null are ignored; several labels of one id count by their mean, 0.5 as 1. Without labels of
 both classes every score is 0.5. Repeated rows get equal scores.
 """
@@ -26,10 +28,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyproof.llm.common import blocks, fields, mapped, table, utf8, without
-from tallyproof.llm.words import BASE, byte_values, mixed, windows, words
+from tallyproof.llm.words import BASE, SPACE, Words, byte_values, mixed, windows, words
 
 BUCKETS, DIM = 1 << 15, 16
 GRAMS = (3, 4)
+# Marks before and after each word.
+LEFT, RIGHT = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 # Most labelled rows that the model is fitted on, in the order of a hash of their ids.
 TRAIN_ROWS = 2000
 EPOCHS, BATCH, RATE, SEED = 12, 32, 0.3, 7
@@ -46,6 +50,27 @@ def bucket(hashes: np.ndarray, kind: int) -> np.ndarray:
     return (mixed(hashes + np.uint64(kind) * BASE) & np.uint64(BUCKETS - 1)).astype(np.int64)
 
 
+def characters(data: np.ndarray, w: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the characters of all words, each word between two marks, and the word of each entry."""
+    lead = (data & 0xC0) != 0x80
+    before = np.concatenate([[0], np.cumsum(lead)])
+    sizes = before[w.end] - before[w.start]
+    at = np.flatnonzero(lead & ~SPACE[data])
+    values = byte_values()[data[at]]
+    wide = np.flatnonzero(data[at] >= 0xC0)
+    code = data[at[wide]].astype(np.uint64)
+    for j in range(1, 4):
+        place = np.minimum(at[wide] + j, len(data) - 1)
+        code = np.where(before[place + 1] == before[at[wide] + 1], code << np.uint64(8) | data[place], code)
+    values[wide] = mixed(code * BASE)
+    word = np.repeat(np.arange(len(sizes)), sizes + 2)
+    first = np.cumsum(sizes + 2) - (sizes + 2)
+    out = np.full(len(word), LEFT)
+    out[first + sizes + 1] = RIGHT
+    out[np.arange(len(at)) + 2 * np.repeat(np.arange(len(sizes)), sizes) + 1] = values
+    return out, word
+
+
 def features(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Rows and buckets of all features, one kind after the other."""
     with np.errstate(over="ignore"):
@@ -53,12 +78,11 @@ def features(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray
         yield w.row, bucket(w.hash, 1)
         same = np.flatnonzero(w.row[1:] == w.row[:-1])
         yield w.row[same], bucket(w.hash[same + 1] - w.hash[same], 2)
-        row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-        values = byte_values()[data]
+        values, word = characters(data, w)
         for n in GRAMS:
-            if len(data) >= n:
-                inside = np.flatnonzero(row[: len(data) - n + 1] == row[n - 1 :])
-                yield row[inside], bucket(windows(values, n)[inside], n)
+            if len(word) >= n:
+                inside = np.flatnonzero(word[: len(word) - n + 1] == word[n - 1 :])
+                yield w.row[word[inside]], bucket(windows(values, n)[inside], n)
 
 
 def logits(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:

@@ -10,11 +10,13 @@ import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import FOLDER, STORY, WORD, documents, no_docs, odd_docs, odd_rows
 
 from tallyproof.llm import bpe, pii, quality_model, quality_rules, tagger
 from tallyproof.llm.common import table, utf8
+from tallyproof.llm.words import BASE, byte_values
 
 
 def plain_measures(text: str) -> tuple:
@@ -220,6 +222,51 @@ def test_personal_data_of_odd_rows(spark, model):
     assert out["base"] == "email:9:17,phone:21:38" and out["n_phone"] == 1
 
 
+def plain_features(text: str) -> collections.Counter:
+    """Buckets of words, pairs and character n-grams inside words, by a loop over strings and whole numbers."""
+    last = 2**64 - 1
+    byte = [int(v) for v in byte_values()]
+
+    def mix(x: int) -> int:
+        x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & last
+        x = (x ^ x >> 27) * 0x94D049BB133111EB & last
+        return x ^ x >> 31
+
+    def spot(x: int, kind: int) -> int:
+        return mix(x + kind * int(BASE) & last) % quality_model.BUCKETS
+
+    def char(c: str) -> int:
+        code = c.encode()
+        return byte[code[0]] if len(code) == 1 else mix(int.from_bytes(code, "big") * int(BASE) & last)
+
+    found, whole = collections.Counter(), []
+    for word in WORD.findall(text):
+        code = word.encode()
+        whole.append(mix(sum(byte[b] * pow(int(BASE), k, 2**64) for k, b in enumerate(code)) + len(code) * int(BASE) & last))
+        found[spot(whole[-1], 1)] += 1
+        signs = [int(quality_model.LEFT), *map(char, word), int(quality_model.RIGHT)]
+        for n in quality_model.GRAMS:
+            for i in range(len(signs) - n + 1):
+                value = 0
+                for sign in signs[i : i + n]:
+                    value = (value * int(BASE) + sign) & last
+                found[spot(mix(value), n)] += 1
+    for a, b in zip(whole, whole[1:], strict=False):
+        found[spot(b - a & last, 2)] += 1
+    return found
+
+
+def test_quality_features_equal_a_loop_over_strings():
+    texts = ["", " \n\t ", "a", "ab cd ab cd", "naïve Größe 東京 タワー 🙂🙂 x🙂y", "é", "end é", "a\u00a0b\u2003c", STORY, "x" * 5000]
+    texts += [t or "" for _, t in documents()]
+    data, offsets = utf8(pa.array(texts, pa.string()))
+    found = [collections.Counter() for _ in texts]
+    for row, place in quality_model.features(data, offsets):
+        for r, p in zip(row.tolist(), place.tolist(), strict=True):
+            found[r][p] += 1
+    assert found == [plain_features(t) for t in texts]
+
+
 def test_quality_model_on_held_out_labels(spark):
     folder = "/root/testdata/sf0.1"
     labels = {r["doc_id"]: r["quality"] for r in table(spark, folder, "labels").collect()}
