@@ -3,10 +3,10 @@
 The patterns find the plain forms of e-mail addresses, IP addresses, card and phone numbers. A
 bidirectional LSTM with CRF transitions (``tagger``), trained on spans that the patterns label in a
 bounded sample of the table and on rewritten forms of them, finds forms that the patterns miss:
-spelled-out or bracketed separators, phone numbers without a plus sign, grouped cards.
+bracketed or spelled-out separators ("jane dot roe at mail dot com"), phone numbers without a plus sign, grouped cards.
 
 Every text is covered by windows of 128 characters that overlap by half. All four kinds need a digit,
-an at sign or an at in brackets, also in the rewritten forms, and ``plausible`` asks for one inside
+an at sign, an at in brackets or the bare word "dot", also in the rewritten forms, and ``plausible`` asks for one inside
 the span; a window that holds none whole can therefore add nothing and is not decoded. The decoded
 spans of all windows of a text are reconciled: a span cut by the border of a window, or within ``EDGE`` of it, is left
 to the neighbour that holds it whole; where none does, a window centred on the span is decoded, and a wider
@@ -40,10 +40,12 @@ WINDOW, STRIDE, EDGE, LONGEST = 128, 64, 16, 2048
 # Documents whose base spans are the labelled sample, in the order of a hash of their ids; spans
 # taken of each; generated sequences; training steps.
 SAMPLE_DOCS, SAMPLE_SPANS = 400, 4
-SEQUENCES, LENGTH, STEPS, BATCH, RATE, SEED = 6000, 80, 500, 32, 0.02, 11
+SEQUENCES, LENGTH, STEPS, BATCH, RATE, SEED = 6000, 80, 600, 32, 0.02, 11
 
-# What every form of a span holds: a digit, an at sign, or an at in brackets (``plausible``).
-SIGN = re.compile(r"[0-9@]|[\[({<] ?at ?[\])}>]", re.I)
+# What every form of a span holds: a digit, an at sign, an at in brackets, or the word dot (``plausible``).
+SIGN = re.compile(r"[0-9@]|[\[({<] ?at ?[\])}>]|(?<=\s)dot(?=\s)", re.I)
+# An address in bare words. Without "dot" it would read like any place ("open at noon").
+SPELLED = re.compile(r"[a-z0-9._%+-]+(?:\sdot\s[a-z0-9_%+-]+)*\sat\s[a-z0-9-]+(?:\sdot\s[a-z0-9-]+)+", re.I)
 AFTER_AT = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 # Matches start at the first digit of a run, as a match that fails there fails inside it too.
@@ -106,7 +108,7 @@ def plausible(kind: int, text: str) -> bool:
     """The arithmetic of a kind, whatever its separators."""
     digits = digits_of(text)
     if kind == 0:
-        return bool(re.search(r"(@|[\[({<] ?at ?[\])}>])", text, re.I)) and bool(re.search(r"(\.|[\[({<] ?dot ?[\])}>])[A-Za-z]", text.replace(" ", ""), re.I))
+        return bool(SPELLED.search(text)) or bool(re.search(r"(@|[\[({<] ?at ?[\])}>])", text, re.I)) and bool(re.search(r"(\.|[\[({<] ?dot ?[\])}>])[A-Za-z]", text.replace(" ", ""), re.I))
     if kind == 1:
         parts = re.findall(r"[0-9]+", text)
         return len(parts) == 4 and octets(parts)
@@ -122,8 +124,10 @@ def rewritten(kind: int, chance: random.Random) -> str:
     if kind == 0:
         local = word() + chance.choice(["", ".", "_", "-", "+"]) + chance.choice([word(), number(2)])
         host = [word() + chance.choice(["", number(1)]) for _ in range(chance.randint(1, 2))] + [chance.choice(["com", "net", "org", "de", "fr"])]
-        at, dot = chance.choice([("@", "."), ("@", "."), (" [at] ", " [dot] "), ("[at]", "."), (" (at) ", "."), (" (at) ", " (dot) "), (" @ ", "."), ("@", "[.]")])
+        at, dot = chance.choice([("@", "."), ("@", "."), (" [at] ", " [dot] "), ("[at]", "."), (" (at) ", "."), (" (at) ", " (dot) "), (" @ ", "."), ("@", "[.]"), (" at ", " dot "), (" at ", " dot "), (" at ", " dot "), (" at ", " dot ")])
         case = chance.choice([str, str, str, str.upper, str.title])
+        if at == " at " and chance.random() < 0.4:
+            local = f"{word()}{case(dot)}{word()}"
         return local + case(at) + case(dot).join(host)
     if kind == 1:
         mark = chance.choice([".", ".", "[.]", "(.)", " . ", "[.]"])
@@ -155,6 +159,8 @@ def decoy(chance: random.Random) -> str:
         lambda: f"@{chance.choice(['the', 'user', 'team'])}{number(1)}",
         lambda: f"version {chance.randint(1, 9)}.0",
         lambda: f"({chance.randint(1, 99)})",
+        lambda: f"at {chance.choice(['the', 'noon', 'that', 'home', 'this stage'])}",
+        lambda: chance.choice(["the dot", "a dot on", "dot by dot", "dot com", "at a dot", "at the dot of", "total", "data", "today"]),
     ])()
 
 

@@ -1,6 +1,7 @@
 """A character-level bidirectional LSTM with CRF transitions, in numpy.
 
-Characters are reduced to classes, so the model sees shapes rather than words. Training maximizes
+Characters are reduced to classes, so the model sees shapes rather than words; only the letters of
+"at" and "dot", which stand for marks in spelled-out addresses, are classes of their own. Training maximizes
 the likelihood of the labelled tag sequences: forward and backward passes of both directions, the
 sums of the CRF by the forward-backward recursion, Adam steps.
 """
@@ -14,7 +15,8 @@ KINDS = ("email", "ip", "card", "phone")
 TAGS = 1 + 2 * len(KINDS)
 MARKS = "@.+-_%()[]{}<>/:;,#=*&|!?'\" \n"
 PAD, DIGIT, LOWER, UPPER, OTHER = 0, 1, 2, 3, 4
-CLASSES = 5 + len(MARKS)
+LETTERS = "atdo"
+CLASSES = 5 + len(MARKS) + len(LETTERS)
 EMBED, HIDDEN = 10, 20
 
 
@@ -24,6 +26,8 @@ def class_table() -> np.ndarray:
     for i, c in enumerate(MARKS):
         table[ord(c)] = 5 + i
     table[[9, 11, 12, 13]] = 5 + MARKS.index(" ")
+    for i, c in enumerate(LETTERS):
+        table[[ord(c), ord(c.upper())]] = 5 + len(MARKS) + i
     return table
 
 

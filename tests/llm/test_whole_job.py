@@ -39,6 +39,26 @@ def test_spelled_out_addresses_without_a_digit_are_found(model):
     assert hits >= 75, hits
 
 
+def test_addresses_in_bare_words_are_found_and_plain_words_are_not(model):
+    chance, hits = random.Random(7), 0
+    word = lambda: "".join(chance.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(chance.randint(3, 9)))
+    for _ in range(100):
+        case = chance.choice([str, str, str.upper])
+        local = word() + chance.choice(["", "." + word(), case(" dot ") + word()])
+        body = f"{local}{case(' at ')}{word()}{case(' dot ')}{chance.choice(['com', 'org', 'net'])}"
+        spans = pii.found_spans([f"{'and more ' * 30}write to {body} he of th. And so on the"], model)[0][1]
+        hits += any(s.start == 279 and s.end == 279 + len(body) for s in spans)
+    assert hits >= 85, hits
+    clean = [
+        "the train stops at noon and the dot on the map shows where we stood at the time",
+        "they looked at the dot com boom of that decade and at the people in it",
+        "put a dot at the end of each line , then a dot at the start",
+        "connect dot to dot and look at what appears",
+        "he was at home and they dot the field at night",
+    ]
+    assert not any(spans for _, spans in pii.found_spans(clean, model))
+
+
 LONG_ADDRESS = "maximilian.alexander.von.und.zu.musterhausen [at] department.of.public.affairs [dot] university.of.somewhere [dot] example [dot] com"
 
 
