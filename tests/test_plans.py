@@ -218,3 +218,22 @@ def test_quartiles_of_a_hot_pair_never_meet_in_one_place(spark):
         middle = quarters(2)
         spread = (quarters(3) - quarters(1)) * 10_000 // middle if middle else None
         assert got[address] == (middle, spread, len(own))
+
+
+# ---- what passes through the driver ----------------------------------------------------------
+
+
+def test_summaries_of_ordered_scans_are_not_broadcast(spark):
+    """A file's size says little about a summary of it, which grows with keys and segments."""
+    rows = tables.frozen_relation(
+        spark.range(4000).selectExpr("id % 7 AS k", "id AS at", "id AS v"), "scan"
+    )
+    segment = F.floor(F.col("at") / 100)
+    carried = carry(
+        rows, ["k"], segment, ["at"], Carry("v", "before", include_current=False)
+    )
+    summed = running_total(rows, ["k"], segment, ["at"], F.lit(1), "n")
+    for df in (carried, summed):
+        assert "Broadcast" not in plan(df)
+    assert carried.where("before IS DISTINCT FROM CASE WHEN at >= 7 THEN at - 7 END").count() == 0
+    assert summed.where("n <> at div 7 + 1").count() == 0
