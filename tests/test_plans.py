@@ -10,8 +10,11 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tallyproof.operators import intervals
 from tallyproof.operators.ordered import Carry, carry, first_per_key, running_total
 from tallyproof.operators.sides import sized_side
+from tallyproof.registry import fees
+from tallyproof.session import stored_copies
 from tallyproof.sources import scans, tables
 from tallyproof.sources import testdata as td
 
@@ -237,3 +240,42 @@ def test_summaries_of_ordered_scans_are_not_broadcast(spark):
         assert "Broadcast" not in plan(df)
     assert carried.where("before IS DISTINCT FROM CASE WHEN at >= 7 THEN at - 7 END").count() == 0
     assert summed.where("n <> at div 7 + 1").count() == 0
+
+
+def test_sparse_values_are_carried_like_others(spark):
+    rows = spark.range(3000).selectExpr("id % 5 AS k", "id AS at", "if(id % 97 = 3, id, null) AS v")
+    segment = F.floor(F.col("at") / 50)
+    specs = [Carry("v", "before", include_current=False), Carry("v", "after", backward=True)]
+    plain = carry(rows, ["k"], segment, ["at"], *specs)
+    sparse = carry(rows, ["k"], segment, ["at"], *specs, sparse=True)
+    assert sparse.count() == 3000
+    assert sparse.exceptAll(plain).count() == 0
+
+
+# ---- what is computed and stored once --------------------------------------------------------
+
+
+def test_stored_trades_are_lines_whose_unused_columns_are_not_derived(spark):
+    with stored_copies(spark):
+        stored = fees.stored_trades(spark, FOLDER)
+        fresh = td.trades(spark, FOLDER)
+        assert stored.columns == fresh.columns
+        shown = [c for c in stored.columns if c != "discount"]
+        assert stored.select(*shown).exceptAll(fresh.select(*shown)).count() == 0
+        schema = plan(stored.select("tx_hash")).split("ReadSchema: ")[1].splitlines()[0]
+        assert schema == "struct<l_orderkey:bigint>"
+
+
+def test_points_of_a_lookup_are_computed_once(spark):
+    with stored_copies(spark) as made:
+        t = fees.stored_trades(spark, FOLDER)
+        rows = intervals.interval_lookup(t, fees.points(spark, FOLDER), ["pool"], td.ORDER, fees.seg())
+        assert sum("tallyproof-points-" in path for path in made) == 1
+        assert "orders.parquet" not in plan(rows)
+
+
+@pytest.mark.parametrize("name", ["replace_partitions", "backfill"])
+def test_trades_are_stored_once_per_run(spark, name):
+    with stored_copies(spark) as made:
+        assert fees.QUERIES[name](spark, FOLDER).count() > 0
+        assert sum("tallyproof-lines-" in path for path in made) == 1
