@@ -279,3 +279,11 @@ def test_trades_are_stored_once_per_run(spark, name):
     with stored_copies(spark) as made:
         assert fees.QUERIES[name](spark, FOLDER).count() > 0
         assert sum("tallyproof-lines-" in path for path in made) == 1
+
+
+def test_the_audit_reads_both_of_its_sides_from_one_store(spark):
+    with stored_copies(spark) as made:
+        rows = fees.QUERIES["price_coverage_audit"](spark, FOLDER)
+        assert sum("tallyproof-lines-" in path for path in made) == 1
+        assert "lineitem.parquet" not in plan(rows)
+        assert rows.where("matched_rows > 0").count() > 0
