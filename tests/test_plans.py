@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tallyproof.operators import intervals
+from tallyproof.operators import enrich, intervals
 from tallyproof.operators.ordered import Carry, carry, first_per_key, running_total
 from tallyproof.operators.sides import sized_side
 from tallyproof.registry import fees
@@ -287,3 +287,35 @@ def test_the_audit_reads_both_of_its_sides_from_one_store(spark):
         assert sum("tallyproof-lines-" in path for path in made) == 1
         assert "lineitem.parquet" not in plan(rows)
         assert rows.where("matched_rows > 0").count() > 0
+
+
+def test_prices_out_of_scope_are_neither_aggregated_nor_moved(spark):
+    with stored_copies(spark):
+        t = fees.stored_trades(spark, FOLDER)
+        prices = td.token_prices(t)
+        scoped = enrich.scoped_prices(t, prices, fees.in_scope())
+        text = plan(scoped)
+        assert text.index("LeftSemi") > text.index("Exchange")
+        sold = {r[0] for r in t.where(fees.in_scope()).select("token_sold").distinct().collect()}
+        want = prices.where(F.col("asset").isin([asset for asset in sold if asset is not None]))
+        assert scoped.exceptAll(want.select(*scoped.columns)).count() == 0
+        assert scoped.count() == want.count() > 0
+
+
+def test_entities_with_few_rows_are_scanned_without_segments(spark, monkeypatch):
+    rows = spark.range(4000).selectExpr(
+        "if(id % 3 = 0, 0, id % 11) AS k", "id AS at", "id AS fact", "id % 2 AS odd"
+    )
+    facts = tables.frozen_relation(rows.where("odd = 0 OR at % 35 = 0").drop("odd"), "facts")
+    points = rows.where("at % 7 = 0").select("k", "at", F.col("fact").alias("state"))
+    looked = []
+    for limit in (1 << 18, 100):
+        monkeypatch.setattr(intervals, "WHOLE_ENTITY_ROWS", limit)
+        looked.append(intervals.interval_lookup(
+            facts, points, ["k"], ["at"], F.floor(F.col("at") / 50), "fill", sized_by=facts
+        ))
+    whole, cut = looked
+    assert "Join" not in plan(whole)
+    assert "SortMergeJoin" in plan(cut)
+    assert whole.count() == cut.count() > 0
+    assert whole.exceptAll(cut).count() == 0
