@@ -14,6 +14,7 @@ from tallyproof.operators import enrich, intervals
 from tallyproof.operators.ordered import Carry, carry, first_per_key, running_total
 from tallyproof.operators.sides import sized_side
 from tallyproof.registry import fees
+from tallyproof.registry import screening as screens
 from tallyproof.session import stored_copies
 from tallyproof.sources import scans, tables
 from tallyproof.sources import testdata as td
@@ -319,3 +320,13 @@ def test_entities_with_few_rows_are_scanned_without_segments(spark, monkeypatch)
     assert "SortMergeJoin" in plan(cut)
     assert whole.count() == cut.count() > 0
     assert whole.exceptAll(cut).count() == 0
+
+
+@pytest.mark.parametrize("name", ["manifest_pack", "adjacent_windows"])
+def test_transfers_of_a_screen_are_derived_once(spark, name):
+    with stored_copies(spark) as made:
+        rows = screens.QUERIES[name](spark, FOLDER)
+        assert sum("tallyproof-transfers-" in path for path in made) == 1
+        if name == "adjacent_windows":
+            assert "event_type" not in plan(rows)
+        assert rows.count() > 0
