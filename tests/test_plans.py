@@ -330,3 +330,11 @@ def test_transfers_of_a_screen_are_derived_once(spark, name):
         if name == "adjacent_windows":
             assert "event_type" not in plan(rows)
         assert rows.count() > 0
+
+
+def test_first_fundings_of_a_screen_are_found_once(spark):
+    with stored_copies(spark) as made:
+        rows = screens.QUERIES["activity_screen"](spark, FOLDER)
+        assert sum("tallyproof-funding-" in path for path in made) == 1
+        assert "first_block_number" not in plan(rows)
+        assert rows.count() > 0
